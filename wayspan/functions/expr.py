@@ -167,3 +167,8 @@ def duration_text(seconds: Column) -> Column:
 def selection_key(month: Column, daytype_: Column, hour: Column) -> Column:
     """'2026-08-wd-07', with 'all' for an axis that is pooled."""
     return F.concat_ws("-", F.coalesce(month, F.lit("all")), F.coalesce(daytype_, F.lit("all")), F.coalesce(F.lpad(hour.cast("string"), 2, "0"), F.lit("all")))
+
+
+def profile_key(month: Column, daytype_: Column) -> Column:
+    """'2026-08-wd-profile'."""
+    return F.concat_ws("-", F.coalesce(month, F.lit("all")), F.coalesce(daytype_, F.lit("all")), F.lit("profile"))

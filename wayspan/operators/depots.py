@@ -59,10 +59,14 @@ def clusters(cells: DataFrame, reach: int = 2, rounds: int = 60) -> DataFrame:
 
 
 def cluster_stats(cells: DataFrame, pad: float = 40.0) -> DataFrame:
-    """Per cluster: sample-weighted centre, radius to the farthest cell plus ``pad``, cells, samples, km/h; cells have x, y, n, sum_speed."""
-    centre = cells.groupBy("cluster").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mx"), (F.sum(F.col("y") * F.col("n")) / F.sum("n")).alias("my"))
-    j = cells.join(centre, "cluster").withColumn("d", F.hypot(F.col("x") - F.col("mx"), F.col("y") - F.col("my")))
-    return j.groupBy("cluster").agg(F.first("mx").alias("x"), F.first("my").alias("y"), (F.max("d") + pad).alias("radius_m"), F.count("*").alias("cells"), F.sum("n").alias("samples"), (F.sum("sum_speed") / F.sum("n") * MPS_TO_KMH).alias("kmh"))
+    """Per cluster: sample-weighted centre, radius to the farthest cell plus ``pad``, cells, samples, km/h.
+
+    Cells have x, y, n, sum_speed; lat and lon, if there, are averaged with the same weights.
+    """
+    axes = [c for c in ("x", "y", "lat", "lon") if c in cells.columns]
+    centre = cells.groupBy("cluster").agg(*[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(f"mid_{c}") for c in axes])
+    j = cells.join(centre, "cluster").withColumn("d", F.hypot(F.col("x") - F.col("mid_x"), F.col("y") - F.col("mid_y")))
+    return j.groupBy("cluster").agg(*[F.first(f"mid_{c}").alias(c) for c in axes], (F.max("d") + pad).alias("radius_m"), F.count("*").alias("cells"), F.sum("n").alias("samples"), (F.sum("sum_speed") / F.sum("n") * MPS_TO_KMH).alias("kmh"))
 
 
 def merge_sites(existing: DataFrame, found: DataFrame) -> DataFrame:

@@ -101,7 +101,8 @@ def ride_funnel(positions: DataFrame, schedule, p: Params = DEFAULTS) -> DataFra
     rows = with_bus_flag(positions, schedule.routes).withColumn("verdict", fresh_verdict(p.stale_max_s))
     rows = mark_duplicates(rows)
     outside = F.when(~F.coalesce(in_bbox(F.col("lat"), F.col("lon"), p.bbox), F.lit(False)), "bbox")
-    return rows.withColumn("verdict", F.coalesce("verdict", outside, F.lit("kept"))).drop("is_bus")
+    x, y = project_xy(F.col("lon"), F.col("lat"))
+    return rows.withColumns({"verdict": F.coalesce("verdict", outside, F.lit("kept")), "x": x, "y": y}).drop("is_bus")
 
 
 def funnel_counts(rows: DataFrame, stages=SPEED_STAGES) -> DataFrame:

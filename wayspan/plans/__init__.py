@@ -1 +1 @@
-
+"""Whole jobs: daily ingest, published payloads, queries of users, command line."""
