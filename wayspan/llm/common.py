@@ -64,6 +64,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hash_sample(df: DataFrame, most: int, *key: str) -> DataFrame:
+    """About ``most`` rows at most: those of small key hash, the same in any partitioning; all if there are no more.
+
+    A fixed share is kept by a filter, so no task sends its own ``most`` rows anywhere.
+    """
+    n = df.count()
+    if n <= most:
+        return df
+    share = 1 << 40
+    return df.where(F.pmod(F.xxhash64(*key, F.lit(40)), F.lit(share)) < F.lit(int(most / n * share)))
+
+
 def ascii_lower(col):
     """Lower-case A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

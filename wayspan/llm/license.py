@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
+from .common import hash_sample
 
 BUCKETS = 1 << 15
 #: At most so many documents (of least hash), and so many lines of each, form the unknown class.
@@ -169,8 +170,9 @@ def train(samples: list[tuple[str, int]], steps: int = 300, rate: float = 2.0, r
 
 def fit(docs: DataFrame, unknown_docs: int = UNKNOWN_DOCS) -> Model:
     """Trained against lines of a bounded sample of the corpus; lines that a template confirms are left out."""
-    rows = docs.where("text is not null").select(F.xxhash64("doc_id", F.length("text")).alias("h"), F.slice(F.split("text", "\n"), 1, UNKNOWN_LINES).alias("lines"))
-    rows = rows.select("h", F.transform("lines", lambda x: F.substring(x, 1, 500)).alias("lines")).orderBy("h").limit(unknown_docs).collect()
+    lines = F.transform(F.slice(F.split("text", "\n"), 1, UNKNOWN_LINES), lambda x: F.substring(x, 1, 500))
+    sample = hash_sample(docs.select("doc_id", "text", F.length("text").alias("len")).where("text is not null"), unknown_docs, "doc_id", "len")
+    rows = sample.select(lines.alias("lines")).collect()  # about unknown_docs rows
     other = []
     for r in rows:
         for line in r["lines"]:

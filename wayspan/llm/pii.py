@@ -40,6 +40,9 @@ HOMOGLYPHS = {
 NUMERALS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 INVISIBLE = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 
+#: Last labels of a host that make words joined by a bare "at" and "dot" an address.
+LAST_LABELS = frozenset("com org net edu gov mil int info biz io co uk de fr es it nl eu us ca au jp cn in ru br ch at be se no dk fi pl pt cz me tv app dev example test".split())
+
 FOLD = {ord(k): v for k, v in HOMOGLYPHS.items()}
 FOLD |= {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}  # full-width forms
 FOLD |= {lo + d: str(d) for lo in (0x0660, 0x06F0, 0x0966) for d in range(10)}  # digits of other scripts
@@ -56,6 +59,7 @@ _DOT_WORD = re.compile(r"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.IGN
 #: A bare "at" counts only before a host whose first dot is disguised as well.
 _AT_WORD = re.compile(r"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=[A-Za-z0-9-]+\x00)", re.IGNORECASE)
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+@[ \t]+(?=[A-Za-z0-9-]+[.\x00])")
+_MARKED = re.compile("[@\uff20_\\[\\](){}<>]")
 _HINT = re.compile(rf"{_O}\s*(?:at|dot|@|\.)\s*{_C}|_at_|_dot_|\sdot\s|\s@\s|(?<![A-Za-z])(?:{_NUMERAL})[\s,-]+(?:{_NUMERAL}|[0-9])(?![A-Za-z])", re.IGNORECASE)
 _HINT_FAST = ("@", "_at_", "_dot_", " dot", "\tdot", "\ndot", "(at", "[at", "{at", "<at", "( at", "[ at", "(dot", "[dot", "{dot", "<dot", "( dot", "[ dot", "(.)", "[.]", "{.}", "<.>")
 _NUM_HINT = re.compile(rf"\b(?:{_NUMERAL})\b[\s,-]+(?:{_NUMERAL}|[0-9])\b", re.IGNORECASE)
@@ -168,7 +172,13 @@ def deobfuscated(text: str) -> dict[str, list[tuple[int, int]]]:
     tape.rewrite(_AT_WORD, lambda _: "@")
     tape.rewrite(_SPACED_AT, lambda _: "@")
     tape.text = tape.text.replace("\0", ".")
-    return {k: [(int(tape.start[a]), int(tape.end[z - 1])) for a, z in v] for k, v in detect(tape.text).items()}
+    out: dict[str, list[tuple[int, int]]] = {}
+    for kind, spans in detect(tape.text).items():
+        found = [(int(tape.start[a]), int(tape.end[z - 1]), tape.text[a:z]) for a, z in spans]
+        if kind == "email":
+            found = [f for f in found if _MARKED.search(text, f[0], f[1]) or f[2].rpartition(".")[2].lower() in LAST_LABELS]
+        out[kind] = [f[:2] for f in found]
+    return out
 
 
 def find(text: str | None) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[tuple[int, int]]]]:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
+from .common import hash_sample
 
 BUCKETS = 1 << 16
 #: At most so many labelled rows form the trusted target (those of least hash).
@@ -66,7 +67,7 @@ def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS) -> np.ndarray:
     """log(target / raw) by bucket.  The driver gets BUCKETS rows at most, at any input size."""
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    good = F.broadcast(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows).withColumn("trusted", F.lit(True)))
+    good = F.broadcast(hash_sample(good, target_rows, "doc_id").withColumn("trusted", F.lit(True)))
     marked = docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     sums = marked.mapInArrow(counts, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     got = sums.toPandas()

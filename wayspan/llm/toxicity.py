@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_sample
 from .pii import FOLD, INVISIBLE
 
 #: At most so many labelled rows are learned from (those of least hash).
@@ -113,7 +114,7 @@ def _train_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """(folded words, toxic) of the sample; its ids are few enough to broadcast."""
     ids = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = ids.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("__hi")).where("toxic = __hi").drop("__hi")
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    ids = hash_sample(ids, most, "doc_id")
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
