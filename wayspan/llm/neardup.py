@@ -227,44 +227,56 @@ def _stars(members: DataFrame, *key: str) -> DataFrame:
     return members.join(centre, list(key)).where("node != a").select("a", F.col("node").alias("b"))
 
 
+def _small_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> (node, bag): shingles cut to 32 bits, which can only add to an overlap."""
+    for b in batches:
+        bags = [np.sort(x.astype(np.uint32)).tobytes() for x in _bags(b.column("text"))]
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(bags, pa.binary())], ["node", "bag"])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of two blocks of a bucket, the pairs with different labels whose registers agree often enough.
+    """Of two blocks of a bucket, pairs with different labels that are similar by their small bags.
 
-    A pair is given by the first band that it shares, once.
+    Registers are compared first.  A pair is given by the first band that it shares, once.
     """
     for b in batches:
         for i in range(b.num_rows):
             band = b.column("band")[i].as_py()
-            node, label, keys, regs = ([], [], [], [])
+            node, label, keys, regs, bags = ([], [], [], [], [])
             for side in ("x", "y"):
                 v = b.column(side)[i].values
                 node.append(v.field("node").to_numpy())
                 label.append(v.field("label").to_numpy())
                 keys.append(np.array(v.field("bands").to_pylist(), np.int64))
                 regs.append(np.frombuffer(b"".join(v.field("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS))
+                bags.append([np.frombuffer(x, np.uint32) for x in v.field("bag").to_pylist()])
             agree = np.zeros((len(node[0]), len(node[1])), np.uint8)
             for r in range(REGISTERS):
                 agree += regs[0][:, r, None] == regs[1][None, :, r]
-            both = b.column("both")[i].as_py()
-            ok = (agree >= AGREE) & (label[0][:, None] != label[1][None, :])
-            if both:  # the same block, or two blocks that meet in either order
+            size = [np.array([len(x) for x in side]) for side in bags]
+            low, high = np.minimum.outer(size[0], size[1]), np.maximum.outer(size[0], size[1])
+            ok = (agree >= AGREE) & (label[0][:, None] != label[1][None, :]) & (low >= SIMILARITY * high)
+            if b.column("both")[i].as_py():  # two blocks outside the centre's class meet in either order
                 ok &= node[0][:, None] < node[1][None, :]
             x, y = np.nonzero(ok)
             new = ~(keys[0][x, :band] == keys[1][y, :band]).any(axis=1)
-            x, y = node[0][x[new]], node[1][y[new]]
-            if len(x):
+            found = [(p, q) for p, q in zip(x[new].tolist(), y[new].tolist(), strict=True) if similarity(bags[0][p], bags[1][q]) >= SIMILARITY]
+            if found:
+                x, y = np.array(found).T
+                x, y = node[0][x], node[1][y]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
 
-def _in_blocks(members: DataFrame) -> DataFrame:
+def _in_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Candidate pairs of large buckets: members outside the centre's class against all, block by block.
 
-    A block is bounded; what a bucket emits is only what agrees.
+    A block is bounded; what a bucket emits is what the small bags find similar.
     """
     centre = members.groupBy("band", "key").agg(F.min_by("label", "node").alias("main"), F.max("n").alias("of"))
-    m = members.drop("n").join(centre, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("of") / BLOCK))))
-    m = m.withColumn("out", F.col("label") != F.col("main"))
-    packed = m.groupBy("band", "key", "out", "block").agg(F.collect_list(F.struct("node", "label", "bands", "registers")).alias("rows"))
+    bags = settled(texts.join(members.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(_small_bags, "node long, bag binary"))
+    m = members.drop("n").join(centre, ["band", "key"]).join(bags, "node")
+    m = m.withColumns({"block": F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("of") / BLOCK))), "out": F.col("label") != F.col("main")})
+    packed = m.groupBy("band", "key", "out", "block").agg(F.collect_list(F.struct("node", "label", "bands", "registers", "bag")).alias("rows"))
     x = packed.where("out").select("band", "key", F.col("rows").alias("x"))
     y = packed.select("band", "key", F.col("out").alias("both"), F.col("rows").alias("y"))
     return x.join(y, ["band", "key"]).select("band", "both", "x", "y").mapInArrow(_compare, "a long, b long")
@@ -291,7 +303,7 @@ def links(docs: DataFrame, sig: DataFrame) -> DataFrame:
     small = open_.where(F.col("n") <= SMALL).select("band", "key", "node", "label")
     other = small.select("band", "key", F.col("node").alias("b"), F.col("label").alias("label_b"))
     more = small.join(other, ["band", "key"]).where("node < b and label != label_b").select(F.col("node").alias("a"), "b")
-    more = more.unionByName(_in_blocks(open_.where(F.col("n") > SMALL))).distinct().join(pairs, ["a", "b"], "left_anti")
+    more = more.unionByName(_in_blocks(open_.where(F.col("n") > SMALL), texts)).distinct().join(pairs, ["a", "b"], "left_anti")
     more = more.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
     more = settled(more.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
     return first.unionByName(settled(verified(more, texts)))
