@@ -4,7 +4,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import corpus
+from samples import corpus
 
 from wayspan.llm import neardup, substrings
 from wayspan.llm import textvec as tv

@@ -3,7 +3,7 @@ import random
 
 import brute
 import pytest
-from conftest import DOC, prose
+from samples import DOC, prose
 
 import corpus_pipeline
 

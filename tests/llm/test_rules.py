@@ -2,7 +2,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import corpus, prose
+from samples import corpus, prose
 
 from wayspan.llm import decontam, license, mixing, pii, quality, toxicity
 from wayspan.llm import textvec as tv

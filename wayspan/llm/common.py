@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_made: list[tuple[SparkSession, str]] = []
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors share (``spark.checkpoint.dir``); a local one only if unset."""
@@ -23,8 +25,10 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A fresh folder name below the shared root."""
-    return f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
+    """A fresh folder name below the shared root; the folder goes when Python ends."""
+    path = f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -33,9 +37,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-_made: list[tuple[SparkSession, str]] = []
-
-
 @atexit.register
 def _sweep() -> None:
     for spark, path in _made:
@@ -56,7 +57,6 @@ def settled(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(key, before)
-    _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
