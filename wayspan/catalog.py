@@ -537,6 +537,96 @@ def labels_and_angles(spark, sf_dir):
     )
 
 
+# --- more of the published values -----------------------------------------------------------------
+
+
+@query(
+    f"""WITH {CELLS}, h AS (SELECT month, cx, cy, dir, kmh AS bin, count(*) AS n FROM cells_long GROUP BY ALL),
+a AS (SELECT cx, cy, dir, bin, sum(n) AS n FROM h GROUP BY ALL),
+f AS (SELECT cx, cy, dir, bin, sum(n) OVER (PARTITION BY cx, cy, dir ORDER BY bin) AS cum, sum(n) OVER (PARTITION BY cx, cy, dir) AS total FROM a),
+ff AS (SELECT cx, cy, dir, {_at(0.85)} AS ff FROM f GROUP BY ALL HAVING ff >= 8),
+m AS (SELECT month, cx, cy, dir, bin, sum(n) OVER (PARTITION BY month, cx, cy, dir ORDER BY bin) AS cum, sum(n) OVER (PARTITION BY month, cx, cy, dir) AS total FROM h),
+q AS (SELECT month, cx, cy, dir, {_at(0.5)} AS med, {_at(0.15)} AS p15, {_at(0.85)} AS p85 FROM m GROUP BY ALL),
+s AS (SELECT month, cx, cy, dir, count(*) AS n, sum(kmh) AS sum_kmh FROM cells_long GROUP BY ALL HAVING count(*) >= 4)
+SELECT month, cx, cy, dir AS grp, cy::DOUBLE AS lat, cx::DOUBLE AS lon, dir * 45 % 360 AS dir, round_even((sum_kmh / 3.6::DOUBLE) / n * 3.6::DOUBLE, 1) AS v, med, p15, p85, p85 - p15 AS spread, round_even(med / ff, 2) AS rel, n
+FROM s JOIN q USING (month, cx, cy, dir) LEFT JOIN ff USING (cx, cy, dir)"""
+)
+def published_cells(spark, sf_dir):
+    keys = ["month", "cx", "cy", "dir"]
+    h = lenses.cells_long(spark, sf_dir).groupBy(*keys, F.col("kmh").alias("bin")).agg(F.count("*").alias("n"))
+    angle = F.radians(F.col("dir") * 45)
+    c = _lens_b_sums(spark, sf_dir, *keys).withColumns({"sum_speed": F.col("sum_kmh") / X.MPS_TO_KMH, "sum_lat": F.col("cy") * F.col("n"), "sum_lon": F.col("cx") * F.col("n"), "sum_sin": F.sin(angle) * F.col("n"), "sum_cos": F.cos(angle) * F.col("n")})
+    return payload.payload(c, h, payload.free_flow(h), keys, None, Params(min_samples=4))
+
+
+@query(f"WITH {POSITIONS} SELECT snapshot_key, CASE WHEN (split_part(trip_id, '_', 2) IN ('0', '1') AND route_id < 25) OR route_id < 23 THEN route_id END AS rd_route, CASE WHEN (split_part(trip_id, '_', 2) IN ('0', '1') AND route_id < 25) OR route_id < 23 THEN split_part(trip_id, '_', 3) END AS rd_dir FROM positions")
+def route_direction(spark, sf_dir):
+    known, fallback, _ = _patterns(spark, sf_dir)
+    known = known.withColumn("pattern_id", F.concat_ws("|", "pattern_id", X.trip_suffix(F.col("trip_id"))))
+    patterns = known.select("pattern_id").distinct().select("pattern_id", F.split("pattern_id", r"\|")[0].cast("int").alias("route_id"), F.split("pattern_id", r"\|")[1].alias("direction"))
+    return funnel.with_route_dir(lenses.positions(spark, sf_dir), known, patterns, fallback).select("snapshot_key", "rd_route", "rd_dir")
+
+
+@query(
+    f"""WITH {LINES}, d AS (SELECT q, (q * 37 % 1500)::DOUBLE AS dist FROM qp), l AS (SELECT *, sqrt(pow(bx - ax, 2) + pow(by_ - ay, 2)) AS len FROM sg),
+j AS (SELECT q, dist, route_id, arg_min(i, CASE WHEN cum + len >= dist THEN i ELSE 100000 - i END) AS i FROM d, l GROUP BY ALL), t AS (SELECT j.q, j.dist, l.*, CASE WHEN len = 0 THEN 0 ELSE least(1, (dist - cum) / len) END AS t FROM j JOIN l USING (route_id, i))
+SELECT route_id, dist, round_even(ax + (bx - ax) * t, 3) AS x, round_even(ay + (by_ - ay) * t, 3) AS y FROM t GROUP BY ALL"""
+)
+def point_along(spark, sf_dir):
+    segs = polyline.segments(_lines(spark, sf_dir), _LINE)
+    at = segs.select(*_LINE).distinct().join(_points(spark, sf_dir).select((F.col("q") * 37 % 1500).cast("double").alias("dist")).distinct(), F.lit(True))
+    return polyline.point_along(segs, at, _LINE).select("route_id", "dist", X.round_half_even(F.col("x"), 3).alias("x"), X.round_half_even(F.col("y"), 3).alias("y"))
+
+
+@query(
+    f"""WITH {LINES}, e AS (SELECT route_id, 0.25::DOUBLE * max(cum) AS a, 0.75::DOUBLE * max(cum) AS z FROM cu GROUP BY ALL HAVING max(cum) > 0)
+SELECT route_id, count(*) AS vertices, round_even(min(cum), 3) AS first_m, round_even(max(cum), 3) AS last_m FROM cu JOIN e USING (route_id) WHERE cum > a AND cum < z GROUP BY ALL"""
+)
+def line_slice(spark, sf_dir):
+    line = _lines(spark, sf_dir)
+    ends = line.groupBy(*_LINE).agg((F.max("cum") * 0.25).alias("from_m"), (F.max("cum") * 0.75).alias("to_m")).where("to_m > 0")
+    inner = polyline.slice_between(line, ends, _LINE).join(ends, _LINE).where("pos > from_m and pos < to_m")
+    return inner.groupBy("route_id").agg(F.count("*").alias("vertices"), X.round_half_even(F.min("pos"), 3).alias("first_m"), X.round_half_even(F.max("pos"), 3).alias("last_m"))
+
+
+@query(
+    f"""WITH {CELLS}, t AS (SELECT kmh, greatest(0, least(1, (kmh - 5.0::DOUBLE) / 30)) AS t, count(*) AS n FROM cells_long GROUP BY ALL),
+s AS (SELECT *, CASE WHEN t <= 0.5 THEN t / 0.5::DOUBLE ELSE (t - 0.5::DOUBLE) / 0.5::DOUBLE END AS f FROM t)
+SELECT kmh, n, CASE WHEN t <= 0.5 THEN printf('#%02x%02x%02x', CAST(round_even(214 + f * 26, 0) AS INTEGER), CAST(round_even(40 + f * 126, 0) AS INTEGER), CAST(round_even(40 + f * -8, 0) AS INTEGER))
+ELSE printf('#%02x%02x%02x', CAST(round_even(240 + f * -194, 0) AS INTEGER), CAST(round_even(166 + f * -8, 0) AS INTEGER), CAST(round_even(32 + f * 42, 0) AS INTEGER)) END AS colour FROM s"""
+)
+def colour_scale(spark, sf_dir):
+    c = lenses.cells_long(spark, sf_dir).groupBy("kmh").agg(F.count("*").alias("n"))
+    return c.select("kmh", "n", X.ramp_colour(X.clamp01(F.col("kmh").cast("double"), 5.0, 35.0)).alias("colour"))
+
+
+@query(
+    f"""WITH {SLOW}, {STOPS}, d AS (SELECT cx, cy, arg_min(bool_or, (d2, stop_id)) AS ends FROM (SELECT sl.cx, sl.cy, s.stop_id, s.is_terminal AS bool_or, (s.x - sl.cx * 25) * (s.x - sl.cx * 25) + (s.y - sl.cy * 25) * (s.y - sl.cy * 25) AS d2 FROM sl, stops s) WHERE d2 < 3600 GROUP BY ALL)
+SELECT cx, cy FROM sl LEFT JOIN d USING (cx, cy) WHERE coalesce(ends, true)"""
+)
+def unshielded_cells(spark, sf_dir):
+    c = _slow(spark, sf_dir).select("cx", "cy", (F.col("cx") * 25).alias("x"), (F.col("cy") * 25).alias("y"))
+    return depots.unshielded(c, lenses.stops(spark, sf_dir), 60, ["cx", "cy"]).select("cx", "cy")
+
+
+@query(
+    f"""WITH {RUNS}, lk AS (SELECT strftime(timezone('Europe/Kyiv', to_timestamp(start_ts)), '%Y-%m') AS month, CAST(hour(timezone('Europe/Kyiv', to_timestamp(start_ts))) AS INTEGER) AS hour, route_id, from_stop, to_stop, seconds FROM lg WHERE verdict = 'kept')
+SELECT CAST(grouping(month, hour) AS INTEGER) AS sel, month, hour, route_id, from_stop, to_stop, count(*) AS n, CAST(sum(seconds) AS BIGINT) AS sum_s FROM lk GROUP BY route_id, from_stop, to_stop, CUBE (month, hour)"""
+)
+def ride_rollup(spark, sf_dir):
+    keys = ["route_id", "from_stop", "to_stop"]
+    kept = _legs(spark, sf_dir).where("verdict = 'kept'").withColumns({"month": X.local_month(F.col("start_ts"), TZ), "hour": X.local_hour(F.col("start_ts"), TZ)})
+    return rollup.cube(rides.leg_sums(kept, ["month", "hour", *keys]), keys, ["n", "sum_s"], ["month", "hour"]).select("sel", "month", "hour", *keys, "n", "sum_s")
+
+
+@query(f"WITH {FOLD} SELECT k.cx, k.cy, coalesce(g.grp, 0) AS grp, speed_cms // 100 AS bin, count(*) AS n FROM keyed k LEFT JOIN g USING (cx, cy, dir) GROUP BY ALL")
+def folded_histogram(spark, sf_dir):
+    rows = _keyed_positions(spark, sf_dir).withColumns({"speed": F.col("speed_cms"), "lat": F.col("y"), "lon": F.col("x")})
+    groups = cells.fold_groups(cells.cell_sums(rows, ["cx", "cy", "dir"]))
+    h = rows.groupBy("cx", "cy", "dir", F.floor(F.col("speed_cms") / 100).alias("bin")).agg(F.count("*").alias("n"))
+    return cells.regroup(h, groups, ["cx", "cy", "dir", "bin"], ["n"]).withColumnRenamed("dir", "grp")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean speed by cell and heading, where there are enough samples."""
     return cell_speeds(spark, sf_dir)
