@@ -52,12 +52,35 @@ def project(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str])
     return o.groupBy("q", *keys).agg(F.min_by(F.struct("along", "off"), F.struct("off", "i")).alias("p")).select("q", *keys, "p.along", "p.off")
 
 
+def offsets_within(queries: DataFrame, segs: DataFrame, on: list[str], max_off: float) -> DataFrame:
+    """As ``offsets``, but only places within ``max_off``: an equi-join on grid buckets.
+
+    A segment is copied to the buckets of its bounding box, widened by ``max_off``; a
+    query looks into its own, so each pair meets once.
+    """
+    size = max(float(max_off), 1.0)
+
+    def reach(a: str, b: str) -> Column:
+        first, last = F.floor((F.least(a, b) - max_off) / size), F.floor((F.greatest(a, b) + max_off) / size)
+        return F.explode(F.sequence(first.cast("long"), last.cast("long")))
+
+    s = segs.withColumn("gx", reach("ax", "bx")).withColumn("gy", reach("ay", "by"))
+    q = queries.withColumns({"gx": F.floor(F.col("x") / size).cast("long"), "gy": F.floor(F.col("y") / size).cast("long")})
+    along, off = along_off(F.col("x"), F.col("y"))
+    return q.join(s, [*on, "gx", "gy"]).withColumns({"along": along, "off": off}).where(F.col("off") <= max_off).drop("gx", "gy")
+
+
+def _beside(step: int, w) -> Column:
+    """The offset of the neighbouring segment, null if that is too far away to be here (or not there at all)."""
+    shift = F.lag if step < 0 else F.lead
+    return F.when(shift("i").over(w) == F.col("i") + step, shift("off").over(w))
+
+
 def candidates(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str], max_off: float, limit: int = 6) -> DataFrame:
     """Local minima of the offset within ``max_off``, the nearest ``limit``: (q, keys, rank, along, off)."""
-    o = offsets(queries, segs, on)
+    o = offsets_within(queries, segs, on, max_off)
     w = W.partitionBy("q", *keys).orderBy("i")
-    before, after = F.lag("off").over(w), F.lead("off").over(w)
-    low = (F.col("off") <= max_off) & F.coalesce(before >= F.col("off"), F.lit(True)) & F.coalesce(after >= F.col("off"), F.lit(True))
+    low = F.coalesce(_beside(-1, w) >= F.col("off"), F.lit(True)) & F.coalesce(_beside(1, w) >= F.col("off"), F.lit(True))
     rank = F.row_number().over(W.partitionBy("q", *keys).orderBy("off", "i"))
     return o.withColumn("low", low).where("low").withColumn("rank", rank).where(F.col("rank") <= limit).select("q", *keys, "rank", "along", "off")
 
@@ -67,11 +90,11 @@ def passes(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str],
 
     A segment counts if it is not farther than the one before and nearer than the one after.
     """
-    o = offsets(queries, segs, on)
+    o = offsets_within(queries, segs, on, max_off)
     w = W.partitionBy("q", *keys).orderBy("i")
-    falls = F.coalesce(F.col("off") <= F.lag("off").over(w), F.lit(True))
-    rises = F.coalesce(F.lead("off").over(w) > F.col("off"), F.lit(True))
-    return o.withColumn("low", falls & rises & (F.col("off") <= max_off)).where("low").select("q", *keys, "along", "off")
+    falls = F.coalesce(F.col("off") <= _beside(-1, w), F.lit(True))
+    rises = F.coalesce(_beside(1, w) > F.col("off"), F.lit(True))
+    return o.withColumn("low", falls & rises).where("low").select("q", *keys, "along", "off")
 
 
 def simplify_indices(xy: list[tuple[float, float]], tol: float) -> list[int]:
