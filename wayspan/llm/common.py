@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -13,15 +14,20 @@ from pyspark.sql import functions as F
 _made: list[tuple[SparkSession, str]] = []
 
 
+_own: dict[str, str] = {}  # application -> a folder of ours, where none is set
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a local one only if unset."""
+    """The folder all executors share (``spark.checkpoint.dir``) with its scheme; a local one only if that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="wayspan-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+        app = spark.sparkContext.applicationId
+        root = _own.get(app) or _own.setdefault(app, tempfile.mkdtemp(prefix="wayspan-"))
+        if "://" not in root:
+            root = f"file://{root}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return re.sub(r"^file:/(?!/)", "file:///", full).rstrip("/")
 
 
 def scratch(spark: SparkSession, what: str) -> str:

@@ -7,8 +7,9 @@ length, and a logistic curve turns it into a score.
 
 Defined cases: null and empty texts have no matches and get the score of no
 evidence; a null or clashing label is not learned from; repeated rows are scored
-alike, each by itself; without labels of both kinds every score is 0.5 at most
-of the prior; an empty table gives an empty result; extra columns are ignored.
+alike, each by itself; without labels of both kinds the lexicon is empty and every
+text gets the same low score; an empty table gives an empty result; extra columns
+are ignored.
 """
 
 from __future__ import annotations
