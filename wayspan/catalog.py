@@ -527,7 +527,7 @@ def site_merge(spark, sf_dir):
     """SELECT event_id AS id, ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][CAST(floor((event_id * 53 % 360) / 45.0::DOUBLE + 0.5::DOUBLE) AS BIGINT) % 8 + 1] AS compass,
 CASE WHEN event_id % 9000 < 60 THEN event_id % 9000 || ' s' WHEN event_id % 9000 // 60 < 60 THEN event_id % 9000 // 60 || ' min ' || lpad((event_id % 9000 % 60)::VARCHAR, 2, '0') || ' s'
 ELSE event_id % 9000 // 3600 || ' h ' || lpad((event_id % 9000 // 60 % 60)::VARCHAR, 2, '0') || ' min' END AS duration, CAST(floor((event_id - 500) / 25.0::DOUBLE) AS INTEGER) AS cell,
-round_even(least(abs(event_id % 360 - 300), 360 - abs(event_id % 360 - 300)), 0) AS angle FROM events"""
+round_even(least(abs(event_id % 360 - 300), 360 - abs(event_id % 360 - 300))::DOUBLE, 0) AS angle FROM events"""
 )
 def labels_and_angles(spark, sf_dir):
     e = F.col("event_id")
