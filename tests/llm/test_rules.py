@@ -304,3 +304,23 @@ def test_shards_split_evenly(spark):
         n.setdefault(r.shard, []).append(r.source)
     assert sorted(map(len, n.values())) == [24] * 8
     assert len({tuple(sorted(map(str, v))) for v in n.values()}) > 1
+
+
+# --- samples and shared folder -------------------------------------------------------------------
+
+
+def test_hash_sample_is_bounded_and_stable(spark):
+    from wayspan.llm.common import hash_sample
+
+    df = spark.range(5000)
+    one, two = (sorted(r.id for r in hash_sample(d, 500, "id").collect()) for d in (df, df.repartition(7)))
+    assert one == two and 400 < len(one) < 600
+    assert hash_sample(df, 5000, "id").count() == 5000
+
+
+def test_settled_tables_survive_their_source(spark):
+    from wayspan.llm.common import settled, shared_root
+
+    t = settled(spark.range(10).repartition(3))
+    assert t.count() == 10 and all(f.startswith(shared_root(spark)) for f in t.inputFiles())
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

@@ -30,7 +30,7 @@ from .common import hash_sample
 
 BUCKETS = 1 << 15
 #: At most so many documents (of least hash), and so many lines of each, form the unknown class.
-UNKNOWN_DOCS = 2_000
+UNKNOWN_DOCS = 800
 UNKNOWN_LINES = 10
 MIN_PROBABILITY = 0.6
 MIN_CONTAINED = 0.6

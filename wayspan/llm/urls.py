@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, settled
 
 #: Bits for each listed URL, and the most blocks (of 32 bytes) that are broadcast: 32 MB.
 BITS_PER_KEY = 16
@@ -112,7 +112,8 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     rule, allow = rule_column(F.col("host"), F.col("path"), rules)
     p = p.withColumns({"rule": rule.cast("string"), "allow": allow.cast("boolean")})
     p = p.withColumn("key", F.when(F.col("rule").isNull() & (F.col("host") != ""), canonical(F.col("host"), F.col("path"))))
-    found = listed_hits(p.where("key is not null").select("key"), listed).withColumn("listed", F.lit(True))
+    # both settled: the list is counted and read again, and the join with all pages can split an URL that many share
+    found = settled(listed_hits(p.where("key is not null").select("key"), settled(listed))).withColumn("listed", F.lit(True))
     out = p.join(found, "key", "left")
     verdict = F.when(F.coalesce("allow", F.col("listed").isNull()), "allow").otherwise("block")
     return out.select(F.col("page_id"), "host", "path", "rule", verdict.alias("verdict"))
