@@ -14,7 +14,8 @@ components of links; a class is named by its least doc_id.
 
 Defined cases: a text of one to four words has one shingle, all its words; a text
 without words (null, empty) is alone in its class; equal texts form one class
-through their digest, without any pairing; rows that share a doc_id share a class;
+through their digest, without any pairing; rows that share a doc_id share a class (of
+their texts the greatest is compared);
 a null doc_id has a null class; an empty table gives an empty result; extra columns
 are ignored, or kept by ``keep_one``.
 """
@@ -222,8 +223,12 @@ def components(nodes_in_links: DataFrame, rounds: int = 50) -> DataFrame:
 
 
 def _stars(members: DataFrame, *key: str) -> DataFrame:
-    """(a, b): every member of a bucket with the least one."""
-    centre = members.groupBy(*key).agg(F.min("node").alias("a"), F.max("node").alias("__hi")).where("a < __hi").drop("__hi")
+    """(a, b): every member of a bucket with the least one.
+
+    Centres are settled first: their join then has two exchanges of its own, and
+    adaptive execution can split a bucket that a third of all texts share.
+    """
+    centre = settled(members.groupBy(*key).agg(F.min("node").alias("a"), F.max("node").alias("__hi")).where("a < __hi").drop("__hi"))
     return members.join(centre, list(key)).where("node != a").select("a", F.col("node").alias("b"))
 
 
@@ -272,7 +277,7 @@ def _in_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
 
     A block is bounded; what a bucket emits is what the small bags find similar.
     """
-    centre = members.groupBy("band", "key").agg(F.min_by("label", "node").alias("main"), F.max("n").alias("of"))
+    centre = settled(members.groupBy("band", "key").agg(F.min_by("label", "node").alias("main"), F.max("n").alias("of")))
     bags = settled(texts.join(members.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(_small_bags, "node long, bag binary"))
     m = members.drop("n").join(centre, ["band", "key"]).join(bags, "node")
     m = m.withColumns({"block": F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("of") / BLOCK))), "out": F.col("label") != F.col("main")})
@@ -288,17 +293,19 @@ def distinct_texts(sig: DataFrame) -> DataFrame:
     return t
 
 
-def links(docs: DataFrame, sig: DataFrame) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Verified links between distinct texts that join them into their classes."""
-    nodes = settled(distinct_texts(sig))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("node")).agg(F.max("text").alias("text"))
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     pairs = settled(_stars(buckets, "band", "key").distinct())
+    # texts that are a candidate at all (the open members below are among them), by the same plan at any size
+    asked = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked.hint("merge"), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("node")).agg(F.max("text").alias("text"))
+    texts = settled(texts)
     first = settled(verified(pairs, texts))
     # buckets that their centre did not join into one class
     labels = components(first)
     at = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    parts = at.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi").drop("lo", "hi")
+    parts = settled(at.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi").drop("lo", "hi"))
     open_ = settled(at.join(parts, ["band", "key"]).join(nodes.select("node", "bands", "registers"), "node"))
     small = open_.where(F.col("n") <= SMALL).select("band", "key", "node", "label")
     other = small.select("band", "key", F.col("node").alias("b"), F.col("label").alias("label_b"))
@@ -312,8 +319,10 @@ def links(docs: DataFrame, sig: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, class_id (least doc_id of its class), copy_of (least doc_id with the same text)."""
     sig = settled(signatures(docs))
-    label = components(links(docs, sig))
-    texts = distinct_texts(sig).drop("bands", "registers").join(label, "node", "left").select("k1", "k2", "node", F.coalesce("label", "node").alias("class_id"))
+    nodes = settled(distinct_texts(sig))
+    label = components(links(docs, nodes))
+    # settled, so that the join with all rows can split a text that a third of them share
+    texts = settled(nodes.select("k1", "k2", "node").join(label, "node", "left").select("k1", "k2", "node", F.coalesce("label", "node").alias("class_id")))
     out = sig.select("doc_id", "k1", "k2").join(texts, ["k1", "k2"], "left")
     known = F.col("doc_id").isNotNull()
     return out.select("doc_id", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(known, F.coalesce("node", "doc_id")).alias("copy_of"))
