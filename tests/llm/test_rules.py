@@ -147,6 +147,24 @@ def test_disguises(text, kind, found):
     assert spans == ([found] if found else spans[:0]) if kind != "card" or found else True
 
 
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("write jane at firma dot gr now", ["jane at firma dot gr"]),
+        ("jane at shop dot online, bo dot li at firma dot co dot za", ["jane at shop dot online", "bo dot li at firma dot co dot za"]),
+        ("reach jane at example.com at noon", ["jane at example.com"]),
+        ("write at john.doe at example.com", ["john.doe at example.com"]),
+        ("mail at john.doe [at] example.com", ["john.doe [at] example.com"]),
+        ("jane at firma dot com @ noon, bo at firma dot com_x", ["jane at firma dot com", "bo at firma dot com"]),
+        ("order at firma dot com or me at firma dot org", ["order at firma dot com", "me at firma dot org"]),
+        ("visit us at example.com, look at node.js; we stopped at noon.Then left at 10.30pm", []),
+        ("look at the dot on it, or at each dot inside", []),
+    ],
+)
+def test_bare_words(text, found):
+    assert [text[a:z] for a, z in pii.find(text)[1]["email"]] == found
+
+
 def test_base_spans_stay():
     text = "x@y.org (at) z.org and 1.2.3.4"
     base, added = pii.find(text)

@@ -40,8 +40,18 @@ HOMOGLYPHS = {
 NUMERALS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 INVISIBLE = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 
-#: Last labels of a host that make words joined by a bare "at" and "dot" an address.
+#: Last labels of a host that make words joined by a bare "at" and "dot" an address, whatever the words.
 LAST_LABELS = frozenset("com org net edu gov mil int info biz io co uk de fr es it nl eu us ca au jp cn in ru br ch at be se no dk fi pl pt cz me tv app dev example test".split())
+# Words that tell prose from an address joined by a bare "at": before it, as a label of the host, and as its last label.
+NO_LOCAL = frozenset(
+    "a about all also and are arrive arrived arrives as available be been being both but by down error even exception failed for found from glance glanced go gone had has have he her here him his hosted how i in is it its just laugh laughed least like line lived lives look looked looking looks me meet meeting "
+    "met more most no not now of off on once only online or our pointed pointing registered released seen she shouted smiled so sold stare stared stay stayed stopped stored studied than that the them then there these they this those to today us was we were what when where which while who with worked working works yet you".split()
+)
+NO_HOST = frozenset("a about all an and any are as at be but by each every for from had has have he her his how i if in into is its last least my no not of on or our she so some such than that the their them then there these they this those to was we were what when where which while who with you your".split())
+#: Words of prose that are countries' labels as well.
+COUNTRIES = frozenset("as at be by in is my no so to".split())
+#: Ends of file names.
+NO_LAST = frozenset("cpp css csv exe htm html java jpg js json pdf php png ts txt xml".split())
 
 FOLD = {ord(k): v for k, v in HOMOGLYPHS.items()}
 FOLD |= {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}  # full-width forms
@@ -56,8 +66,10 @@ _O, _C = r"[\[({<]", r"[\])}>]"
 _AT_TAG = re.compile(rf"\s*{_O}\s*(?:at|@)\s*{_C}\s*|\s*_at_\s*", re.IGNORECASE)
 _DOT_TAG = re.compile(rf"\s*{_O}\s*(?:dot|\.)\s*{_C}\s*|\s*_dot_\s*", re.IGNORECASE)
 _DOT_WORD = re.compile(r"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.IGNORECASE)
-#: A bare "at" counts only before a host whose first dot is disguised as well.
-_AT_WORD = re.compile(r"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=[A-Za-z0-9-]+\x00)", re.IGNORECASE)
+#: A bare "at" counts only before a dotted host, whether its dots are disguised or not, that is no local part itself.
+_AT_WORD = re.compile(r"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=[A-Za-z0-9-]++(?:[.\x00][A-Za-z0-9-]++)++(?![A-Za-z0-9._%+-]*@|[ \t]+(?:at|@)[ \t]+[A-Za-z0-9-]+[.\x00]))", re.IGNORECASE)
+#: In the source: a bare "at" before a plain dot.
+_AT_PLAIN = re.compile(r"[A-Za-z0-9][ \t]+at[ \t]+[A-Za-z0-9-]+\.[A-Za-z0-9]", re.IGNORECASE)
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+@[ \t]+(?=[A-Za-z0-9-]+[.\x00])")
 _MARKED = re.compile("[@\uff20_\\[\\](){}<>]")
 _HINT = re.compile(rf"{_O}\s*(?:at|dot|@|\.)\s*{_C}|_at_|_dot_|\sdot\s|\s@\s|(?<![A-Za-z])(?:{_NUMERAL})[\s,-]+(?:{_NUMERAL}|[0-9])(?![A-Za-z])", re.IGNORECASE)
@@ -155,7 +167,24 @@ def disguised(text: str) -> bool:
     low = text if text.islower() else text.lower()
     if not text.isascii() and _ODD.search(text):
         return True
-    return any(h in low for h in _HINT_FAST) and bool(_HINT.search(low)) or bool(_NUM_HINT.search(low))
+    if any(h in low for h in _HINT_FAST) and _HINT.search(low) or _NUM_HINT.search(low):
+        return True
+    return (" at" in low or "\tat" in low) and bool(_AT_PLAIN.search(low))
+
+
+def likely(address: str, plain: bool) -> bool:
+    """Whether words joined by a bare "at" are an address rather than prose; ``plain`` if its dot was not disguised."""
+    local, _, host = address.partition("@")
+    labels = host.split(".")
+    last = labels[-1]
+    if not plain and last.lower() in LAST_LABELS:
+        return True
+    if not (last.isascii() and last.isalpha() and len(last) >= 2) or local.lower() in NO_LOCAL or any(x.lower() in NO_HOST for x in labels[:-1]):
+        return False
+    if last.lower() in NO_LAST or last.lower() in NO_HOST - COUNTRIES:
+        return False
+    # "at noon.Then": a plain dot before a capital ends a sentence
+    return not (plain and last[0].isupper() and labels[-2][:1].islower())
 
 
 def deobfuscated(text: str) -> dict[str, list[tuple[int, int]]]:
@@ -176,7 +205,12 @@ def deobfuscated(text: str) -> dict[str, list[tuple[int, int]]]:
     for kind, spans in detect(tape.text).items():
         found = [(int(tape.start[a]), int(tape.end[z - 1]), tape.text[a:z]) for a, z in spans]
         if kind == "email":
-            found = [f for f in found if _MARKED.search(text, f[0], f[1]) or f[2].rpartition(".")[2].lower() in LAST_LABELS]
+            kept = []
+            for f in found:
+                plain = bool(_AT_PLAIN.search(text, f[0], f[1]))
+                if _MARKED.search(text, f[0], f[1]) and not plain or likely(f[2], plain):
+                    kept.append(f)
+            found = kept
         out[kind] = [f[:2] for f in found]
     return out
 
