@@ -1,3 +1,5 @@
+import textwrap
+
 import brute
 import numpy as np
 import pyarrow as pa
@@ -253,6 +255,30 @@ def test_license(docs, frame):
     assert license.scan(frame([]), model).count() == 0
 
 
+WRAPPED = {
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+}
+
+
+def test_license_wrapped(docs, frame):
+    """Hard-wrapped notices are found once each, whatever the width, the comment marks and the line ends."""
+    model = license.fit(docs)
+    forms = [(w, mark, end) for w in (40, 60, 72, 80) for mark, end in (("", "\n"), (" * ", "\r\n"), ("# ", "\n\n"))]
+    rows, want = [], {}
+    for family, text in WRAPPED.items():
+        for w, mark, end in forms:
+            rows.append((len(rows), end.join(mark + x for x in ["Some file of ours", *textwrap.wrap(text, w), "and then more of it"])))
+            want[rows[-1][0]] = (family, 1)
+    rows += [(900, "\n".join(textwrap.wrap(WRAPPED["GPL-3.0"] + " " + WRAPPED["BSD"], 72))), (901, "Permission is granted\nto use the software and the terms of the\npublic library, which is free of charge"), (902, WRAPPED["MIT"][:60])]
+    want |= {900: ("BSD,GPL-3.0", 2), 901: ("", 0), 902: ("", 0)}
+    got = {r.doc_id: (r.families, r.n_confirmed) for r in license.scan(frame(rows), model).collect()}
+    assert {k: got[k] for k in want} == want
+
+
 def test_license_held_out():
     """Damaged notices that training has not seen: families found, fragments left alone."""
     model = license.train(license.damaged(seed=1))

@@ -6,6 +6,13 @@ families and an unknown class; a temperature fitted on a held-out part calibrate
 it.  A family is reported if it is likelier than ``MIN_PROBABILITY`` and one of its
 templates confirms it by containment of word bigrams.
 
+Notices wrapped over several lines are found as windows: wherever so many bigrams
+of a template stand within ``SPAN`` of its length, the words from the first to the
+last of them are judged as one paragraph, whatever lines they lie on.  Of confirmed
+notices that overlap, on one line or on several, the one that holds most of its
+template counts, then the shortest, then the likeliest.  ``n_paragraphs`` counts
+lines; ``n_predicted`` counts lines and confirmed windows.
+
 Training rows: templates cut, merged and damaged by rule, against a bounded sample
 of paragraphs of the corpus itself as the unknown class.
 
@@ -17,6 +24,8 @@ ignored.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +43,10 @@ UNKNOWN_DOCS = 800
 UNKNOWN_LINES = 10
 MIN_PROBABILITY = 0.6
 MIN_CONTAINED = 0.6
+#: Words that a wrapped notice may be spread over, as a multiple of its template's (and ten more).
+SPAN = 2
+#: Words without a new bigram of the template that end a notice.
+GAP = 10
 SEED = 11
 
 # Wording of common licence notices, by family.
@@ -91,6 +104,67 @@ def line_features(data: np.ndarray, offs: np.ndarray):
     return ls, le, lrow, para, bucket, size
 
 
+def _hashed(low: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words (start, end) of rows, and their bigrams (hash, index of the first word), with the row of each word."""
+    ws, we, row = tv.words(low, offs, tv.ALNUM)
+    two, at = tv.windows(tv.MAIN.ranges(tv.MAIN.prefix(low), ws, we), row, 2)
+    return ws, we, row, two, at
+
+
+@functools.cache
+def _grams() -> tuple[np.ndarray, list[tuple[np.ndarray, int, int]]]:
+    """Hashes of all templates' bigrams, sorted; per template which of them it has, how many confirm it, and its span."""
+    of = []
+    for texts in TEMPLATES.values():
+        for text in texts:
+            raw = np.frombuffer(" ".join(_words(text)).encode(), np.uint8)
+            ws, _, _, two, _ = _hashed(raw, np.array([0, len(raw)]))
+            of.append((np.unique(two), len(ws)))
+    known = np.unique(np.concatenate([t for t, _ in of]))
+    return known, [(np.isin(known, t), math.ceil(MIN_CONTAINED * len(t) - 1e-9), SPAN * n + 10) for t, n in of]
+
+
+def _whole(gram: np.ndarray, place: np.ndarray, first: int, last: int) -> int:
+    """The last hit in first..last that adds a new bigram and lies at most ``GAP`` words after the one before."""
+    seen, end = {gram[first]}, first
+    for i in range(first + 1, last + 1):
+        if place[i] - place[end] > GAP:
+            break
+        if gram[i] not in seen:
+            seen.add(gram[i])
+            end = i
+    return end
+
+
+def windows(data: np.ndarray, offs: np.ndarray, ls: np.ndarray) -> np.ndarray:
+    """Passages over two lines or more (start, end, first line, last line) that hold as many bigrams of a template as confirm it.
+
+    ``ls`` are the starts of all lines with words.  From each hit on, the least such passage and the ``_whole`` one.
+    """
+    known, templates = _grams()
+    ws, we, row, two, at = _hashed(tv.LOWER[data], offs)
+    if not len(two):
+        return np.zeros((0, 4), np.int64)
+    gram = np.searchsorted(known, two).clip(max=len(known) - 1)
+    hit = known[gram] == two
+    gram, at = gram[hit], at[hit]
+    line = np.searchsorted(ls, ws, side="right") - 1
+    out = [np.zeros((0, 4), np.int64)]
+    for has, least, span in templates:
+        p, g = at[has[gram]], gram[has[gram]]
+        if len(p) < least:
+            continue
+        # a span ends with its row; gaps of span words between rows keep them apart
+        place = p + row[p] * span
+        k = np.flatnonzero(place[least - 1 :] - place[: len(place) - least + 1] < span)
+        last = np.searchsorted(place, place[k] + span, side="left") - 1
+        whole = np.array([_whole(g, place, a, z) for a, z in zip(k.tolist(), last.tolist(), strict=True)], np.int64)
+        for end in (k + least - 1, whole):
+            out.append(np.stack([ws[p[k]], we[p[end] + 1], line[p[k]], line[p[end] + 1]], axis=1))
+    found = np.unique(np.concatenate(out), axis=0)
+    return found[found[:, 3] > found[:, 2]]
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # active bucket -> class; class 0 is unknown
@@ -182,6 +256,36 @@ def fit(docs: DataFrame, unknown_docs: int = UNKNOWN_DOCS) -> Model:
     return train(damaged() + sorted(set(other)))
 
 
+def held(data: np.ndarray, start: int, end: int, family: str) -> tuple[float, int, int]:
+    """The largest share of a template of the family that the passage holds, and where its bigrams begin and end."""
+    raw = tv.LOWER[data[start:end]]
+    ws, we, _ = tv.words(raw, np.array([0, len(raw)]), tv.ALNUM)
+    words = [raw[a:z].tobytes().decode() for a, z in zip(ws.tolist(), we.tolist(), strict=True)]
+    have, best = _bigrams(words), (0.0, start, end)
+    for t in (_bigrams(_words(x)) for x in TEMPLATES[family]):
+        if (share := len(have & t) / len(t)) > best[0]:
+            at = [i for i, two in enumerate(zip(words, words[1:], strict=False)) if two in t] or [0]
+            best = (share, start + int(ws[at[0]]), start + int(we[min(at[-1] + 1, len(we) - 1)]))
+    return best
+
+
+def wrapped(model: Model, data: np.ndarray, offs: np.ndarray, ls: np.ndarray) -> list[tuple]:
+    """Confirmed notices on several lines, as (-share, size, -probability, start, line, family)."""
+    runs = windows(data, offs, ls)
+    if not len(runs):
+        return []
+    raw = [data[a:z].tobytes().replace(b"\n", b" ").replace(b"\r", b" ") for a, z, _, _ in runs.tolist()]
+    _, _, at, para, bucket, size = line_features(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64))
+    ids, p = model.probabilities(para, bucket, size)
+    out = []
+    for i, of in zip(ids.tolist(), p, strict=True):
+        if (k := int(of.argmax())) and of[k] >= MIN_PROBABILITY:
+            start, end, line, _ = runs[at[i]].tolist()
+            if (share := held(data, start, end, FAMILIES[k - 1])[0]) >= MIN_CONTAINED:
+                out.append((-share, end - start, -float(of[k]), start, line, FAMILIES[k - 1]))
+    return out
+
+
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """Per document: paragraphs, predicted and confirmed licence paragraphs, families."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -195,14 +299,24 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
                 best, families = np.zeros(n), [set() for _ in range(n)]
                 ids, p = shared.value.probabilities(para, bucket, size)
                 top = p.argmax(axis=1) if len(ids) else ids
+                found = []
                 for i in np.flatnonzero((top > 0) & (p.max(axis=1, initial=0) >= MIN_PROBABILITY)) if len(ids) else ():
                     k, r = int(ids[i]), int(lrow[ids[i]])
                     family = FAMILIES[top[i] - 1]
                     predicted[r] += 1
-                    if containment(_words(data[ls[k] : le[k]].tobytes().decode()), family) >= MIN_CONTAINED:
+                    share, start, end = held(data, int(ls[k]), int(le[k]), family)
+                    if share >= MIN_CONTAINED:
+                        found.append((-share, end - start, -float(p[i, top[i]]), start, k, family, True))
+                found += [(*f, False) for f in wrapped(shared.value, data, offs, ls)]
+                taken = np.zeros(len(data), bool)
+                for _, length, neg, start, k, family, alone in sorted(found):
+                    if not taken[start : start + length].any():
+                        taken[start : start + length] = True
+                        r = int(lrow[k])
+                        predicted[r] += not alone
                         confirmed[r] += 1
                         families[r].add(family)
-                        best[r] = max(best[r], p[i, top[i]])
+                        best[r] = max(best[r], -neg)
                 cols = [b.column("doc_id").slice(lo, n), pa.array(np.bincount(lrow, minlength=n)), pa.array(predicted), pa.array(confirmed), pa.array([",".join(sorted(f)) for f in families], pa.string()), pa.array(np.round(best, 6))]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_paragraphs", "n_predicted", "n_confirmed", "families", "probability"])
 
