@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayspan.llm import decontam, mixing, neardup, pii, quality
-from wayspan.llm.common import settled, table
+from wayspan.llm.common import table
+from wayspan.tables import settled
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
