@@ -65,26 +65,130 @@ def test_cover_reaches_every_pair():
 def test_meet_across_batches():
     """The same decisions whatever the batches are cut to."""
     rng = random.Random(3)
-    rows = sorted((rng.randint(0, 40), rng.randint(0, 2), rng.randint(0, 3), i) for i in range(200))
+    rows = sorted((rng.randint(0, 60), rng.choice((0, 0, 0, 1, 2)), rng.randint(0, 9), i) for i in range(200))
+    rows += [(1000 + i, 5, 5, ~i) for i in range(9)]  # settled before, each under a gram of its own
 
     def run(size):
-        batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i : i + size]], pa.int64()) for k in (0, 1, 2, 3)], ["gram", "digest", "doc", "place"]) for i in range(0, len(rows), size)]
-        return sorted(tuple(x) for b in substrings._meet(iter(batches)) for x in zip(*(b.column(c).to_pylist() for c in ("doc", "place", "gram", "fine")), strict=True))
-
-    want = []
-    for g in {r[0] for r in rows}:
-        digests = {}
-        for r in rows:
-            if r[0] == g:
-                digests.setdefault(r[1], []).append(r)
-        for group in digests.values():
-            want += [(r[2], r[3], g, False) for r in group if r[2] > group[0][2]]
-            if len(digests) > 1:
-                want += [(r[2], r[3], g, True) for r in group if r[2] == group[0][2]]
-    for size in (1, 2, 3, 7, 50, 200):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i : i + size]], pa.int64()) for k in range(4)], ["gram", "doc", "tid", "place"]) for i in range(0, len(rows), size)]
+        return sorted(tuple(x) for b in substrings._meet(iter(batches)) for x in zip(*(b.column(c).to_pylist() for c in ("tid", "place", "gram", "fine")), strict=True))
+
+    docs = {}
+    for g, doc, _, _ in rows:
+        docs.setdefault(g, set()).add(doc)
+    want = [(t, p, g, True) for g, _, t, p in rows if len(docs[g]) > 1] + [(t, ~p, g, False) for g, _, t, p in rows if p < 0]
+    for size in (1, 2, 3, 7, 50, 300):
         assert run(size) == sorted(want)
 
 
+@pytest.mark.parametrize("common", [False, True])
+def test_entries_cover_every_window(common):
+    """Each window is in one entry, and equal windows are under one gram, whichever grams are common."""
+    rng = random.Random(4)
+    passage = "".join(rng.choices("abc ", k=400))
+    texts = [passage[rng.randrange(200) :] + "".join(rng.choices("abc ", k=rng.randrange(80))) + passage[: rng.randrange(300)] for _ in range(20)] + ["x" * 9000, "", "y" * 49, "z" * 50]
+    order = substrings.Order(tv.grams(np.frombuffer(passage.encode(), np.uint8), substrings.GRAM)) if common else substrings.PLAIN
+    gram_of, seen = {}, set()
+    (_, _, data, offs), = tv.text_slices(pa.array(texts))
+    raw = data.tobytes()
+    for g, r, at, n in zip(*(c.tolist() for c in substrings.entries(data, offs, order)), strict=True):
+        assert n <= substrings.MOST_WINDOWS
+        for k in range(at, at + n):
+            assert k not in seen and k + 50 <= offs[r + 1]
+            seen.add(k)
+            assert gram_of.setdefault(raw[k : k + 50], g) == g
+    assert len(seen) == sum(max(0, len(t) - 49) for t in texts)
+
+
+def test_common_grams_leave_small_buckets(frame):
+    """A run that many texts hold between words of their own gathers none of them under one gram."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=60))
+    texts = [word() + " " * 20 + word() for _ in range(400)]
+    common = substrings.common_grams(frame(list(enumerate(texts))))
+    sizes = []
+    for order in (substrings.PLAIN, substrings.Order(common)):
+        (_, _, data, offs), = tv.text_slices(pa.array(texts))
+        g = substrings.entries(data, offs, order)[0]
+        sizes.append(np.unique(g, return_counts=True)[1].max())
+    assert sizes[0] > 100 and sizes[1] < substrings.SAMPLE_SHARED
+
+
+def test_suffix_dedup_of_many_texts_under_one_id(frame):
+    """More texts share a doc_id than any tag of a few bits could tell apart; each loses its own span."""
+    rng = random.Random(10)
+    word = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    passage = word(70)
+    rows = [(1, passage)] + [(2, word(rng.randrange(60)) + passage + word(rng.randrange(60))) for _ in range(4200)]
+    got = sorted(tuple(r) for r in substrings.dedup(frame(rows)).collect())
+    assert got == sorted(brute.repeated_bytes(rows))
+
+
+def thue_morse(n, letters="ab"):
+    s = "".join(letters[bin(i).count("1") & 1] for i in range(n))
+    return s, s.translate(str.maketrans(letters, letters[::-1]))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 8192])
+def test_texts_that_weak_hashes_confuse(frame, n):
+    """Thue-Morse strings and their complements, as letters and as words."""
+    a, b = thue_morse(n)
+    x, y = (" ".join({"a": "left", "b": "right"}[c] for c in s) for s in (a, b))
+    rows = [(1, a), (2, b), (3, a + " end"), (4, b + " end"), (5, x + " one two three four five"), (6, y + " six seven eight nine ten")]
+    got = {r.doc_id: (r.class_id, r.copy_of) for r in neardup.classes(frame(rows)).collect()}
+    assert {i: c for i, (c, _) in got.items()} == brute.near_classes(rows)
+    assert all(copy == i for i, (_, copy) in got.items())
+    assert sorted(tuple(r) for r in substrings.dedup(frame(rows[:4])).collect()) == sorted(brute.repeated_bytes(rows[:4]))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_range_hashes(seed):
+    """Equal bytes have equal hashes wherever they lie, beyond the tabled powers too."""
+    rng = np.random.default_rng(seed)
+    data = rng.integers(0, 256, tv.SPAN * 2 + 5000, np.uint8).astype(np.uint8)
+    piece = data[100:1100].copy()
+    places = np.array([100, tv.STEP - 500, tv.SPAN - 300, tv.SPAN + 2007, 2 * tv.SPAN + 3000])
+    for at in places:
+        data[at : at + 1000] = piece
+    pre = tv.MAIN.prefix(data)
+    h = tv.MAIN.ranges(pre, places, places + 1000)
+    assert len(set(h.tolist())) == 1
+    alone = tv.MAIN.ranges(tv.MAIN.prefix(piece), np.array([0]), np.array([1000]))
+    assert alone[0] == h[0]
+    p, want = int(tv.P), 0
+    for i, v in enumerate(piece.tolist()):
+        want = (want + (v + 1) * pow(tv.MAIN.base, i, p)) % p
+    assert h[0] == tv.mix(np.array([(want + 1000 * 0xD1342543DE82EF95) % 2**64], np.uint64))[0]
+
+
+def test_block_links_join_what_all_pairs_join():
+    """The classes of a block are those of all similar pairs, though fewer pairs are compared."""
+    rng = np.random.default_rng(5)
+    base = np.sort(rng.integers(0, 2**48, 60).astype(np.uint64))
+    bags = []
+    for _ in range(60):
+        b = base.copy()
+        b[rng.integers(0, 60, rng.integers(0, 14))] = rng.integers(0, 2**48, 1).astype(np.uint64)
+        bags.append(np.unique(b))
+    block = neardup._Block(0, True)
+    block.rows = [(0, i, i, [i], b) for i, b in enumerate(bags)]
+    root = list(range(60))
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    found = list(block.links())
+    for a, b in found:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    got = [find(i) for i in range(60)]
+    root = list(range(60))
+    similar = [(i, j) for i in range(60) for j in range(i) if neardup.similarity(bags[i], bags[j]) >= 0.8]
+    for i, j in similar:
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    assert got == [find(i) for i in range(60)] and len(found) < len(similar)
+
+
 def test_near_classes(docs, docs_rows):
     got = {(r.doc_id, r.class_id) for r in neardup.classes(docs).collect()}
     want = set(brute.near_classes(docs_rows).items())
@@ -114,6 +218,30 @@ def test_keep_one(docs, docs_rows):
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_near_classes_of_a_chain(frame):
+    """A text edited in small steps, version by version, the least ids in the middle: one class."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(200)]
+    versions = []
+    for _ in range(40):
+        versions.append(" ".join(words))
+        for _ in range(4):
+            words[rng.randrange(200)] = f"v{rng.randrange(10**6)}"
+    ids = [0] + [140 - i for i in range(39)]
+    rows = list(zip(ids, versions, strict=True))
+    got = {r.doc_id: r.class_id for r in neardup.classes(frame(rows)).collect()}
+    assert got == brute.near_classes(rows)
+
+
+def test_keep_one_with_any_columns(spark):
+    """Columns without an order, and names that the operator might use itself."""
+    rows = [(1, "a b c", {"x": 1}, 1, 2), (1, "a b d", {"y": 2}, 1, 2), (2, "a b d", None, 1, 2), (None, "z", None, 1, 2), (3, None, {"k": 0}, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a map` map<string,int>, __first int, row int")
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == [(1, "a b d"), (3, None), (None, "z")]
+
+
 def test_near_nothing(frame):
     assert neardup.classes(frame([])).count() == 0
     assert neardup.keep_one(frame([(1, None), (2, "")])).count() == 2

@@ -363,7 +363,7 @@ def test_hash_sample_is_bounded_and_stable(spark):
 
 
 def test_settled_tables_survive_their_source(spark):
-    from wayspan.llm.common import settled, shared_root
+    from wayspan.tables import settled, shared_root
 
     t = settled(spark.range(10).repartition(3))
     assert t.count() == 10 and all(f.startswith(shared_root(spark)) for f in t.inputFiles())

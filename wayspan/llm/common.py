@@ -1,75 +1,24 @@
-"""Shared plumbing: the shared folder and tables written there."""
+"""Shared plumbing of the text operators."""
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_made: list[tuple[SparkSession, str]] = []
-
-
-_own: dict[str, str] = {}  # application -> a folder of ours, where none is set
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``) with its scheme; a local one only if that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        app = spark.sparkContext.applicationId
-        root = _own.get(app) or _own.setdefault(app, tempfile.mkdtemp(prefix="wayspan-"))
-        if "://" not in root:
-            root = f"file://{root}"
-    p = spark._jvm.org.apache.hadoop.fs.Path(root)
-    full = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
-    return re.sub(r"^file:/(?!/)", "file:///", full).rstrip("/")
-
-
-def scratch(spark: SparkSession, what: str) -> str:
-    """A fresh folder name below the shared root; the folder goes when Python ends."""
-    path = f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
-    return path
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a scratch folder through Hadoop's file system, from the driver."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-@atexit.register
-def _sweep() -> None:
-    for spark, path in _made:
-        with contextlib.suppress(Exception):  # the session may be gone
-            delete_path(spark, path)
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """Cut the lineage: written once as Parquet in the shared folder, where a lost executor takes nothing along.
-
-    The shuffle files that made it are dropped at once; the table goes when Python ends.
-    """
-    spark, path = df.sparkSession, scratch(df.sparkSession, "table")
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(wanted: str, taken: list[str]) -> str:
+    """``wanted``, or with a number after it where a column of any case has that name."""
+    low, n, name = {c.lower() for c in taken}, 0, wanted
+    while name.lower() in low:
+        n += 1
+        name = f"{wanted}{n}"
+    return name
+
+
 def hash_sample(df: DataFrame, most: int, *key: str) -> DataFrame:
     """About ``most`` rows at most: those of small key hash, the same in any partitioning; all if there are no more.
 

@@ -9,15 +9,23 @@ below w.  Equal shingles therefore share their points up to the lesser weight, a
 each register, the earliest point dealt to it, agrees between two documents with
 probability sum(min) / sum(max), the weighted Jaccard similarity.
 
-Links are verified on the multisets themselves.  Classes are the connected
-components of links; a class is named by its least doc_id.
+Links are verified on the multisets themselves (shingles of 48 bits).  Equal texts
+are those of equal SHA-256.  Classes are the connected components of links; a class
+is named by its least doc_id.
+
+Within a bucket every text is compared with the least one, its centre.  A bucket
+that this leaves in several classes is finished exactly: members outside the
+centre's class meet all others, in blocks of bounded bytes, and a pair is passed
+over only if both are in one class already or if their overlap is too small by a
+bound that always holds.  So of the pairs that share a bucket no class is missed.
 
 Defined cases: a text of one to four words has one shingle, all its words; a text
 without words (null, empty) is alone in its class; equal texts form one class
 through their digest, without any pairing; rows that share a doc_id share a class (of
-their texts the greatest is compared);
-a null doc_id has a null class; an empty table gives an empty result; extra columns
-are ignored, or kept by ``keep_one``.
+their texts the greatest is compared, and ``keep_one`` keeps it); of equally good
+names the least doc_id wins; a null doc_id has a null class; a very long text is
+one row of every step, its bag 8 bytes a word; an empty table gives an empty result;
+extra columns of any name and type are ignored, or kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -30,19 +38,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import components
+from ..tables import scope, settled
 from . import textvec as tv
-from .common import settled
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: Buckets up to this size are compared pair by pair if links with their centre leave them in parts.
+#: Buckets up to this size that links with their centre leave in parts are finished pair by pair, larger ones in blocks.
 SMALL = 24
-#: Larger buckets left in parts are compared in blocks of so many members, by signature first.
-BLOCK = 512
-#: Of 125 registers, so many agree in a pair worth verifying: at similarity 0.8 all but one in 3,000.
-AGREE = 84
+#: Members and bytes of bags in a block, about; a text larger than that is a block with few others.
+BLOCK, BLOCK_BYTES = 256, 1 << 22
+#: Texts that meet one copy of their centre's text.
+STAR = 256
+#: Parts of a bag whose sizes bound an overlap from above.
+PARTS = 256
 
 
 def shingles(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,21 +140,17 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lo, hi, data, offs in tv.text_slices(b.column("text"), tv.CHUNK_BYTES // 2):
             n = hi - lo
-            k1 = tv.MAIN.ranges(tv.MAIN.prefix(data), offs[:-1], offs[1:])
-            k2 = tv.OTHER.ranges(tv.OTHER.prefix(data), offs[:-1], offs[1:])
             s, row = shingles(data, offs)
             filled = np.bincount(row, minlength=n) > 0
-            signature = bag_minhash(*weighted(s, row), n)
-            keys = band_keys(signature)
-            short = np.ascontiguousarray(tv.mix(signature.view(np.uint64).ravel())).view(np.uint8)[::8].tobytes()
-            short = pa.FixedSizeBinaryArray.from_buffers(pa.binary(REGISTERS), n, [None, pa.py_buffer(short)]).cast(pa.binary())
+            keys = band_keys(bag_minhash(*weighted(s, row), n))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(filled), lists, short], ["doc_id", "k1", "k2", "filled", "bands", "registers"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, n), b.column("k").slice(lo, n), pa.array(filled), lists], ["doc_id", "k", "filled", "bands"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, k1, k2, filled, bands, registers): digest of the text, band keys, a byte of each register; the texts are not shuffled."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_signatures, "doc_id long, k1 long, k2 long, filled boolean, bands array<long>, registers binary")
+    """(doc_id, k, filled, bands): SHA-256 of the text and its band keys; the texts are not shuffled."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2("text", 256)).alias("k"), "text")
+    return d.mapInArrow(_signatures, "doc_id long, k binary, filled boolean, bands array<long>")
 
 
 def tagged(shingle: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -174,19 +181,20 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _verify(least: float):
+    """Rows (a, salt, b, text) in order: the centre's own, where b is null, before the texts to compare it with."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, kept = None, None
-        for b in batches:
-            ids = b.column("a").to_pylist()
-            others = _bags(b.column("text_b"))
-            ok = np.zeros(len(ids), bool)
-            for i, (a, other) in enumerate(zip(ids, others, strict=True)):
-                if a != last:
-                    last, kept = a, _bags(b.column("text_a").slice(i, 1))[0]
-                if min(len(kept), len(other)) >= least * max(len(kept), len(other)):
-                    ok[i] = similarity(kept, other) >= least
+        centre = np.zeros(0, np.uint64)
+        for batch in batches:
+            known = batch.column("b").is_valid().to_numpy(zero_copy_only=False)
+            ok = np.zeros(len(known), bool)
+            for i, bag in enumerate(_bags(batch.column("text"))):
+                if not known[i]:
+                    centre = bag
+                elif min(len(centre), len(bag)) >= least * max(len(centre), len(bag)):
+                    ok[i] = similarity(centre, bag) >= least
             if ok.any():
-                yield b.select(["a", "b"]).filter(pa.array(ok))
+                yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return run
 
@@ -194,32 +202,14 @@ def _verify(least: float):
 def verified(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose multisets are similar enough; texts: (node, text).
 
-    Each row carries both texts; a centre of many pairs is a hot key of an ordinary
-    join, which adaptive execution splits.
+    A centre's pairs are dealt to groups of ``STAR``, and each group gets its text once.
     """
-    t = texts.select("node", "text")
-    near = pairs.join(t.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    full = near.join(t.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
-    return full.mapInArrow(_verify(least), "a long, b long")
-
-
-def components(nodes_in_links: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, label): least node of each connected component of the links (a, b).
-
-    Every round takes the least label among neighbours, then the label of the label;
-    labels stay in distributed tables, checkpointed each round.
-    """
-    links = settled(nodes_in_links.select("a", "b").unionByName(nodes_in_links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = settled(links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
-    for _ in range(rounds):
-        around = links.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        new = labels.join(around, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = settled(new.join(up, "label").select("node", "old", F.least("label", "up").alias("label")))
-        labels = new.select("node", "label")
-        if new.where("label != old").limit(1).count() == 0:
-            return labels
-    raise RuntimeError("labels did not settle")
+    many = settled(pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("groups")))
+    dealt = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).alias("salt"), "b")
+    heads = many.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"))
+    asked = dealt.unionByName(heads).withColumn("node", F.coalesce("b", "a"))
+    rows = asked.join(texts.select("node", "text"), "node").select("a", "salt", "b", "text")
+    return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "b").mapInArrow(_verify(least), "a long, b long")
 
 
 def _stars(members: DataFrame, *key: str) -> DataFrame:
@@ -232,65 +222,102 @@ def _stars(members: DataFrame, *key: str) -> DataFrame:
     return members.join(centre, list(key)).where("node != a").select("a", F.col("node").alias("b"))
 
 
-def _small_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, text) -> (node, bag): shingles cut to 32 bits, which can only add to an overlap."""
+def _packed_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> (node, bag, bytes)."""
     for b in batches:
-        bags = [np.sort(x.astype(np.uint32)).tobytes() for x in _bags(b.column("text"))]
-        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(bags, pa.binary())], ["node", "bag"])
+        at = 0
+        for lo, hi, data, offs in tv.text_slices(b.column("text")):
+            s, row = shingles(data, offs)
+            t, border = tagged(s, row), np.searchsorted(row, np.arange(len(offs)))
+            bags = [np.sort(t[border[i] : border[i + 1]]).tobytes() for i in range(hi - lo)]
+            yield pa.RecordBatch.from_arrays([b.column("node").slice(at, hi - lo), pa.array(bags, pa.binary()), pa.array([len(x) for x in bags], pa.int64())], ["node", "bag", "bytes"])
+            at = hi
+
+
+class _Block:
+    """Members of two blocks of one bucket: ``x`` outside the centre's class, and ``y`` that they meet."""
+
+    def __init__(self, band: int, same: bool):
+        self.band, self.same = band, same
+        self.rows: list[tuple[int, int, int, list[int], np.ndarray]] = []
+
+    def links(self, least: float = SIMILARITY) -> Iterator[tuple[int, int]]:
+        """Pairs that join classes, once each: similar ones whose members no earlier pair of the block has joined."""
+        if not self.rows:
+            return
+        side, node, label = (np.array([r[i] for r in self.rows]) for i in range(3))
+        bands, bags = np.array([r[3] for r in self.rows]), [r[4] for r in self.rows]
+        size = np.array([len(b) for b in bags])
+        parts = np.array([np.bincount((b & tv.U(PARTS - 1)).astype(np.int64), minlength=PARTS) for b in bags], np.int32)
+        root = {int(x): int(x) for x in label}
+
+        def find(v: int) -> int:
+            while root[v] != v:
+                root[v] = v = root[root[v]]
+            return v
+
+        for i in np.flatnonzero(side == 0).tolist():
+            other = (label != label[i]) & (np.arange(len(node)) > i if self.same else side == 1)
+            other &= np.minimum(size, size[i]) >= least * np.maximum(size, size[i])
+            # a pair that shares an earlier band is given by that one's bucket
+            other &= ~(bands[:, : self.band] == bands[i, : self.band]).any(axis=1)
+            y = np.flatnonzero(other)
+            # the parts of two bags overlap by the lesser size at most
+            bound = np.minimum(parts[y], parts[i]).sum(axis=1)
+            enough = bound * (1 + least) >= least * (size[y] + size[i]) - 1e-6
+            for j in y[enough][np.argsort(-bound[enough], kind="stable")].tolist():
+                p, q = find(int(label[i])), find(int(label[j]))
+                if p != q and similarity(bags[i], bags[j]) >= least:
+                    root[max(p, q)] = min(p, q)
+                    yield min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of two blocks of a bucket, pairs with different labels that are similar by their small bags.
-
-    Registers are compared first.  A pair is given by the first band that it shares, once.
-    """
+    """Rows come sorted by bucket, pair of blocks and side; one pair of blocks is held at a time."""
+    last, block = None, _Block(0, False)
     for b in batches:
-        for i in range(b.num_rows):
-            band = b.column("band")[i].as_py()
-            node, label, keys, regs, bags = ([], [], [], [], [])
-            for side in ("x", "y"):
-                v = b.column(side)[i].values
-                node.append(v.field("node").to_numpy())
-                label.append(v.field("label").to_numpy())
-                keys.append(np.array(v.field("bands").to_pylist(), np.int64))
-                regs.append(np.frombuffer(b"".join(v.field("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS))
-                bags.append([np.frombuffer(x, np.uint32) for x in v.field("bag").to_pylist()])
-            agree = np.zeros((len(node[0]), len(node[1])), np.uint8)
-            for r in range(REGISTERS):
-                agree += regs[0][:, r, None] == regs[1][None, :, r]
-            size = [np.array([len(x) for x in side]) for side in bags]
-            low, high = np.minimum.outer(size[0], size[1]), np.maximum.outer(size[0], size[1])
-            ok = (agree >= AGREE) & (label[0][:, None] != label[1][None, :]) & (low >= SIMILARITY * high)
-            if b.column("both")[i].as_py():  # two blocks outside the centre's class meet in either order
-                ok &= node[0][:, None] < node[1][None, :]
-            x, y = np.nonzero(ok)
-            new = ~(keys[0][x, :band] == keys[1][y, :band]).any(axis=1)
-            found = [(p, q) for p, q in zip(x[new].tolist(), y[new].tolist(), strict=True) if similarity(bags[0][p], bags[1][q]) >= SIMILARITY]
-            if found:
-                x, y = np.array(found).T
-                x, y = node[0][x], node[1][y]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+        found = []
+        cols = [b.column(c).to_pylist() for c in ("band", "key", "i", "j", "side", "node", "label", "bands")]
+        for r, bag in zip(zip(*cols, strict=True), b.column("bag"), strict=True):
+            if r[:4] != last:
+                found += block.links()
+                last, block = r[:4], _Block(r[0], r[2] == r[3])
+            block.rows.append((*r[4:], np.frombuffer(bag.as_py(), np.uint64)))
+        if found:
+            yield _pairs(found)
+    if found := list(block.links()):
+        yield _pairs(found)
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
 def _in_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Candidate pairs of large buckets: members outside the centre's class against all, block by block.
+    """Verified links that join the classes of large buckets: members outside the centre's class against all, block by block.
 
-    A block is bounded; what a bucket emits is what the small bags find similar.
+    A member outside goes, as x, to the pairs (its block, j) and, as y, to those of
+    earlier blocks; one inside goes, as y, to the pairs (i, its block).
     """
-    centre = settled(members.groupBy("band", "key").agg(F.min_by("label", "node").alias("main"), F.max("n").alias("of")))
-    bags = settled(texts.join(members.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(_small_bags, "node long, bag binary"))
-    m = members.drop("n").join(centre, ["band", "key"]).join(bags, "node")
-    m = m.withColumns({"block": F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("of") / BLOCK))), "out": F.col("label") != F.col("main")})
-    packed = m.groupBy("band", "key", "out", "block").agg(F.collect_list(F.struct("node", "label", "bands", "registers", "bag")).alias("rows"))
-    x = packed.where("out").select("band", "key", F.col("rows").alias("x"))
-    y = packed.select("band", "key", F.col("out").alias("both"), F.col("rows").alias("y"))
-    return x.join(y, ["band", "key"]).select("band", "both", "x", "y").mapInArrow(_compare, "a long, b long")
+    bags = settled(texts.join(members.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(_packed_bags, "node long, bag binary, bytes long"))
+    sized = members.join(bags.select("node", "bytes"), "node")
+    need = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES))
+    centre = settled(sized.groupBy("band", "key").agg(F.min_by("label", "node").alias("main"), need.alias("blocks")))
+    m = members.drop("n").join(centre, ["band", "key"])
+    m = m.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")), "out": F.col("label") != F.col("main"), "every": F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)})
+    place = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+    mine = F.col("block")
+    as_x = F.transform("every", lambda k: place(mine, k, 0))
+    as_y = F.transform("every", lambda k: place(k, mine, 1))
+    to = F.when(F.col("out"), F.concat(as_x, F.filter(as_y, lambda p: p["i"] < mine))).otherwise(as_y)
+    dealt = m.select("band", "key", "node", "label", "bands", F.explode(to).alias("p")).select("band", "key", "p.*", "node", "label", "bands")
+    rows = dealt.join(bags.select("node", "bag"), "node").repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "side", "node")
+    return rows.select("band", "key", "i", "j", "side", "node", "label", "bands", "bag").mapInArrow(_compare, "a long, b long")
 
 
 def distinct_texts(sig: DataFrame) -> DataFrame:
     """One row for each text: its least doc_id (node), digest and bands."""
-    t = sig.where("filled and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.min("bands").alias("bands"), F.min("registers").alias("registers"))
-    return t
+    return sig.where("filled and doc_id is not null").groupBy("k").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -303,35 +330,41 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     texts = settled(texts)
     first = settled(verified(pairs, texts))
     # buckets that their centre did not join into one class
-    labels = components(first)
+    labels = settled(components(first))
     at = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     parts = settled(at.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi").drop("lo", "hi"))
-    open_ = settled(at.join(parts, ["band", "key"]).join(nodes.select("node", "bands", "registers"), "node"))
+    open_ = settled(at.join(parts, ["band", "key"]).join(nodes.select("node", "bands"), "node"))
     small = open_.where(F.col("n") <= SMALL).select("band", "key", "node", "label")
     other = small.select("band", "key", F.col("node").alias("b"), F.col("label").alias("label_b"))
     more = small.join(other, ["band", "key"]).where("node < b and label != label_b").select(F.col("node").alias("a"), "b")
-    more = more.unionByName(_in_blocks(open_.where(F.col("n") > SMALL), texts)).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = more.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
-    more = settled(more.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
-    return first.unionByName(settled(verified(more, texts)))
+    more = settled(more.distinct().join(pairs, ["a", "b"], "left_anti"))
+    large = open_.where(F.col("n") > SMALL)
+    return first.unionByName(verified(more, texts)).unionByName(_in_blocks(large, texts))
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, class_id (least doc_id of its class), copy_of (least doc_id with the same text)."""
-    sig = settled(signatures(docs))
-    nodes = settled(distinct_texts(sig))
-    label = components(links(docs, nodes))
-    # settled, so that the join with all rows can split a text that a third of them share
-    texts = settled(nodes.select("k1", "k2", "node").join(label, "node", "left").select("k1", "k2", "node", F.coalesce("label", "node").alias("class_id")))
-    out = sig.select("doc_id", "k1", "k2").join(texts, ["k1", "k2"], "left")
-    known = F.col("doc_id").isNotNull()
-    return out.select("doc_id", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(known, F.coalesce("node", "doc_id")).alias("copy_of"))
+    with scope() as kept:
+        sig = settled(signatures(docs))
+        nodes = settled(distinct_texts(sig))
+        label = components(links(docs, nodes))
+        # settled, so that the join with all rows can split a text that a third of them share
+        texts = settled(nodes.select("k", "node").join(label, "node", "left").select("k", "node", F.coalesce("label", "node").alias("class_id")))
+        out = sig.select("doc_id", "k").join(texts, "k", "left")
+        known = F.col("doc_id").isNotNull()
+        return kept.result(out.select("doc_id", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(known, F.coalesce("node", "doc_id")).alias("copy_of")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each class, that of least doc_id (of repeated rows one), with all columns; rows with a null id stay."""
-    first = classes(docs).where("doc_id = class_id").select(F.col("doc_id").alias("__first")).distinct()
-    names = docs.columns
-    rows = docs.join(first, docs["doc_id"].cast("long") == F.col("__first"), "left_semi")
-    packed = rows.groupBy(F.col("doc_id").alias("__key")).agg(F.min(F.struct(*[F.col(c) for c in names])).alias("__row"))
-    return packed.select("__row.*").unionByName(docs.where("doc_id is null"))
+    """One row of each class, that of least doc_id, with all columns; rows with a null id stay.
+
+    Of rows that share this doc_id the one of greatest text stays, of equal texts that
+    of the greatest digest over all columns.
+    """
+    with scope() as kept:
+        first = kept.result(classes(docs).where("doc_id = class_id").select("doc_id").distinct())
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.alias("d").join(first.alias("f"), F.col("d.doc_id").cast("long") == F.col("f.doc_id"), "left_semi")
+    order = F.struct(F.col("text"), F.sha2(F.to_json(whole), 256))
+    one = rows.groupBy(F.col("doc_id").alias("key")).agg(F.max_by(whole, order).alias("row"))
+    return one.select("row.*").unionByName(docs.where("doc_id is null"))

@@ -1,8 +1,8 @@
 """Vectorised views of Arrow text columns: bytes, words and 64-bit hashes.
 
 A chunk is the UTF-8 of some rows laid end to end (``data``) with row borders
-(``offs``).  Words and windows never cross a border.  Hashes are polynomial over
-random byte values modulo 2**64, taken from prefix sums, so any range costs O(1).
+(``offs``).  Words and windows never cross a border.  Hashes of ranges are polynomials
+modulo 2**61 - 1, taken from prefix sums, so any range costs O(1).
 """
 
 from __future__ import annotations
@@ -27,37 +27,94 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
+#: Modulus of range hashes, a Mersenne prime.
+P = U((1 << 61) - 1)
+_M29, _M30, _M31 = U((1 << 29) - 1), U((1 << 30) - 1), U((1 << 31) - 1)
+#: Powers of the base are tabled for so many places, and prefixes summed so many at a time.
+SPAN, STEP = 1 << 20, 1 << 16
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A number of the same residue modulo P, P + 7 at most."""
+    return (x & P) + (x >> U(61))
+
+
+def mulmod(a, b) -> np.ndarray:
+    """a * b modulo P (not reduced in full), for factors up to P + 7."""
+    ah, al, bh, bl = a >> U(31), a & _M31, b >> U(31), b & _M31
+    mid = al * bh + ah * bl
+    return _fold(((ah * bh) << U(1)) + (mid >> U(30)) + ((mid & _M30) << U(31)) + al * bl)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    have, p = 1, int(P)
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = mulmod(out[:more], U(pow(base, have, p))) % P
+        have += more
+    return out
+
+
 class Hasher:
-    """Range hashes of a byte array under one base and one byte table."""
+    """Range hashes of a byte array: polynomials at a random base modulo 2**61 - 1.
+
+    Two different ranges of n bytes agree for n of 2**61 bases at most, whatever the
+    bytes are.
+    """
 
     def __init__(self, seed: int):
-        rng = np.random.default_rng(seed)
-        self.table = rng.integers(1, 2**63, 256, dtype=np.uint64)
-        self.base = U(int(rng.integers(1, 2**60)) * 8 + 5)
-        self.inv = U(pow(int(self.base), -1, 2**64))
-        self._pow = np.ones(1, np.uint64)
-        self._ipow = np.ones(1, np.uint64)
-
-    def _powers(self, n: int) -> None:
-        if len(self._pow) < n:
-            n = max(n, 2 * len(self._pow))
-            self._pow = np.cumprod(np.concatenate(([U(1)], np.full(n - 1, self.base))), dtype=np.uint64)
-            self._ipow = np.cumprod(np.concatenate(([U(1)], np.full(n - 1, self.inv))), dtype=np.uint64)
+        self.base = int(np.random.default_rng(seed).integers(2**40, 2**60))
+        self._tables: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def _tabled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Powers of the base, cut into high and low bits, and of its inverse."""
+        if self._tables is None:
+            up = _powers(self.base, SPAN)
+            self._tables = up >> U(32), up & U(0xFFFFFFFF), _powers(pow(self.base, -1, int(P)), SPAN)
+        return self._tables
+
+    def _blocks(self, base: int, n: int) -> np.ndarray:
+        return _powers(pow(base, SPAN, int(P)), n // SPAN + 1)
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
+        """Sums of byte times power up to each place."""
         n = len(data)
-        self._powers(n + 1)
+        high, low, _ = self._tabled()
+        block = self._blocks(self.base, n)
         out = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.table[data] * self._pow[:n], out=out[1:])
+        for at in range(0, n, STEP):
+            end, off = min(at + STEP, n), at % SPAN
+            v = data[at:end].astype(np.uint64) + U(1)
+            # a product has 41 bits at most, a sum of STEP of them 57
+            lo, hi = np.cumsum(v * low[off : off + end - at]), np.cumsum(v * high[off : off + end - at])
+            x = _fold(lo + (hi >> U(29)) + ((hi & _M29) << U(32)))
+            if at >= SPAN:
+                x = mulmod(x, block[at // SPAN])
+            out[at + 1 : end + 1] = _fold(x + out[at])
         return out
 
     def ranges(self, pre: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((pre[ends] - pre[starts]) * self._ipow[starts] + (ends - starts).astype(np.uint64))
+        """Hash of each range [start, end)."""
+        down = self._tabled()[2]
+        h = mulmod(_fold(pre[ends] + (P << U(1)) - pre[starts]), down[starts % SPAN])
+        if len(pre) > SPAN:
+            h = mulmod(h, self._blocks(pow(self.base, -1, int(P)), len(pre))[starts // SPAN])
+        return mix(h % P + (ends - starts).astype(np.uint64) * U(0xD1342543DE82EF95))
+
 
-    def grams(self, pre: np.ndarray, k: int) -> np.ndarray:
-        """Hash of the k bytes from each position on."""
-        n = len(pre) - 1 - k + 1
-        return mix((pre[k:] - pre[:n]) * self._ipow[:n]) if n > 0 else np.zeros(0, np.uint64)
+def grams(data: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit key of the k bytes from each place on, k up to 24: equal bytes have equal keys, others rarely do."""
+    n = len(data) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    eight = np.zeros(len(data), np.uint64)
+    for j in range(min(8, k)):
+        eight[: len(data) - j] |= data[j:].astype(np.uint64) << U(8 * j)
+    out = mix(eight[:n] + U(0x9E3779B97F4A7C15))
+    for at in (8, k - 8) if k > 16 else (k - 8,) if k > 8 else ():
+        out = mix(out * U(0xF1357AEA2E62A9C5) + eight[at : at + n])
+    return out
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -70,7 +127,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-MAIN, OTHER = Hasher(20240501), Hasher(77002931)
+MAIN = Hasher(20240501)
 
 
 def text_slices(col: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

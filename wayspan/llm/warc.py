@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch
+from ..tables import scratch
 
 MIN_DEDUP = 100
 LEVEL = 3
