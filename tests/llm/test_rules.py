@@ -134,6 +134,22 @@ def test_base_spans(text):
         ("jаne@exаmple.com", "email", "jаne@exаmple.com"),
         ("call + 1", "phone", None),
         ("card four one one one 1 1 1 1 1111 1111 1111", "card", None),
+        ("card four one one one 1 1 1 1 1111 1111 ok", "card", "four one one one 1 1 1 1 1111 1111"),
+        ("card 4111 l1I1 1111 111l ok", "card", "4111 l1I1 1111 111l"),
+        ("card 4111 l1I1 1111 1112 ok", "card", None),
+        ("host 1O.0.0.l there", "ip", "1O.0.0.l"),
+        ("ring plus four nine three zero one two three four five six seven", "phone", "plus four nine three zero one two three four five six seven"),
+        ("Ruf plus vier neun drei null eins zwei drei vier fünf sechs sieben an", "phone", "plus vier neun drei null eins zwei drei vier fünf sechs sieben"),
+        ("appelle plus trois trois un quatre deux zéro cinq six sept huit neuf.", "phone", "plus trois trois un quatre deux zéro cinq six sept huit neuf"),
+        ("llama más tres cuatro nueve uno dos tres cuatro cinco seis siete ocho", "phone", "más tres cuatro nueve uno dos tres cuatro cinco seis siete ocho"),
+        ("he gave 5 plus 123456789 to them", "phone", None),
+        ("schreib an jane [ät] firma [punkt] de bitte", "email", "jane [ät] firma [punkt] de"),
+        ("jane punkt doe klammeraffe firma punkt de", "email", "jane punkt doe klammeraffe firma punkt de"),
+        ("écris à jane arobase firme point fr", "email", "jane arobase firme point fr"),
+        ("escribe a jane arroba firma punto com punto es", "email", "jane arroba firma punto com punto es"),
+        ("jane@firma punto es", "email", "jane@firma punto es"),
+        ("jane at example dot xyz", "email", "jane at example dot xyz"),
+        ("we arrived at one point last year", "email", None),
         ("card four one one one one one one one one one one one one one one one ok", "card", "four" + " one" * 15),
         ("host 10[.]0[.]0[.]1 there", "ip", "10[.]0[.]0[.]1"),
         ("host １０.0.0.1 there", "ip", "１０.0.0.1"),
@@ -146,7 +162,7 @@ def test_base_spans(text):
 def test_disguises(text, kind, found):
     base, added = pii.find(text)
     spans = [text[a:z] for a, z in base[kind] + added[kind]]
-    assert spans == ([found] if found else spans[:0]) if kind != "card" or found else True
+    assert spans == ([found] if found else [])
 
 
 @pytest.mark.parametrize(
@@ -167,6 +183,19 @@ def test_bare_words(text, found):
     assert [text[a:z] for a, z in pii.find(text)[1]["email"]] == found
 
 
+@pytest.mark.parametrize("unit", ["four two one nine and ", "jane [at] firma [dot] org, ", "1O.0.0.l and ", "é\u200b plus four nine three zero one two three four five "])
+def test_disguises_in_long_texts(unit):
+    """Work grows with the text, not with its square: some megabytes of disguises in seconds."""
+    import time
+
+    text = unit * (5_000_000 // len(unit))
+    began = time.perf_counter()
+    base, added = pii.find(text)
+    assert time.perf_counter() - began < 30
+    one = sum(map(len, pii.find(unit * 3)[1].values()))
+    assert sum(map(len, added.values())) * 3 >= one * (len(text) // len(unit)) - 9
+
+
 def test_base_spans_stay():
     text = "x@y.org (at) z.org and 1.2.3.4"
     base, added = pii.find(text)

@@ -4,15 +4,22 @@ Each transducer rewrites the text and carries, for every output character, the
 source characters it stands for; identifiers found in the rewritten text are
 mapped back to spans (code points, end exclusive) of the source.
 
-Defined cases: null and empty texts have no spans; of spans of one kind that
-overlap, the base one stays; repeated rows are treated alike, each by itself; an
-empty table gives an empty result; extra columns are ignored, or kept by ``mask``.
+Undone are homoglyphs, full-width forms, other scripts' digits, invisible
+characters, names of digits and of "plus", "at" and "dot" in four languages, and the
+letters O, o, I, l within numbers.
+
+Defined cases: null and empty texts have no spans; a very long text is one row, read
+in one pass for each transducer; of spans of one kind that overlap, the base one
+stays, of equal starts there is one; repeated rows are treated alike, each by itself;
+an empty table gives an empty result; extra columns of any name and type are
+ignored, or kept by ``mask``.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +44,16 @@ HOMOGLYPHS = {
     "α": "a", "ο": "o", "ρ": "p", "ν": "v", "ι": "i", "κ": "k", "τ": "t", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Χ": "X",
     "\u2024": ".", "\u3002": ".", "\uff61": ".", "\u2010": "-", "\u2011": "-", "\u2012": "-", "\u2013": "-", "\u2212": "-", "\u00a0": " ", "\u2009": " ", "\u202f": " ",
 }
-NUMERALS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+# English, German, French, Spanish.
+NUMERALS = {
+    "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    "null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "fuenf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+}
+PLUS = ("plus", "más", "mas")
+AT_NAMES = ("at", "ät", "arobase", "arroba", "klammeraffe")
+DOT_NAMES = ("dot", "punkt", "point", "punto")
 INVISIBLE = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 
 #: Last labels of a host that make words joined by a bare "at" and "dot" an address, whatever the words.
@@ -59,22 +75,33 @@ FOLD |= {lo + d: str(d) for lo in (0x0660, 0x06F0, 0x0966) for d in range(10)}
 _ODD = re.compile("[" + "".join(map(re.escape, map(chr, FOLD))) + INVISIBLE + "]")
 _HIDDEN = re.compile(f"[{INVISIBLE}]+")
 
-_NUMERAL = "|".join(NUMERALS)
-_SPELLED = re.compile(rf"(?<![A-Za-z])(?:{_NUMERAL})(?:[\s,-]+(?:{_NUMERAL}|[0-9]))+(?![A-Za-z])", re.IGNORECASE)
+_L = "A-Za-zÀ-ÖØ-öø-ÿ"
+_NUMERAL = "|".join(sorted(NUMERALS, key=len, reverse=True))
+_SPELLED = re.compile(rf"(?<![{_L}])(?:{_NUMERAL})(?:[\s,-]+(?:{_NUMERAL}|[0-9])(?![{_L}]))+", re.IGNORECASE)
 _ONE = re.compile(rf"({_NUMERAL})|[0-9]", re.IGNORECASE)
+_PLUS = re.compile(rf"(?<![{_L}0-9])(?<![0-9][ \t])(?:{'|'.join(PLUS)})[ \t]+(?=[0-9])", re.IGNORECASE)
+#: Numbers with letters that look like 0 and 1.
+_LETTERED = re.compile(r"(?<![A-Za-z0-9.])(?=[OoIl.]*[0-9])[0-9OoIl]++(?:\.[0-9OoIl]++)*+(?![A-Za-z0-9])")
+_LIKE_DIGITS = str.maketrans("OoIl", "0011")
 _O, _C = r"[\[({<]", r"[\])}>]"
-_AT_TAG = re.compile(rf"\s*{_O}\s*(?:at|@)\s*{_C}\s*|\s*_at_\s*", re.IGNORECASE)
-_DOT_TAG = re.compile(rf"\s*{_O}\s*(?:dot|\.)\s*{_C}\s*|\s*_dot_\s*", re.IGNORECASE)
+_AT, _DOT = "|".join(AT_NAMES), "|".join(DOT_NAMES)
+_AT_TAG = re.compile(rf"\s*{_O}\s*(?:{_AT}|@)\s*{_C}\s*|\s*_at_\s*|(?<=[A-Za-z0-9])[ \t]+(?:arobase|arroba|klammeraffe)[ \t]+(?=[A-Za-z0-9])", re.IGNORECASE)
+_DOT_TAG = re.compile(rf"\s*{_O}\s*(?:{_DOT}|\.)\s*{_C}\s*|\s*_dot_\s*", re.IGNORECASE)
 _DOT_WORD = re.compile(r"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.IGNORECASE)
 #: A bare "at" counts only before a dotted host, whether its dots are disguised or not, that is no local part itself.
 _AT_WORD = re.compile(r"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=[A-Za-z0-9-]++(?:[.\x00][A-Za-z0-9-]++)++(?![A-Za-z0-9._%+-]*@|[ \t]+(?:at|@)[ \t]+[A-Za-z0-9-]+[.\x00]))", re.IGNORECASE)
 #: In the source: a bare "at" before a plain dot.
 _AT_PLAIN = re.compile(r"[A-Za-z0-9][ \t]+at[ \t]+[A-Za-z0-9-]+\.[A-Za-z0-9]", re.IGNORECASE)
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+@[ \t]+(?=[A-Za-z0-9-]+[.\x00])")
-_MARKED = re.compile("[@\uff20_\\[\\](){}<>]")
-_HINT = re.compile(rf"{_O}\s*(?:at|dot|@|\.)\s*{_C}|_at_|_dot_|\sdot\s|\s@\s|(?<![A-Za-z])(?:{_NUMERAL})[\s,-]+(?:{_NUMERAL}|[0-9])(?![A-Za-z])", re.IGNORECASE)
-_HINT_FAST = ("@", "_at_", "_dot_", " dot", "\tdot", "\ndot", "(at", "[at", "{at", "<at", "( at", "[ at", "(dot", "[dot", "{dot", "<dot", "( dot", "[ dot", "(.)", "[.]", "{.}", "<.>")
-_NUM_HINT = re.compile(rf"\b(?:{_NUMERAL})\b[\s,-]+(?:{_NUMERAL}|[0-9])\b", re.IGNORECASE)
+#: Dots of any language spelled out beside an undisguised at, in the host or in the local part.
+_HOST_DOTS = re.compile(rf"(?<=@)[A-Za-z0-9-]+(?:(?:[.\x00]|[ \t]+(?:{_DOT})[ \t]+)[A-Za-z0-9-]+)+", re.IGNORECASE)
+_LOCAL_DOTS = re.compile(rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?:[ \t]++(?:{_DOT})[ \t]++[A-Za-z0-9_%+-]++){{1,8}}(?=@)", re.IGNORECASE)
+_SPACED_DOT = re.compile(rf"[ \t]+(?:{_DOT})[ \t]+", re.IGNORECASE)
+_MARKED = re.compile("[@\uff20_\\[\\](){}<>]|arobase|arroba|klammeraffe", re.IGNORECASE)
+_HINT = re.compile(rf"{_O}\s*(?:{_AT}|{_DOT}|@|\.)\s*{_C}|_at_|_dot_|\sdot\s|\s@\s|\s(?:arobase|arroba|klammeraffe)\s|@\S+\s+(?:{_DOT})\s", re.IGNORECASE)
+_HINT_FAST = ("@", "_at_", "_dot_", " dot", "\tdot", "\ndot", "arroba", "arobase", "klammeraffe", "(", "[", "{", "<")
+#: Two names of digits in a row, or one beside a digit.
+_NUM_HINT = re.compile(rf"(?<![{_L}])(?:{_NUMERAL})[\s,-]+(?:[0-9]|(?:{_NUMERAL})(?![{_L}]))", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -134,8 +161,8 @@ class Tape:
         """One character for one: offsets stay."""
         self.text = self.text.translate(FOLD)
 
-    def rewrite(self, pattern: re.Pattern, to) -> None:
-        """Replace each match by ``to(match)``: its characters all stand for the whole match."""
+    def rewrite(self, pattern: re.Pattern, to, each: bool = False) -> None:
+        """Replace each match by ``to(match)``: its characters all stand for the whole match, or, with ``each``, one for one."""
         texts, starts, ends, at = [], [], [], 0
         for m in pattern.finditer(self.text):
             new = to(m)
@@ -143,8 +170,8 @@ class Tape:
                 continue
             a, z = m.span()
             texts += [self.text[at:a], new]
-            starts += [self.start[at:a], np.full(len(new), self.start[a])]
-            ends += [self.end[at:a], np.full(len(new), self.end[z - 1])]
+            starts += [self.start[at:a], self.start[a:z] if each else np.full(len(new), self.start[a])]
+            ends += [self.end[at:a], self.end[a:z] if each else np.full(len(new), self.end[z - 1])]
             at = z
         if texts:
             self.text = "".join([*texts, self.text[at:]])
@@ -152,15 +179,33 @@ class Tape:
             self.end = np.concatenate([*ends, self.end[at:]])
 
     def spelled(self) -> None:
-        """Names of digits in a row become digits, each standing for its own name."""
-        for m in reversed(list(_SPELLED.finditer(self.text))):
+        """Names of digits in a row become digits, each standing for its own name; names side by side lose what parts them."""
+        texts, starts, ends, at = [], [], [], 0
+        for m in _SPELLED.finditer(self.text):
             ones = list(_ONE.finditer(self.text, *m.span()))
-            a, z = m.span()
-            pos = np.array([(self.start[x.start()], self.end[x.end() - 1]) for x in ones])
-            new = "".join(NUMERALS[x.group().lower()] if x.group(1) else x.group() for x in ones)
-            self.text = self.text[:a] + new + self.text[z:]
-            self.start = np.concatenate([self.start[:a], pos[:, 0], self.start[z:]])
-            self.end = np.concatenate([self.end[:a], pos[:, 1], self.end[z:]])
+            first = np.array([x.start() for x in ones])
+            last = np.array([x.end() - 1 for x in ones])
+            texts += [self.text[at : m.start()], "".join(NUMERALS[x.group().lower()] if x.group(1) else x.group() for x in ones)]
+            starts += [self.start[at : m.start()], self.start[first]]
+            ends += [self.end[at : m.start()], self.end[last]]
+            at = m.end()
+        if texts:
+            self.text = "".join([*texts, self.text[at:]])
+            self.start = np.concatenate([*starts, self.start[at:]])
+            self.end = np.concatenate([*ends, self.end[at:]])
+
+    def dots(self, pattern: re.Pattern) -> None:
+        """Dots spelled out within each match become dots."""
+        places = [(d.start(), d.end()) for m in pattern.finditer(self.text) for d in _SPACED_DOT.finditer(self.text, *m.span())]
+        texts, keep, at = [], np.ones(len(self.text), bool), 0
+        for a, z in places:
+            texts += [self.text[at:a], "\0"]
+            self.end[a] = self.end[z - 1]
+            keep[a + 1 : z] = False
+            at = z
+        if places:
+            self.text = "".join([*texts, self.text[at:]])
+            self.start, self.end = self.start[keep], self.end[keep]
 
 
 def disguised(text: str) -> bool:
@@ -169,6 +214,10 @@ def disguised(text: str) -> bool:
         return True
     if any(h in low for h in _HINT_FAST) and _HINT.search(low) or _NUM_HINT.search(low):
         return True
+    if any(x in low for x in PLUS) and _PLUS.search(text):
+        return True
+    if any(not x.replace(".", "").isdigit() for x in _LETTERED.findall(text)):
+        return True
     return (" at" in low or "\tat" in low) and bool(_AT_PLAIN.search(low))
 
 
@@ -193,13 +242,17 @@ def deobfuscated(text: str) -> dict[str, list[tuple[int, int]]]:
     if not text.isascii():
         tape.fold()
         tape.rewrite(_HIDDEN, lambda _: "")
+    tape.rewrite(_LETTERED, lambda m: m.group().translate(_LIKE_DIGITS), each=True)
     tape.spelled()
+    tape.rewrite(_PLUS, lambda _: "+")
     tape.rewrite(_AT_TAG, lambda _: "@")
     # \0 marks a disguised dot until the bare "at" has been judged
     tape.rewrite(_DOT_TAG, lambda _: "\0")
     tape.rewrite(_DOT_WORD, lambda _: "\0")
     tape.rewrite(_AT_WORD, lambda _: "@")
     tape.rewrite(_SPACED_AT, lambda _: "@")
+    tape.dots(_HOST_DOTS)
+    tape.dots(_LOCAL_DOTS)
     tape.text = tape.text.replace("\0", ".")
     out: dict[str, list[tuple[int, int]]] = {}
     for kind, spans in detect(tape.text).items():
@@ -222,10 +275,13 @@ def find(text: str | None) -> tuple[dict[str, list[tuple[int, int]]], dict[str,
     added: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     if disguised(text):
         for kind, spans in deobfuscated(text).items():
-            taken = base[kind]
+            # both lists are in order and without overlaps
+            taken, after = base[kind], 0
             for a, z in spans:
-                if all(z <= s or a >= e for s, e in taken) and all(z <= s or a >= e for s, e in added[kind]):
+                k = bisect_left(taken, (z,))
+                if a >= after and (not k or taken[k - 1][1] <= a):
                     added[kind].append((a, z))
+                    after = z
     return base, added
 
 
