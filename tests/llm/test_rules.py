@@ -371,12 +371,66 @@ def test_mix_nothing(frame):
 
 
 def test_shards_split_evenly(spark):
-    plan = spark.createDataFrame([(s, b, 1, None) for s in ("a", "b", None) for b in range(64)], "source string, block int, rounds long, last array<struct<bound:double,key:long>>")
-    n = {}
-    for r in mixing.shards(plan, 3).collect():
-        n.setdefault(r.shard, []).append(r.source)
-    assert sorted(map(len, n.values())) == [24] * 8
-    assert len({tuple(sorted(map(str, v))) for v in n.values()}) > 1
+    plan = spark.createDataFrame([("a", 64), ("b", 64), (None, 65)], "source string, copies long")
+    bounds = {r.source: [*r.bounds, n] for r, n in zip(sorted(mixing.split(plan, 3).collect(), key=lambda r: (r.source is None, r.source)), (64, 64, 65), strict=True)}
+    counts = {s: [z - a for a, z in zip(b, b[1:])] for s, b in bounds.items()}
+    assert {s: sum(n) for s, n in counts.items()} == {"a": 64, "b": 64, None: 65}
+    assert {sum(n) for n in zip(*counts.values(), strict=True)} <= {24, 25} and min(min(n) for n in counts.values()) >= 0
+    assert len(set(zip(*counts.values(), strict=True))) > 1
+
+
+@pytest.mark.parametrize(("total", "good", "draws"), [(20, 7, 9), (10, 10, 4), (10, 0, 4), (9, 8, 5), (1, 1, 1), (0, 0, 0), (5000, 2500, 2500)])
+def test_hypergeometric(spark, total, good, draws):
+    """Draws follow the distribution, within its support."""
+    from math import comb
+
+    from pyspark.sql import functions as F
+
+    n = 4000
+    x = mixing.hypergeometric(F.lit(total), F.lit(good), F.lit(draws), (F.col("id") + 0.5) / n)
+    got = {r.x: r["count"] / n for r in spark.range(n).select(x.alias("x")).groupBy("x").count().collect()}
+    want = {k: comb(good, k) * comb(total - good, draws - k) / comb(total, draws) for k in range(max(0, draws - total + good), min(good, draws) + 1)} if total else {0: 1.0}
+    assert set(got) <= set(want)
+    assert all(abs(got.get(k, 0) - p) < 2 / n for k, p in want.items())
+
+
+def test_quota_ends_at_any_depth(spark):
+    """Blocks of one document, found in steps of two bits: each source still ends near its target."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    rows = [("ab"[i % 2], rng.randint(1, 9), rng.randrange(-(2**63), 2**63)) for i in range(4000)]
+    sized = spark.createDataFrame(rows, "source string, size long, h long")
+    for per, step in ((1, 2), (1, 5), (128, 10), (10**6, 10)):
+        plan = mixing.planned(sized.transform(lambda d: d), 2) if (per, step) == (128, 10) else mixing.quotas(sized, per, step).withColumn("bounds", F.array(F.lit(0).cast("long")))
+        got = mixing.drawn(sized, plan).groupBy("source").agg(F.sum(F.size("shards") * F.col("size")).alias("taken"), F.first("target").alias("target"), F.max(F.size("shards")).alias("most")).collect()
+        assert all(0 <= r.target - r.taken < 10 and r.most <= 2 for r in got)
+
+
+def test_mixture_of_equal_documents(frame):
+    """Equal documents, and such as share an id: the source meets its target all the same, in any partitioning."""
+    rows = [(7, "one two three")] * 3000 + [(None, f"{'w ' * (1 + i % 5)}") for i in range(3000)]
+    docs = frame(rows, ("a", "a", "b"))
+    out = mixing.mixture(docs).collect()
+    assert len(out) == 6000
+    by = {}
+    for r in out:
+        by.setdefault(r.source_size, [r.target, 0])[1] += r.taken
+        assert r.taken <= 2 * r.size
+    assert all(0 <= t - n <= 5 for t, n in by.values())
+    plain = lambda rows: sorted(((r.doc_id or 0, r.size, r.taken) for r in rows))
+    assert plain(out) == plain(mixing.mixture(docs.repartition(5)).collect())
+
+
+def test_mix_with_any_columns(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "a b", "s", {"x": i}, 1, "r") for i in range(50)], "doc_id long, text string, source string, `a map` map<string,int>, __shard int, row string")
+    m = mixing.mix(docs)
+    assert m.columns == [*docs.columns, "__shard1", "__order"] and m.count() == 75
+    mixing.write_shards(m, f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert back.count() == 75 and sorted(r.doc_id for r in back.collect()) == sorted(r.doc_id for r in m.collect())
 
 
 # --- samples and shared folder -------------------------------------------------------------------

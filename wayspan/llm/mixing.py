@@ -1,22 +1,29 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
-Native: DataFrame operations only.  Each source is cut into blocks of some
-``DOCS_PER_BLOCK`` documents (1,024 blocks at most) by a keyed hash, a random
-permutation of its documents.  Its target gives an exact quota
-of block copies: whole rounds over all blocks, then blocks in permuted order, and a
-last one cut document by document.  The copies of all sources are split among the
-output shards by a binary tree: a node with n copies gives its left child a random
-half without replacement, so the numbers by source in it are multivariate
-hypergeometric.  A shard's documents are ordered by a keyed hash within it.
-
-Only block sums (1,024 rows at most for each source) are ever ordered as a whole;
-documents meet in one task only with those of their own source and block, so a hot
-source spreads over that many groups.
-
-Defined cases: null and empty texts have size 0 and take 0; a null source is a
-source, last in order; equal documents are told apart by nothing and share their
-fate; an empty table gives an empty result; a source of no words has target 0 and
-passes its share to the others; extra columns are kept by ``mix``.
+Native: DataFrame operations only.  Every document has a keyed 64-bit hash, and the
+order of these is a random permutation of its source.  A source is cut into 2**bits
+blocks by the leading bits, some ``DOCS_PER_BLOCK`` documents each at any size.  Its
+target gives an exact quota of block copies: whole rounds over all blocks, then blocks
+in permuted order, and a last one document by document, each taken if it still fits.
+
+The quotas of all sources are the root of a binary tree.  A node of n copies gives
+half of them to its left child, drawn without replacement: its numbers by source are
+multivariate hypergeometric, drawn one after the other by inversion.  The leaves are
+the output shards.  Each draws its numbers from the permuted copies of the sources,
+disjoint from all others', and orders its documents by a keyed hash.  What a document
+is taken is the number of copies that the shards draw of it.
+
+Where a source's quota ends is found in steps of ``STEP_BITS`` bits: only sums of 1,024
+groups of a source are ever ordered, then those within one of them, and so on; only
+the documents of the one last block meet in one row.
+
+Defined cases: null and empty texts have size 0 and take 0; a very long text is one
+document; a null source is a source, last in order; documents of equal doc_id, text
+and source are told apart by number: how many of them are taken is fixed, which of
+them is not; documents of unequal text never stand or fall together; a source of no
+words has target 0 and passes its share to the others; an empty table gives an empty
+result; extra columns of any name and type are kept by ``mix``, whose own get a
+number if a column has their name.
 """
 
 from __future__ import annotations
@@ -25,18 +32,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..tables import settled
+from ..tables import scope, settled
+from .common import free_name
 
 #: Weights by source in order, repeating; the share of all words to take; the most rounds.
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MAX_ROUNDS = 2.0
-#: Grains of a source; neighbouring grains form a block.
-GRAINS = 1 << 10
 DOCS_PER_BLOCK = 128
+#: Bits of the hash that one step of the search for a quota's end settles.
+STEP_BITS = 10
 LEVELS = 4  # 2**LEVELS shards
 SEED = 20240607
-PASSES = 4
 
 
 def size_of(text: Column) -> Column:
@@ -72,73 +79,163 @@ def _same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
-def sized_rows(docs: DataFrame, *payload: Column) -> DataFrame:
-    """(source, grain, key, size) and the payload.  ``key`` permutes a block; equal documents share it."""
-    d = docs.select(*payload, F.col("source").alias("source"), size_of(F.col("text")).alias("size"), F.col("doc_id").alias("__id"), F.length("text").alias("__len"))
-    grain = F.pmod(_noise("__id", "__len"), F.lit(GRAINS)).cast("int")
-    return d.withColumns({"grain": grain, "key": _noise("__id", "__len", F.lit("order"))}).drop("__id", "__len")
-
-
-def plan_blocks(sized: DataFrame, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
-    """(source, grain): its block, targets, whole rounds, and which of the block's documents are taken once more."""
-    grains = sized.groupBy("source", "grain").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-    # as many blocks as a power of two gives about docs_per_block documents each
-    bits = F.floor(F.log2(F.greatest(F.lit(1.0), F.sum("n").over(W.partitionBy("source")) / F.lit(docs_per_block))))
-    most = GRAINS.bit_length() - 1
-    shift = (F.lit(most) - F.least(F.lit(most), bits)).cast("int")
-    grains = grains.withColumn("block", F.floor(F.col("grain") / F.pow(F.lit(2.0), shift)).cast("int"))
-    sums = grains.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
-    by_source = targets(sums.groupBy("source").agg(F.sum("block_size").alias("source_size")))
-    up = W.partitionBy("source").orderBy(_noise("block", F.lit("turn")), "block").rowsBetween(W.unboundedPreceding, -1)
-    b = sums.withColumnRenamed("source", "s").join(by_source, _same("s", "source")).drop("s")
-    b = b.withColumn("rounds", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
-    b = b.withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size"))
-    b = b.withColumn("part", F.greatest(F.lit(0.0), F.least(F.col("block_size").cast("double"), F.col("rest") - F.coalesce(F.sum("block_size").over(up), F.lit(0)))))
-    b = b.select("source", "block", "source_size", "target", "rounds", "part", "block_size")
-    g = grains.select(F.col("source").alias("s"), F.col("block").alias("k"), "grain")
-    b = settled(b.join(g, _same("s", "source") & (F.col("k") == F.col("block"))).drop("s", "k"))
-    # The block in which the quota ends: documents in permuted order while they fit, then once more
-    # those that fit in what is left.  Pass p takes all of size <= bound_p up to key last_p.
-    ends = b.where((F.col("part") > 0) & (F.col("part") < F.col("block_size"))).select(F.col("source").alias("s"), F.col("block").alias("k"), F.col("grain").alias("g"), "part")
-    x = sized.where("size > 0").join(ends, _same("s", "source") & (F.col("g") == F.col("grain"))).groupBy("s", "k", "key").agg(F.sum("size").alias("size"), F.first("part").alias("part"))
-    within = W.partitionBy("s", "k")
-    up = within.orderBy("key").rowsBetween(W.unboundedPreceding, 0)
-    x = x.withColumn("took", F.lit(False))
-    for p in range(PASSES):
-        x = x.withColumn(f"bound{p}", F.col("part") - F.sum(F.when(F.col("took"), F.col("size")).otherwise(F.lit(0))).over(within))
-        x = x.withColumn("fits", ~F.col("took") & (F.col("size") <= F.col(f"bound{p}")))
-        x = x.withColumn("now", F.col("fits") & (F.sum(F.when(F.col("fits"), F.col("size"))).over(up) <= F.col(f"bound{p}")))
-        x = x.withColumns({f"key{p}": F.when(F.col("now"), F.col("key")), "took": F.col("took") | F.col("now")})
-    last = x.groupBy("s", "k").agg(F.array(*[F.struct(F.first(f"bound{p}").alias("bound"), F.max(f"key{p}").alias("key")) for p in range(PASSES)]).alias("last"))
-    out = b.join(last, _same("s", "source") & (F.col("k") == F.col("block")), "left").drop("s", "k")
-    everything = F.array(F.struct(F.lit(float("inf")).alias("bound"), F.lit(2**63 - 1).alias("key")))
-    return out.withColumn("last", F.when((F.col("part") > 0) & (F.col("part") >= F.col("block_size")), everything).otherwise(F.col("last")))
-
-
-def shards(plan: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """(source, block, copy) -> shard, by the splitting tree; copies are the bounded quota of blocks."""
-    n = F.col("rounds") + F.col("last").isNotNull().cast("long")
-    c = plan.dropDuplicates(["source", "block"]).where(n > 0).select("source", "block", F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy"), F.lit(0).cast("long").alias("shard"))
-    for level in range(levels):
-        node = W.partitionBy("shard")
-        rank = F.row_number().over(node.orderBy(_noise("source", "block", "copy", F.lit(level)), F.col("source").isNull(), "source", "block", "copy"))
-        c = c.withColumns({"rank": rank, "n": F.count("*").over(node)})
-        c = c.withColumn("shard", F.col("shard") * 2 + (F.col("rank") > F.ceil(F.col("n") / 2)).cast("long")).drop("rank", "n")
-    return c
+def _leading(h: Column, bits: Column) -> Column:
+    """The number that the leading ``bits`` bits of a hash make."""
+    return F.when(bits == 0, F.lit(0).cast("long")).otherwise(F.call_function("shiftrightunsigned", h, (F.lit(64) - bits).cast("int")))
+
+
+# --- documents -----------------------------------------------------------------------
+
+
+def _keyed(docs: DataFrame, *payload: Column) -> DataFrame:
+    """The payload with source, size, a hash of the document's identity, and the task that read it."""
+    key = _noise(F.col("doc_id"), F.col("text"), F.col("source"))
+    return docs.select(*payload, F.col("source").alias("source"), size_of(F.col("text")).alias("size"), key.alias("key"), F.spark_partition_id().alias("task"))
 
 
-def _copies() -> Column:
-    extra = F.coalesce(F.exists("last", lambda p: (F.col("size") <= p["bound"]) & (F.col("key") <= p["key"])), F.lit(False))
-    return F.when(F.col("size") > 0, F.col("rounds") + extra.cast("long")).otherwise(F.lit(0).cast("long"))
+def numbered(rows: DataFrame) -> DataFrame:
+    """``h``: a hash of its own for each row, from ``key`` and the row's number among those of equal key.
+
+    Rows that repeat are settled with their task, numbered within it, and moved up by
+    what the tasks before it hold, so a key that many rows share is never in one task.
+    """
+    many = settled(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("again")))
+    marked = rows.join(many, "key", "left")
+    once = marked.where("again is null").withColumn("nth", F.lit(0).cast("long"))
+    more = settled(marked.where("again"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("key").orderBy("task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offset = settled(more.groupBy("key", "task").agg(F.count("*").alias("n")).withColumn("before", before).drop("n"))
+    place = F.row_number().over(W.partitionBy("key", "task").orderBy("key"))
+    more = more.withColumn("place", place).join(offset, ["key", "task"]).withColumn("nth", F.col("before") + F.col("place") - 1)
+    names = [c for c in rows.columns if c not in ("key", "task")]
+    h = _noise("key", "nth", F.lit("order")).alias("h")
+    return once.select(*names, h).unionByName(more.select(*names, h))
+
+
+# --- quotas -----------------------------------------------------------------------------
+
+
+def _ends(sums: DataFrame, state: DataFrame) -> DataFrame:
+    """(source, node, rest): of each source's groups (source, node, words) in order the one in which ``rest`` ends, and what is left for it."""
+    w = W.partitionBy("source").orderBy("node").rowsBetween(W.unboundedPreceding, 0)
+    s = sums.withColumn("upto", F.sum("words").over(w)).withColumnRenamed("source", "s")
+    j = s.join(state.select("source", "rest"), _same("s", "source")).where("upto > rest")
+    best = F.min_by(F.struct("node", (F.col("rest") - F.col("upto") + F.col("words")).alias("rest")), F.col("node")).alias("b")
+    return j.groupBy("source").agg(best).select("source", "b.*")
+
+
+def quotas(sized: DataFrame, docs_per_block: int = DOCS_PER_BLOCK, step_bits: int = STEP_BITS) -> DataFrame:
+    """A row for each source: source_size, target, bits, rounds, ``last`` (the block in which its quota ends) and ``chosen`` (hashes of documents taken there)."""
+    top = settled(sized.groupBy("source", _leading(F.col("h"), F.lit(step_bits)).alias("top")).agg(F.sum("size").alias("words"), F.count("*").alias("n")))
+    by_source = top.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("n").alias("n"))
+    goal = targets(by_source.select("source", "source_size")).withColumnRenamed("source", "s").drop("source_size")
+    q = by_source.join(goal, _same("s", "source")).drop("s")
+    bits = F.floor(F.log2(F.greatest(F.lit(1.0), F.col("n") / F.lit(docs_per_block)))).cast("int")
+    rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    q = q.withColumns({"bits": bits, "rounds": rounds}).withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size"))
+    q = settled(q.drop("n"))
+    depth, most = step_bits, q.agg(F.max("bits")).first()[0] or 0
+    upto = lambda d: F.least(F.col("bits"), F.lit(d))
+    first = top.join(q.select(F.col("source").alias("s"), "bits"), _same("s", "source"))
+    node = F.call_function("shiftrightunsigned", F.col("top"), (F.lit(step_bits) - upto(depth)).cast("int"))
+    state = settled(_ends(first.groupBy("source", node.alias("node")).agg(F.sum("words").alias("words")), q))
+
+    def inside(d: int) -> DataFrame:
+        """Documents of each source's group so far."""
+        at = state.join(q.select(F.col("source").alias("s"), "bits"), _same("s", "source")).drop("s").withColumnRenamed("source", "s")
+        return sized.where("size > 0").join(at, _same("s", "source") & (_leading(F.col("h"), upto(d)) == F.col("node"))).drop("s")
+
+    while depth < most:  # 2**10 times the documents are one step more
+        deeper = inside(depth).withColumn("node", _leading(F.col("h"), upto(depth + step_bits)))
+        state = settled(_ends(deeper.groupBy("source", "node").agg(F.sum("size").alias("words")), state))
+        depth += step_bits
+    # the documents of the last block, in order, each taken if it still fits
+    block = inside(max(depth, most)).groupBy("source", "node").agg(F.first("rest").alias("rest"), F.array_sort(F.collect_list(F.struct("h", "size"))).alias("docs"))
+    none = F.struct(F.col("rest").alias("rest"), F.array().cast("array<bigint>").alias("chosen"))
+    took = lambda a, d: F.struct((a["rest"] - d["size"]).alias("rest"), F.array_append(a["chosen"], d["h"]).alias("chosen"))
+    greedy = F.aggregate("docs", none, lambda a, d: F.when(d["size"] <= a["rest"], took(a, d)).otherwise(a), lambda a: a["chosen"])
+    last = block.select(F.col("source").alias("s"), F.col("node").alias("last"), greedy.alias("chosen"))
+    out = q.join(last, _same("s", "source"), "left")
+    return out.select("source", "source_size", "target", "bits", "rounds", F.coalesce("last", F.lit(0)).alias("last"), F.coalesce("chosen", F.array().cast("array<bigint>")).alias("chosen"))
+
+
+# --- the splitting tree ---------------------------------------------------------------------
+
+
+def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
+    """How many of ``draws`` from ``total`` without replacement are among ``good``, by inversion at ``u`` in [0, 1).
+
+    Weights are chained from the lower end of the likely range (eight deviations either
+    way) by the ratio of neighbouring probabilities.
+    """
+    n, k, m = (c.cast("double") for c in (total, good, draws))
+    mean = F.coalesce(F.try_divide(m * k, n), F.lit(0.0))
+    spread = F.sqrt(F.greatest(F.lit(0.0), F.coalesce(mean * F.try_divide(n - k, n) * F.try_divide(n - m, n - 1), F.lit(0.0)))) * 8 + 2
+    low = F.greatest(F.lit(0.0), m - (n - k), F.floor(mean - spread)).cast("long")
+    high = F.least(k, m, F.ceil(mean + spread)).cast("long")
+    support = F.sequence(low, F.greatest(low, high))
+    after = lambda x: F.try_divide((k - x) * (m - x), (x + 1) * (n - k - m + x + 1))
+    start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), low.alias("x"))
+
+    def step(a: Column, x: Column) -> Column:
+        return F.struct(F.coalesce(a["w"] * after(x.cast("double")), F.lit(0.0)).alias("w"), (a["sum"] + a["w"]).alias("sum"), x.alias("x"))
 
+    whole = F.aggregate(support, start, step, lambda a: a["sum"])
+    return F.aggregate(support, start, lambda a, x: F.when((a["sum"] > u * whole) & (a["sum"] > 0), a).otherwise(step(a, x)), lambda a: a["x"])
 
-def _with_plan(sized: DataFrame, plan: DataFrame, levels: int) -> DataFrame:
-    """Sized rows with target, copies, and the shard of each copy."""
-    c = shards(plan, levels).groupBy("source", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("copy", "shard"))), lambda x: x["shard"]).alias("places"))
-    c = c.select(F.col("source").alias("s"), F.col("block").alias("k"), "places")
-    p = plan.join(c, _same("s", "source") & (F.col("k") == F.col("block")), "left").drop("s", "k")
-    p = p.select(F.col("source").alias("s"), F.col("grain").alias("g"), "source_size", "target", "rounds", "last", "places")
-    return sized.join(p, _same("s", "source") & (F.col("g") == F.col("grain"))).drop("s", "g").withColumn("copies", _copies()).withColumn("shards", F.slice(F.coalesce("places", F.array().cast("array<bigint>")), F.lit(1), F.col("copies").cast("int")))
+
+def _halved(level: int) -> Column:
+    """(left, right): the counts of a node's children; sources one after the other, each given those before."""
+    total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
+    start = F.struct(total.alias("n"), F.ceil(total / 2).cast("long").alias("m"), F.array().cast("array<bigint>").alias("left"))
+
+    def draw(a: Column, c: Column) -> Column:
+        noise = _noise(F.col("shard"), F.size(a["left"]), F.lit(level))
+        u = F.call_function("shiftrightunsigned", noise, F.lit(11)) / F.lit(float(1 << 53))
+        x = hypergeometric(a["n"], c, a["m"], u)
+        return F.struct((a["n"] - c).alias("n"), (a["m"] - x).alias("m"), F.array_append(a["left"], x).alias("left"))
+
+    left = F.aggregate("counts", start, draw, lambda a: a["left"])
+    return F.struct(left.alias("left"), F.zip_with("counts", left, lambda c, x: c - x).alias("right"))
+
+
+def split(plan: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """(source, copies): the tree's root -> (source, bounds): where in its permuted copies each shard begins.
+
+    The tree is one row for each node, with an array over the sources, which are few.
+    """
+    order = F.struct(F.col("source").isNull().alias("null"), F.col("source").alias("source"), F.col("copies").alias("copies"))
+    root = settled(plan.agg(F.array_sort(F.collect_list(order)).alias("all")))
+    t = root.select("all", F.col("all")["copies"].alias("counts"), F.lit(0).cast("long").alias("shard"))
+    for level in range(levels):
+        halves = t.withColumn("halves", _halved(level))
+        child = F.explode(F.array(F.struct(F.col("halves.left").alias("counts"), (F.col("shard") * 2).alias("shard")), F.struct(F.col("halves.right").alias("counts"), (F.col("shard") * 2 + 1).alias("shard"))))
+        t = settled(halves.select("all", child.alias("c")).select("all", "c.*"))
+    each = t.select("shard", F.explode(F.arrays_zip(F.col("all"), F.col("counts").alias("n"))).alias("z")).select("shard", F.col("z.all.source").alias("source"), F.col("z.n").alias("n"))
+    lists = each.groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "n"))), lambda x: x["n"]).alias("n"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("bounds"))
+    bounds = F.aggregate("n", start, lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["bounds"], a["at"]).alias("bounds")), lambda a: a["bounds"])
+    return lists.select("source", bounds.alias("bounds"))
+
+
+def planned(sized: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """A row for each source: its quota, and the bounds of the shards in its permuted copies."""
+    q = settled(quotas(sized))
+    copies = F.col("rounds") * F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")) + F.col("last") + (F.size("chosen") > 0).cast("long")
+    b = split(q.select("source", copies.alias("copies")), levels).withColumnRenamed("source", "s")
+    return q.join(b, _same("s", "source")).drop("s")
+
+
+def drawn(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows (source, size, h) with source_size, target and ``shards``: the shard of each copy that the shards draw."""
+    j = rows.join(plan.withColumnRenamed("source", "s"), _same("s", "source")).drop("s").withColumn("block", _leading(F.col("h"), F.col("bits")))
+    more = (F.col("block") < F.col("last")) | ((F.col("block") == F.col("last")) & F.array_contains("chosen", F.col("h")))
+    n = F.when(F.col("size") > 0, F.col("rounds") + more.cast("long")).otherwise(F.lit(0))
+    blocks = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits"))
+    at = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1), lambda c: c * blocks + F.col("block"))
+    shard = F.transform(at, lambda p: F.size(F.filter("bounds", lambda b: b <= p)) - 1)
+    none = F.array().cast("array<int>")
+    return j.withColumn("shards", F.when(n > 0, shard).otherwise(none)).drop("block", "bits", "rounds", "last", "chosen", "bounds")
 
 
 def mixture(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
@@ -146,19 +243,24 @@ def mixture(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
 
     ``shards`` names the output shard of each copy taken.
     """
-    sized = settled(sized_rows(docs, F.col("doc_id").cast("long").alias("doc_id")))
-    out = _with_plan(sized, settled(plan_blocks(sized)), levels)
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"))
+    with scope() as kept:
+        sized = settled(numbered(settled(_keyed(docs, F.col("doc_id").cast("long").alias("doc_id")))))
+        out = drawn(sized, settled(planned(sized, levels)))
+        return kept.result(out.select("doc_id", "size", "source_size", "target", (F.size("shards") * F.col("size")).alias("taken"), F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards")))
 
 
 def mix(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """The mixed corpus: a row for each copy taken, with all columns of ``docs``, ``__shard`` and ``__order`` within it."""
-    plan = settled(plan_blocks(settled(sized_rows(docs))))
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    t = _with_plan(sized_rows(docs, row), plan, levels).where("copies > 0").select("row", "key", F.posexplode("shards").alias("copy", "shard"))
-    return t.select("row.*", F.col("shard").alias("__shard"), _noise("key", "copy", "shard").alias("__order"))
+    with scope() as kept:
+        sized = settled(numbered(settled(_keyed(docs))))
+        plan = kept.result(planned(sized, levels))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    t = drawn(numbered(_keyed(docs, row)), plan).select("row", "h", F.posexplode("shards").alias("copy", "shard"))
+    names = free_name("__shard", docs.columns), free_name("__order", docs.columns)
+    return t.select("row.*", F.col("shard").cast("long").alias(names[0]), _noise("h", "copy", "shard").alias(names[1]))
 
 
 def write_shards(mixed: DataFrame, path: str, levels: int = LEVELS) -> None:
-    """One folder for each shard; its rows in shuffled order."""
-    mixed.repartition(2**levels, "__shard").sortWithinPartitions("__shard", "__order").write.partitionBy("__shard").parquet(path)
+    """One folder for each shard of ``mix``'s result; its rows, shuffled within it, stand in ``__order``."""
+    shard, order = mixed.columns[-2:]
+    mixed.repartition(2**levels, shard).sortWithinPartitions(shard, order).write.partitionBy(shard).parquet(path)
