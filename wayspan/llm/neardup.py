@@ -49,7 +49,7 @@ REGISTERS = BANDS * ROWS
 #: Buckets up to this size that links with their centre leave in parts are finished pair by pair, larger ones in blocks.
 SMALL = 24
 #: Members and bytes of bags in a block, about; a text larger than that is a block with few others.
-BLOCK, BLOCK_BYTES = 256, 1 << 22
+BLOCK, BLOCK_BYTES = 2048, 1 << 23
 #: Texts that meet one copy of their centre's text.
 STAR = 256
 #: Parts of a bag whose sizes bound an overlap from above.
@@ -245,30 +245,24 @@ class _Block:
         """Pairs that join classes, once each: similar ones whose members no earlier pair of the block has joined."""
         if not self.rows:
             return
-        side, node, label = (np.array([r[i] for r in self.rows]) for i in range(3))
-        bands, bags = np.array([r[3] for r in self.rows]), [r[4] for r in self.rows]
+        side, node, of = (np.array([r[i] for r in self.rows]) for i in range(3))
+        bands, bags = np.array([r[3][: self.band] for r in self.rows]), [r[4] for r in self.rows]
         size = np.array([len(b) for b in bags])
         parts = np.array([np.bincount((b & tv.U(PARTS - 1)).astype(np.int64), minlength=PARTS) for b in bags], np.int32)
-        root = {int(x): int(x) for x in label}
-
-        def find(v: int) -> int:
-            while root[v] != v:
-                root[v] = v = root[root[v]]
-            return v
-
         for i in np.flatnonzero(side == 0).tolist():
-            other = (label != label[i]) & (np.arange(len(node)) > i if self.same else side == 1)
+            other = (of != of[i]) & (np.arange(len(node)) > i if self.same else side == 1)
             other &= np.minimum(size, size[i]) >= least * np.maximum(size, size[i])
-            # a pair that shares an earlier band is given by that one's bucket
-            other &= ~(bands[:, : self.band] == bands[i, : self.band]).any(axis=1)
             y = np.flatnonzero(other)
+            if self.band and len(y):  # a pair that shares an earlier band is given by that one's bucket
+                y = y[~(bands[y] == bands[i]).any(axis=1)]
+            if not len(y):
+                continue
             # the parts of two bags overlap by the lesser size at most
             bound = np.minimum(parts[y], parts[i]).sum(axis=1)
             enough = bound * (1 + least) >= least * (size[y] + size[i]) - 1e-6
             for j in y[enough][np.argsort(-bound[enough], kind="stable")].tolist():
-                p, q = find(int(label[i])), find(int(label[j]))
-                if p != q and similarity(bags[i], bags[j]) >= least:
-                    root[max(p, q)] = min(p, q)
+                if of[i] != of[j] and similarity(bags[i], bags[j]) >= least:
+                    of[of == of[j]] = of[i]
                     yield min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))
 
 
