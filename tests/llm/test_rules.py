@@ -78,6 +78,32 @@ def test_contamination(spark, docs, docs_rows, max_words):
     assert got == sorted(brute.contamination(docs_rows, rows), key=key)
 
 
+def test_contamination_by_long_items(spark, frame):
+    """Items far longer than an automaton are dealt in pieces, and a text of some megabytes is scanned whole."""
+    rng = np.random.default_rng(3)
+    long = [f"w{x}" for x in rng.integers(0, 400, 3000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[100:140]) + " other words"), (2, " ".join(long[100:140]) + " other words"), (3, "solo")]
+    book = " ".join(f"v{x}" for x in rng.integers(0, 9, 400_000)) + " " + " ".join(long[1190:1215])
+    texts = [(i, " ".join(long[a : a + 30]) + " x") for i, a in enumerate(range(0, 2970, 90))] + [(900, book), (901, None), (902, "a solo b")]
+    paths = decontam.automata(items(spark, rows), max_words=500)
+    assert len(paths) > 4
+    got = {r.doc_id: tuple(r) for r in decontam.contamination(frame(texts), items(spark, rows), max_words=500).collect()}
+    want = {r[0]: r for r in brute.contamination([t for t in texts if t[0] != 900], rows)}
+    assert {i: r for i, r in got.items() if i != 900} == want
+    assert got[900][1:4] == (400_025, 25, 1)
+
+
+def test_words_of_equal_hash_are_told_apart(monkeypatch):
+    """Even if all hashes were equal, only equal words would be hit."""
+    auto = decontam.Automaton([(1, [b"aa", b"bb"])], 2)
+    monkeypatch.setattr(decontam, "_member", lambda keys, h: np.ones(len(h), bool))
+    monkeypatch.setattr(decontam, "_mask", lambda keys: np.ones(1 << 16, bool))
+    for text, hits in ((b"aa bb", 2), (b"aa cc", 0), (b"cc bb aa bb", 2)):
+        auto.__dict__.pop("mask", None)
+        found = decontam.scan(auto, np.frombuffer(text, np.uint8), np.array([0, len(text)]))[3]
+        assert sum(int(m.sum()) for m, _ in found.values()) in ((hits,) if hits == 0 else (0, hits))
+
+
 def test_no_items(spark, docs):
     out = decontam.contamination(docs, items(spark, []))
     assert out.count() == docs.count() and out.where("contaminated").count() == 0

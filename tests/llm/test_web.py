@@ -36,10 +36,62 @@ def test_empty(pages):
     assert warc.read_archives(warc.archive(pages.where("false"))).count() == 0
 
 
+def records(raw):
+    """A WARC reader of its own: (fields in lower case, block) of each record of an inflated archive."""
+    out, at = [], 0
+    while at < len(raw):
+        end = raw.index(b"\r\n\r\n", at)
+        first, *lines = raw[at:end].decode().split("\r\n")
+        assert first == "WARC/1.1"
+        fields = {}
+        for line in lines:
+            name, value = line.split(":", 1)
+            assert name.lower() not in fields
+            fields[name.lower()] = value.strip()
+        size = int(fields["content-length"])
+        out.append((fields, raw[end + 4 : end + 4 + size]))
+        assert raw[end + 4 + size : end + 8 + size] == b"\r\n\r\n"
+        at = end + 8 + size
+    return out
+
+
+def test_archives_for_other_readers(spark, tmp_path):
+    """Required fields, unique ids, urls, HTTP blocks, one gzip member a record, and archives of bounded size."""
+    import gzip
+    import hashlib
+    import json
+    import re
+    from pathlib import Path
+
+    rows = [(i, f"http://h/ä {i}\n", f"page {i % 7} " * 40) for i in range(60)] + [(None, None, "x"), (None, None, "x"), (99, "", "y" * 500_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder = f"file://{tmp_path}/out"
+    done = warc.normalise(warc.write_monolithic(warc.decided(pages).coalesce(1), folder, "2020-02-03T04:05:06Z", 4000)).collect()
+    assert len(done) > 4 and sum(r.records for r in done) == 63
+    seen = []
+    for r in done:
+        name = r.path.removeprefix("file://")
+        data, entries = Path(name).read_bytes(), list(map(json.loads, Path(name.removesuffix(".warc.gz") + ".idx").read_text().splitlines()))
+        parsed = records(gzip.decompress(data))
+        assert len(parsed) == len(entries) == r.records and sum(e["length"] for e in entries) == len(data)
+        for (fields, block), e in zip(parsed, entries, strict=True):
+            assert records(gzip.decompress(data[e["offset"] : e["offset"] + e["length"]])) == [(fields, block)]
+            assert fields["warc-date"] == e["date"] == "2020-02-03T04:05:06Z" and fields["warc-target-uri"] == e["uri"] and fields["warc-record-id"] == e["id"]
+            assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", fields["warc-record-id"]) and fields["content-type"].startswith("application/http")
+            if fields["warc-type"] == "response":
+                head, _, body = block.partition(b"\r\n\r\n")
+                assert head.startswith(b"HTTP/1.1 200") and "sha256:" + hashlib.sha256(body).hexdigest() == fields["warc-payload-digest"]
+            else:
+                assert block == b"" and fields["warc-profile"] and fields["x-refers-to-page-id"]
+            seen.append((fields["warc-record-id"], fields["warc-target-uri"]))
+    assert len({i for i, _ in seen}) == 63
+    assert {u for _, u in seen} == {f"http://h/ä%20{i}%0A" for i in range(60)} | {"urn:page:", "urn:page:99"}
+
+
 def test_members_and_index(spark, tmp_path):
     import json
 
-    raw = [warc.record("response", i, bytes([i]) * (i * 1000), "d", None) for i in range(1, 40)]
+    raw = [warc.record(i, f"http://h/{i}", bytes([i]) * (i * 1000), "d", None, str(i)) for i in range(1, 40)]
     (tmp_path / "a.warc.gz").write_bytes(_gzip(b"".join(raw)))
     path, n = warc.normalise_file(f"file://{tmp_path}/a.warc.gz", "t1")
     assert n == 39
@@ -57,7 +109,7 @@ def _gzip(data):
 
 
 def test_cut_off_archive(tmp_path):
-    (tmp_path / "b.warc.gz").write_bytes(_gzip(warc.record("response", 1, b"x" * 50, "d", None)[:-20]))
+    (tmp_path / "b.warc.gz").write_bytes(_gzip(warc.record(1, "", b"x" * 50, "d", None, "1")[:-20]))
     with pytest.raises(ValueError, match="cut off"):
         warc.normalise_file(f"file://{tmp_path}/b.warc.gz", "t")
 

@@ -1,32 +1,45 @@
 """Benchmark decontamination with a generalised suffix automaton over words.
 
-The normalised items build one automaton; documents stream their words through
-it, keeping the longest suffix that is a factor of some item.  Where that match
-is as long as a window (10 words, or a whole shorter item), the window's words
-are hit.  Only runs of words whose neighbours are neighbours in some item can
-hold a match; runs are found by hash first and then walked.
-
-Defined cases: a null text has no words; items without words are ignored; an item
-with a null id marks words but is not counted; equal items each count; repeated
-rows are judged alike, each by itself; no items: nothing is hit; an empty table
-gives an empty result; extra columns are ignored, or kept by ``remove_spans``.
+The normalised items build automata of bounded size; documents stream their words
+through one after the other, keeping the longest suffix that is a factor of some
+item.  Where that match is as long as a window (10 words, or a whole shorter item),
+the window's words are hit.  Only runs of words whose neighbours are neighbours in
+some item can hold a match; runs are found by hash first, their words are compared
+with the items', and then they are walked.
+
+Items are cut into pieces that share a window but one word, so no window is lost, and
+dealt to automata of about ``MAX_WORDS`` words, which executors build and keep as files
+in the shared folder.  A task holds one of them at a time, and reads the next for some
+``HELD_BYTES`` of texts together.
+
+Defined cases: a null text has no words; a very long text is one row, scanned whole;
+items without words are ignored; an item with a null id marks words but is not
+counted; equal items each count, repeated ones once; repeated rows are judged alike,
+each by itself; no items: nothing is hit; an empty table gives an empty result; extra
+columns of any name and type are ignored, or kept by ``remove_spans``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..tables import scratch, settled
 from . import textvec as tv
 
 WINDOW = 10
-#: Words of items in one automaton (some 100 MB); more items are dealt to several, one pass each.
-MAX_WORDS = 300_000
+#: Words of items in one automaton (some 35 MB), about; a piece of an item has an eighth of it at most.
+MAX_WORDS = 100_000
+#: Bytes of texts that are scanned by one automaton before the next is read, where there are several.
+HELD_BYTES = 1 << 25
 #: ``remove_spans`` drops a document of which a larger share than this is hit.
 MAX_COVERAGE = 0.5
 
@@ -69,7 +82,7 @@ class Automaton:
         for s in order[1:]:
             up = self.chain[self.link[s]]
             self.chain[s] = (s, *up) if s in self.marks else up
-        words = list(self.ids)
+        self.words = words = list(self.ids)
         hashes = hash_words(words)
         by = np.argsort(hashes)
         self.word_hash, self.word_id = hashes[by], by
@@ -171,6 +184,9 @@ def scan(auto: Automaton, data: np.ndarray, offs: np.ndarray):
         begin = np.searchsorted(row, np.arange(len(offs)))
         for lo, hi in zip(a[long].tolist(), z[long].tolist(), strict=True):
             ids = auto.word_id[np.searchsorted(auto.word_hash, h[lo:hi])].tolist()
+            raw = low[starts[lo] : ends[hi - 1]].tobytes()
+            # equal hashes are not enough: a word that differs from the item's ends a match
+            ids = [k if auto.words[k] == raw[x:y] else -1 for k, x, y in zip(ids, (starts[lo:hi] - starts[lo]).tolist(), (ends[lo:hi] - starts[lo]).tolist(), strict=True)]
             for end, k, items in auto.walk(ids):
                 r = int(row[lo])
                 if r not in found:
@@ -181,15 +197,107 @@ def scan(auto: Automaton, data: np.ndarray, offs: np.ndarray):
     return starts, ends, row, found
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> Iterator[Automaton]:
-    """One automaton after another; the driver holds the items of one at a time, each of a checked size."""
+def _pieces(window: int, most: int):
+    """Items as normalised pieces of ``most`` words, the next beginning ``window - 1`` before the last's end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for i, text in enumerate(b.column("text")):
+                ws = item_words(text.as_py())
+                for at in range(0, max(1, len(ws) - window + 1) if ws else 0, most):
+                    part = ws[at : at + most + window - 1]
+                    rows.append((i, b" ".join(part).decode(), len(part)))
+            if rows:
+                which, words, n = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([b.column("item_id").take(pa.array(which)), pa.array(words, pa.string()), pa.array(n, pa.int64())], ["item_id", "words", "n"])
+
+    return run
+
+
+def _build(folder: str, window: int):
+    """Rows sorted by part: one automaton each, written under its number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        tag = TaskContext.get().taskAttemptId()
+        last, items = None, []
+
+        def write() -> pa.RecordBatch:
+            store, base = fs.FileSystem.from_uri(folder)
+            store.create_dir(base)
+            with store.open_output_stream(f"{base}/.{last}-{tag}", compression=None) as out:
+                out.write(pickle.dumps(Automaton(items, window), protocol=5))
+            store.move(f"{base}/.{last}-{tag}", f"{base}/{last}")
+            return pa.RecordBatch.from_pydict({"path": [f"{folder}/{last}"]})
+
+        for b in batches:
+            for part, item, words in zip(*(b.column(c).to_pylist() for c in ("part", "item_id", "words")), strict=True):
+                if part != last and items:
+                    yield write()
+                    items = []
+                last = part
+                items.append((item, words.encode().split(b" ")))
+        if items:
+            yield write()
+
+    return run
+
+
+def automata(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> list[str]:
+    """Files of the automata; the driver gets their names alone."""
+    spark = benchmark.sparkSession
+    schema = StructType([StructField("item_id", benchmark.schema["item_id"].dataType), StructField("words", StringType()), StructField("n", LongType())])
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(1, -(-size // (2 * max_words)))  # a word and its separator are two characters at least
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    for k in range(parts):
-        mine = items.where(part == k).collect() if parts > 1 else items.collect()
-        yield Automaton([(r[0], item_words(r[1])) for r in mine], window)
+    pieces = settled(items.mapInArrow(_pieces(window, max(1, max_words // 8)), schema).distinct())
+    parts = -(-(pieces.agg(F.sum("n")).first()[0] or 0) // max_words)
+    if not parts:
+        return []
+    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("item_id", "words"), F.lit(parts))).repartition(parts, "part").sortWithinPartitions("part")
+    built = dealt.select("part", "item_id", "words").mapInArrow(_build(scratch(spark, "automata"), window), "path string")
+    return sorted(r[0] for r in built.collect())
+
+
+_loaded: dict[str, Automaton] = {}
+
+
+def load(path: str) -> Automaton:
+    """The automaton of a file; the process keeps the last one."""
+    if path not in _loaded:
+        _loaded.clear()
+        store, name = fs.FileSystem.from_uri(path)
+        with store.open_input_stream(name, compression=None) as f:
+            _loaded[path] = pickle.loads(f.read())
+    return _loaded[path]
+
+
+def marks(batches: Iterator[pa.RecordBatch], paths: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[np.ndarray, set]]]]:
+    """Slices of the batches with their bytes, borders and words, and, by row, the hit words and items found in it."""
+
+    def flush(held: list[tuple]):
+        found: list[dict] = [{} for _ in held]
+        words: list[tuple] = [()] * len(held)
+        for path in paths or (None,):
+            auto = load(path) if path else Automaton([])
+            for k, (_, data, offs) in enumerate(held):
+                *words[k], new = scan(auto, data, offs)
+                for r, (marked, items) in new.items():
+                    if r in found[k]:
+                        found[k][r] = (found[k][r][0] | marked, found[k][r][1] | items)
+                    else:
+                        found[k][r] = (marked, items)
+        return [(part, data, offs, *words[k], found[k]) for k, (part, data, offs) in enumerate(held)]
+
+    held, size = [], 0
+    for b in batches:
+        for lo, hi, data, offs in tv.text_slices(b.column("text")):
+            held.append((b.slice(lo, hi - lo), data, offs))
+            size += len(data)
+            if len(paths) < 2 or size >= HELD_BYTES:
+                yield from flush(held)
+                held, size = [], 0
+    yield from flush(held)
 
 
 def _digest(items: set) -> str:
@@ -201,27 +309,17 @@ SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 stri
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """Per document: words, hit words, items found."""
-    sc = docs.sparkSession.sparkContext
-    shared = [sc.broadcast(a) for a in automata(benchmark, window, max_words)]
+    paths = automata(benchmark, window, max_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo, hi, data, offs in tv.text_slices(b.column("text")):
-                n = hi - lo
-                hits: list[np.ndarray | None] = [None] * n
-                items: list[set] = [set() for _ in range(n)]
-                row = None
-                for auto in shared:
-                    _, _, row, found = scan(auto.value, data, offs)
-                    for r, (marked, ids) in found.items():
-                        hits[r] = marked if hits[r] is None else hits[r] | marked
-                        items[r] |= ids - {None}
-                n_hit = [0 if x is None else int(x.sum()) for x in hits]
-                none = _digest(set())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(lo, n), pa.array(tv.by_row(row, n)), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([_digest(x) if x else none for x in items]), pa.array([x > 0 for x in n_hit])],
-                    ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-                )
+        none = _digest(set())
+        for part, _, _, _, _, row, found in marks(batches, paths):
+            n = part.num_rows
+            n_hit, n_items, digests = np.zeros(n, np.int64), np.zeros(n, np.int64), [none] * n
+            for r, (marked, ids) in found.items():
+                ids = ids - {None}
+                n_hit[r], n_items[r], digests[r] = marked.sum(), len(ids), _digest(ids)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, (tv.by_row(row, n), n_hit, n_items, digests, n_hit > 0))], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
@@ -241,38 +339,30 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, max_coverage: float = MA
 
     ``n_chars``, if there, is set to the new length of a changed text.
     """
-    sc = docs.sparkSession.sparkContext
-    shared = [sc.broadcast(a) for a in automata(benchmark, window, max_words)]
+    paths = automata(benchmark, window, max_words)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo, hi, data, offs in tv.text_slices(b.column("text")):
-                marks: dict[int, np.ndarray] = {}
-                starts = ends = row = None
-                for auto in shared:
-                    starts, ends, row, found = scan(auto.value, data, offs)
-                    for r, (marked, _) in found.items():
-                        marks[r] = marks[r] | marked if r in marks else marked
-                part = b.slice(lo, hi - lo)
-                if not marks:
-                    yield part
+        for part, data, offs, starts, ends, row, found in marks(batches, paths):
+            if not found:
+                yield part
+                continue
+            n = part.num_rows
+            keep = np.ones(n, bool)
+            texts, begin = part.column("text").to_pylist(), np.searchsorted(row, np.arange(n + 1))
+            sizes = part.column("n_chars").to_pylist() if "n_chars" in names else []
+            for r, (marked, _) in found.items():
+                if marked.sum() > max_coverage * len(marked):
+                    keep[r] = False
                     continue
-                keep = np.ones(hi - lo, bool)
-                texts, begin = part.column("text").to_pylist(), np.searchsorted(row, np.arange(hi - lo + 1))
-                sizes = part.column("n_chars").to_pylist() if "n_chars" in names else []
-                for r, marked in marks.items():
-                    if marked.sum() > max_coverage * len(marked):
-                        keep[r] = False
-                        continue
-                    s = slice(int(begin[r]), int(begin[r + 1]))
-                    texts[r] = cut(data[offs[r] : offs[r + 1]].tobytes(), starts[s] - offs[r], ends[s] - offs[r], marked).decode()
-                    if sizes:
-                        sizes[r] = len(texts[r])
-                cols = list(part.columns)
-                cols[names.index("text")] = pa.array(texts, part.column("text").type)
+                s = slice(int(begin[r]), int(begin[r + 1]))
+                texts[r] = cut(data[offs[r] : offs[r + 1]].tobytes(), starts[s] - offs[r], ends[s] - offs[r], marked).decode()
                 if sizes:
-                    cols[names.index("n_chars")] = pa.array(sizes, part.column("n_chars").type)
-                yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep))
+                    sizes[r] = len(texts[r])
+            cols = list(part.columns)
+            cols[names.index("text")] = pa.array(texts, part.column("text").type)
+            if sizes:
+                cols[names.index("n_chars")] = pa.array(sizes, part.column("n_chars").type)
+            yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

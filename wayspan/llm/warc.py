@@ -8,17 +8,25 @@ Files appear under their final names by an atomic rename, and their names depend
 on the partition alone, so a task that runs again writes the same file again.
 Where the shared folder is not a mounted one, pyarrow's file systems reach it.
 
-Defined cases: a null payload is empty; payloads below ``MIN_DEDUP`` bytes are
+A response's block is an HTTP response with the payload; a revisit's is empty and
+names its response by URL, date and page.  The pages have no time of their own, so
+all records carry a given one.
+
+Defined cases: a null payload is empty; a very long one is one record, held whole; a
+null url becomes ``urn:page:`` and the page_id; payloads below ``MIN_DEDUP`` bytes are
 always responses; rows with the least page_id of an equal payload are responses
 (all of them, if that id repeats), and a null page_id counts as larger than any;
-if all are null they are responses; an empty table gives an empty result; extra
-columns are ignored.
+if all are null they are responses; repeated rows are records of their own, each with
+an id of its own; an empty table gives an empty result; extra columns of any name and
+type are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +40,11 @@ from ..tables import scratch
 MIN_DEDUP = 100
 LEVEL = 3
 INFLATE = 1 << 18
+#: Payload bytes after which a task begins another archive.
+ARCHIVE_BYTES = 1 << 30
+#: WARC-Date of the records.
+DATE = "1970-01-01T00:00:00Z"
+_UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -42,30 +55,34 @@ def decided(pages: DataFrame) -> DataFrame:
     digests that repeat go back to the pages; that join's hot keys are split by
     adaptive execution (its large side may be split, its small side is unique).
     """
-    p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload"))
+    p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url"), F.lit("")).alias("url"), F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload"))
     p = p.withColumn("digest", F.sha2("payload", 256))
     long = p.where(F.octet_length("payload") >= MIN_DEDUP).select("digest", "page_id")
     least = long.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
-    return p.join(least.drop("n"), "digest", "left").select(
-        "page_id", "payload", "digest", F.when(F.col("page_id").isNull() | (F.col("page_id") > F.col("first")), F.col("first")).alias("refers_to")
-    )
+    later = F.col("page_id").isNull() | (F.col("page_id") > F.col("first"))
+    return p.join(least.drop("n"), "digest", "left").select("page_id", "url", "payload", "digest", F.when(later, F.col("first")).alias("refers_to"))
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def header(kind: str, page_id: int | None, url: str, size: int, digest: str, refers_to: int | None) -> bytes:
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {size}"]
-    if refers_to is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
-    return "\r\n".join(lines).encode()
+def target_uri(url: str, page_id: int | None) -> str:
+    """The url with blanks and control characters escaped, or a name of the page where there is none."""
+    return _UNSAFE.sub(lambda m: f"%{ord(m.group()):02X}", url) or f"urn:page:{'' if page_id is None else page_id}"
 
 
-def record(kind: str, page_id: int | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    body = b"" if kind == "revisit" else payload
-    head = header(kind, page_id, "" if page_id is None else f"page:{page_id}", len(payload), digest, refers_to)
-    return head + f"\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, record_id: str, date: str = DATE) -> bytes:
+    """One WARC record: a response, or a revisit if it refers to a page."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    block = b"" if refers_to is not None else http + payload
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:uuid:{record_id}>", f"WARC-Date: {date}", f"WARC-Target-URI: {target_uri(url, page_id)}"]
+    lines += ["Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}"]
+    if page_id is not None:
+        lines.append(f"X-Page-ID: {page_id}")
+    if refers_to is not None:
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To-Date: {date}", f"X-Refers-To-Page-ID: {refers_to}"]
+    return ("\r\n".join(lines) + f"\r\nContent-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
 
 
 class Reader:
@@ -114,31 +131,43 @@ def inflate(source) -> Iterator[bytes]:
             yield piece
 
 
-def write_monolithic(decided_pages: DataFrame, folder: str) -> DataFrame:
-    """One archive a partition, each a single gzip stream; returns (path, records)."""
+def write_monolithic(decided_pages: DataFrame, folder: str, date: str = DATE, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Archives of some ``archive_bytes`` of payloads, each a single gzip stream; returns (path, records).
+
+    A record's id follows from its archive and place, so a task that runs again gives it again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get()
         store, base = _open(folder)
-        name, temp = f"{base}/{task.partitionId():06d}.warc.gz", f"{base}/.{task.partitionId():06d}-{task.taskAttemptId()}"
-        n, out, z = 0, None, zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+        space = uuid.uuid5(uuid.NAMESPACE_URL, folder)
+        made, n, held, out, z = 0, 0, 0, None, None
+
+        def close() -> pa.RecordBatch:
+            out.write(z.flush())
+            out.close()
+            store.move(temp, name)
+            return pa.RecordBatch.from_pydict({"path": [f"{folder}/{name.rpartition('/')[2]}"], "records": [n]})
+
         for b in batches:
-            for page_id, payload, digest, refers_to in zip(*(b.column(c) for c in ("page_id", "payload", "digest", "refers_to")), strict=True):
+            for page_id, url, payload, digest, refers_to in zip(*(b.column(c) for c in ("page_id", "url", "payload", "digest", "refers_to")), strict=True):
+                if out is not None and held >= archive_bytes:
+                    yield close()
+                    made, n, held, out = made + 1, 0, 0, None
                 if out is None:
                     store.create_dir(base)
+                    stem = f"{task.partitionId():06d}-{made:03d}"
+                    name, temp, z = f"{base}/{stem}.warc.gz", f"{base}/.{stem}-{task.taskAttemptId()}", zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                     out = store.open_output_stream(temp, compression=None)
-                to = refers_to.as_py()
-                out.write(z.compress(record("response" if to is None else "revisit", page_id.as_py(), payload.as_py(), digest.as_py(), to)))
-                n += 1
+                body = payload.as_py()
+                out.write(z.compress(record(page_id.as_py(), url.as_py(), body, digest.as_py(), refers_to.as_py(), str(uuid.uuid5(space, f"{stem}/{n}")), date)))
+                n, held = n + 1, held + len(body)
         if out is not None:
-            out.write(z.flush())
-            out.close()
-            store.move(temp, name)
-            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name.rpartition('/')[2]}"], "records": [n]})
+            yield close()
 
-    return decided_pages.select("page_id", "payload", "digest", "refers_to").mapInArrow(run, "path string, records long")
+    return decided_pages.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, "path string, records long")
 
 
 def normalise_file(path: str, tag: str, drop: bool = False) -> tuple[str, int]:
@@ -152,7 +181,8 @@ def normalise_file(path: str, tag: str, drop: bool = False) -> tuple[str, int]:
             z = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
             member = z.compress(raw) + z.flush()
             out.write(member)
-            idx.write((json.dumps({"offset": at, "length": len(member), "id": fields["WARC-Record-ID"], "type": fields["WARC-Type"]}) + "\n").encode())
+            entry = {"offset": at, "length": len(member), "id": fields["WARC-Record-ID"], "type": fields["WARC-Type"], "date": fields["WARC-Date"], "uri": fields["WARC-Target-URI"]}
+            idx.write((json.dumps(entry) + "\n").encode())
             at, n = at + len(member), n + 1
     store.move(f"{target}.{tag}", target)
     store.move(f"{index}.{tag}", index)
@@ -174,9 +204,8 @@ def normalise(archives: DataFrame) -> DataFrame:
     return archives.select("path").mapInArrow(run, "path string, records long")
 
 
-def _id(urn: str | None) -> int | None:
-    digits = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(digits) if digits else None
+def _number(digits: str | None) -> int | None:
+    return None if digits is None else int(digits)
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -196,9 +225,10 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         fields, body, _ = next(iter(Reader(iter([raw]))))
                         digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
                         size = int(fields["X-Payload-Length"])
-                        if e["type"] == "response" and (hashlib.sha256(body).hexdigest() != digest or len(body) != size):
+                        payload = body.partition(b"\r\n\r\n")[2]
+                        if e["type"] == "response" and (hashlib.sha256(payload).hexdigest() != digest or len(payload) != size):
                             raise ValueError(f"{path} at {e['offset']}: the payload doesn't fit its digest")
-                        rows.append((_id(fields["WARC-Record-ID"]), size, digest, e["type"], _id(fields.get("WARC-Refers-To"))))
+                        rows.append((_number(fields.get("X-Page-ID")), size, digest, e["type"], _number(fields.get("X-Refers-To-Page-ID"))))
                         if len(rows) == 5000:
                             yield _batch(rows)
                             rows = []
