@@ -16,7 +16,7 @@ def duck():
     if not os.path.isdir(SF):
         pytest.skip("no tables")
     c = duckdb.connect()
-    for t in ("events", "lineitem", "supplier", "orders", "customer", "nation"):
+    for t in ("events", "lineitem", "supplier", "orders", "customer", "nation", "part"):
         c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     return c
 
@@ -42,3 +42,14 @@ def test_entry(spark):
         pytest.skip("no tables")
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize(("name", "joins", "exchanges"), [("nearest_stop", 1, 2), ("nearest_cell", 1, 3), ("trip_scoped_stop_mask", 4, 9), ("empty_selections", 1, 5), ("polyline_project", 1, 4)])
+def test_plans(spark, name, joins, exchanges):
+    """No cross joins, and no more joins and exchanges than the work needs."""
+    if not os.path.isdir(SF):
+        pytest.skip("no tables")
+    plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    full = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert plan.count("Join") <= joins and sum("Exchange " in line and "Broadcast" not in line for line in full.splitlines()) <= exchanges

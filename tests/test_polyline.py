@@ -1,6 +1,8 @@
 import math
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from wayspan.operators import polyline as pl
 
@@ -39,7 +41,7 @@ def test_simplify_frame(frame):
 
 @pytest.mark.parametrize(("p", "along", "off"), [((300, 20), 300, 20), ((1200, 1200), 2000, math.hypot(200, 200))])
 def test_project(spark, frame, p, along, off):
-    r = pl.project(ask(spark, CORNER, *p), pl.segments(frame(CORNER), ["r"]), [], ["r"]).first()
+    r = pl.project(ask(spark, CORNER, *p).withColumn("r", F.lit("r")), pl.segments(frame(CORNER), ["r"]), ["r"]).first()
     assert (r.along, r.off) == (pytest.approx(along), pytest.approx(off))
 
 
@@ -79,3 +81,50 @@ def test_slices(spark, frame):
     assert got == {250.0: (250, 0), 1500.0: (1000, 500), 9999.0: (1000, 1000)}
     ends = spark.createDataFrame([("r", 250.0, 1500.0)], "r string, from_m double, to_m double")
     assert [(r.x, r.y) for r in pl.slice_between(line, ends, ["r"]).orderBy("pos").collect()] == [(250, 0), (500, 0), (1000, 0), (1000, 500)]
+
+
+def plain_simplify(line, tol):
+    """Douglas-Peucker as it is usually told."""
+    if len(line) < 3:
+        return list(range(len(line)))
+
+    def off(p, a, b):
+        dx, dy = b[0] - a[0], b[1] - a[1]
+        t = max(0, min(1, ((p[0] - a[0]) * dx + (p[1] - a[1]) * dy) / (dx * dx + dy * dy))) if dx or dy else 0
+        return math.hypot(p[0] - a[0] - t * dx, p[1] - a[1] - t * dy)
+
+    at = max(range(1, len(line) - 1), key=lambda i: off(line[i], line[0], line[-1]))
+    if off(line[at], line[0], line[-1]) <= tol:
+        return [0, len(line) - 1]
+    return plain_simplify(line[: at + 1], tol) + [at + i for i in plain_simplify(line[at:], tol)[1:]]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_simplify_like_the_plain_form(seed):
+    rng = random.Random(seed)
+    line = [(rng.uniform(0, 100), rng.uniform(0, 100)) for _ in range(rng.randint(0, 60))]
+    if seed % 3 == 0:
+        line += line[:1]
+    for tol in (0, 5, 20, 60, 200):
+        assert pl.simplify_indices(line, tol) == plain_simplify(line, tol)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_match_is_the_cheapest_chain(seed):
+    """Against all chains of candidate places."""
+    import itertools
+
+    import numpy as np
+
+    rng = random.Random(seed)
+    line = [(rng.uniform(0, 300), rng.uniform(0, 300)) for _ in range(8)]
+    stops = [(rng.uniform(0, 300), rng.uniform(0, 300)) for _ in range(4)]
+    far, length = 90, np.array(cum(line))
+    places = [list(zip(*pl.places_near(np.array(line), length, np.array(s), far, 6), strict=True)) for s in stops]
+    chains = [c for c in itertools.product(*places) if all(a[0] - 80 < b[0] for a, b in zip(c, c[1:]))]
+    got = pl.match_sequence(line, length, stops, far)
+    if not chains:
+        assert got is None
+    else:
+        best = min(chains, key=lambda c: sum(off for _, off in c))
+        assert got == pytest.approx(list(itertools.accumulate((a for a, _ in best), max)))

@@ -134,7 +134,36 @@ def test_publish_end_to_end(spark):
     assert {"all-all-all", "2026-08-wd-05", "all-we-08"} <= keys and "2026-08-we-05" not in keys
     doc = json.loads(publish.cell_documents(out.cells).where("key = 'all-all-all'").first().value)
     assert doc["n"] == [10, 42] and doc["med"] == [18.5, 18.5] and doc["rel"] == [1.0, 1.0]
-    prof = json.loads(publish.profile_documents(out.profiles, out.cells).where("key = 'all-all-profile'").first().value)
+    prof = json.loads(publish.profile_documents(out.profiles, out.cells).where("key = 'profile-all-all'").first().value)
     assert prof["q"] == [18] * 7
-    assert json.loads(out.index.first().value)["samples"] == 52
+    index = out.index
+    assert index["samples"] == 52 and index["hours"] == [5, 6, 7, 8, 9, 10, 11] and index["rides"] is False
+    assert index["months"] == [{"key": "2026-08", "label": "August 2026", "days": 2}] and index["days"] == {"count": 2, "first": "2026-08-03", "last": "2026-08-08"}
+    assert [(d["key"], d["days"]) for d in index["daytypes"]] == [("all", 2), ("wd", 1), ("we", 1)]
+    assert index["metrics"][4] == {"key": "rel", "label": "% of free-flow", "unit": "%", "factor": 100, "decimals": 0, "invert": False, "scale": {"low": 0.35, "high": 1.0}}
     assert [m["key"] for m in publish.metric_descriptors()] == ["v", "med", "p15", "p85", "rel", "spread"]
+
+
+def test_written_selections(spark, tmp_path):
+    """Every selection has a document, empty ones too; a second run leaves nothing of the first; tables are read by partition."""
+    c = spark.createDataFrame([_cell(hour=h, n=6, speed=30.0) for h in range(5, 12)] + [_cell(day="2026-08-08", hour=8, cx=3, d=4, bearing=180.0)], CELL)
+    h = spark.createDataFrame([(r.day, r.month, r.hour, r.cx, r.cy, r.dir, 18, r.n) for r in c.collect()], "day date, " + HIST)
+    web = f"{tmp_path}/web"
+    keys = lambda kind: {r.key for r in spark.read.text(f"{web}/{kind}").select("key").distinct().collect()}
+    publish.write_all(publish.publish(publish.Tables(c, h, None, None)), web, spark)
+    assert len(keys("cells")) == 2 * 3 * 8 and len(keys("profiles")) == 2 * 3
+    empty = json.loads(spark.read.text(f"{web}/cells").where("key = '2026-08-we-05'").first().value)
+    assert empty == {k: [] for k in ("lat", "lon", "dir", "v", "med", "p15", "p85", "spread", "rel", "n")}
+    publish.write_all(publish.publish(publish.Tables(c.where("hour < 7"), h.where("hour < 7"), None, None)), web, spark)
+    assert len(keys("cells")) == 2 * 3 * 3 and "all-all-08" not in keys("cells")
+    again = publish.stored(spark, f"{web}/tables")
+    assert again.hours == [5, 6] and again.months == ["2026-08"]
+    one = again.cells.where("key = 'all-all-05'")
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(key" in one._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_ride_documents_of_empty_selections(spark):
+    ride = spark.createDataFrame([("a", "r", "0", [1], [2], [3])], "key string, route_id string, direction string, med array<int>, avg array<int>, n array<int>")
+    keys = spark.createDataFrame([("a",), ("b",)], "key string")
+    got = {r.key: json.loads(r.value) for r in publish.ride_documents(ride, keys).collect()}
+    assert got == {"a": {"r|0": {"med": [1], "avg": [2], "n": [3]}}, "b": {}}

@@ -58,16 +58,18 @@ def test_command_line(spark, tmp_path, monkeypatch):
     assert cli.read_sites(spark, f"{tmp_path}/data/depots.json") == []
 
     s, _ = cli._schedule(spark, cli.parser().parse_args([*base, "publish"]), "2026-08-06", Params())
-    t = api.Transit(spark, publish.publish(publish.load(spark, f"{tmp_path}/data"), s.paths), s)
+    t = api.Transit(spark, publish.stored(spark, f"{tmp_path}/web/tables"), s)
     cells = t.speed_cells(hour=10)
     assert cells.count() > 5 and cells.first().v == 28.8
     c = cells.first()
     assert t.cell_at(c.lat, c.lon, 40.0).first().n >= c.n
     assert t.cell_at(c.lat, c.lon, 225.0).count() == 0
+    assert t.arrow_at(c.lat, c.lon).count() == 1
+    assert t.speed_cells(month="2031-01", daytype="xx", hour="99").count() == t.speed_cells().count()
     ride = t.rides(START, N).collect()
     assert [(r.route_id, r.direction) for r in ride] == [("R_BUS", "0")] and 350 < ride[0].seconds < 400
     assert t.rides(N, START).count() == 0
-    assert t.nearest_hour(3) == 10 and len(t.metrics()) == 6
+    assert t.nearest_hour(3) == t.nearest_hour() == 10 and len(t.metrics()) == 6 and '"samples"' in t.catalogue().first()[0]
     assert t.viewport(cells, *START, *N).count() > 0
 
 

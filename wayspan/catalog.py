@@ -1,8 +1,9 @@
-"""Query catalogue: each operator through a lens, with the same query in SQL."""
+"""Query catalogue: each operator through a lens over whole tables, with the same query in SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,12 +176,12 @@ def trim_range(spark, sf_dir):
 
 @query(
     f"""WITH {CELLS} SELECT count(*) AS samples, count(DISTINCT month) AS months, count(DISTINCT hour) AS hours, count(DISTINCT day) AS days, count(DISTINCT CASE WHEN daytype = 'wd' THEN day END) AS weekdays,
-strftime(min(day), '%B %Y') AS first_month FROM cells_long"""
+strftime(min(day), '%B %Y') AS first_month, min(day) AS first, max(day) AS last, count(DISTINCT CASE WHEN month = (SELECT min(month) FROM cells_long) THEN day END) AS first_days FROM cells_long"""
 )
 def catalogue(spark, sf_dir):
     c = lenses.cells_long(spark, sf_dir).groupBy("day", "month", "hour").agg(F.count("*").alias("n"))
     out = payload.catalogue_counts(c)
-    return out.select("samples", F.size("months").cast("long").alias("months"), F.size("hours").cast("long").alias("hours"), "days", "weekdays", X.month_label(F.array_min("months")).alias("first_month"))
+    return out.select("samples", F.size("months").cast("long").alias("months"), F.size("hours").cast("long").alias("hours"), "days", "weekdays", X.month_label(F.col("months")[0]["month"]).alias("first_month"), "first", "last", F.col("months")[0]["days"].cast("long").alias("first_days"))
 
 
 @query(f"WITH {CELLS} SELECT cx, cy, count(*) AS n FROM cells_long GROUP BY ALL HAVING NOT (pow(avg(kmh) - 25.5::DOUBLE, 2) + pow(cx - 10, 2) <= 4)")
@@ -235,7 +236,7 @@ f5 AS (SELECT *, coalesce(v3, CASE WHEN pattern_id IS NULL THEN 'no_stops'
 def trip_scoped_stop_mask(spark, sf_dir):
     trip_pattern, fallback, pattern_stop = _patterns(spark, sf_dir)
     rows = funnel.with_pattern(_funnel(spark, sf_dir), trip_pattern, fallback)
-    rows = rows.withColumns({"verdict": F.when(F.col("verdict").isNull() & F.col("pattern_id").isNull(), "no_stops").otherwise(F.col("verdict")), "row_id": F.col("snapshot_key")})
+    rows = rows.withColumn("verdict", F.when(F.col("verdict").isNull() & F.col("pattern_id").isNull(), "no_stops").otherwise(F.col("verdict")))
     return funnel.stop_verdicts(rows, pattern_stop, Params()).select("snapshot_key", F.coalesce("verdict", F.lit("kept")).alias("verdict"))
 
 
@@ -252,13 +253,13 @@ def nearest_stop(spark, sf_dir):
 @query(
     f"""WITH {POSITIONS}, {CELLS}, c AS (SELECT cx * 100 + cy AS cell, cx * 25 AS x, cy * 25 AS y, dir * 45 AS dir FROM cells_long GROUP BY ALL),
 d AS (SELECT p.snapshot_key AS q, cell * 10 + c.dir // 45 AS cell, (c.x - p.x) * (c.x - p.x) + (c.y - p.y) * (c.y - p.y) AS d2 FROM positions p JOIN c ON abs(c.x - p.x) <= 40 AND abs(c.y - p.y) <= 40
-WHERE p.snapshot_key % 100 < 50 AND least(abs(bearing - c.dir), 360 - abs(bearing - c.dir)) <= 90)
+WHERE least(abs(bearing - c.dir), 360 - abs(bearing - c.dir)) <= 90)
 SELECT q, arg_min(cell, (d2, cell)) AS cell, CAST(min(d2) AS BIGINT) AS d2 FROM d WHERE d2 <= 1600 GROUP BY ALL"""
 )
 def nearest_cell(spark, sf_dir):
     c = lenses.cells_long(spark, sf_dir).select("cx", "cy", "dir").distinct()
     c = c.select(((F.col("cx") * 100 + F.col("cy")) * 10 + F.col("dir")).alias("cell"), (F.col("cx") * 25).alias("x"), (F.col("cy") * 25).alias("y"), (F.col("dir") * 45).alias("dir"))
-    q = lenses.positions(spark, sf_dir).where("snapshot_key % 100 < 50").select(F.col("snapshot_key").alias("q"), "x", "y", F.col("bearing").alias("heading"))
+    q = lenses.positions(spark, sf_dir).select(F.col("snapshot_key").alias("q"), "x", "y", F.col("bearing").alias("heading"))
     return spatial.nearest_cell(q, c, 40, max_angle=90.0).select("q", "cell", F.col("d2").cast("long").alias("d2"))
 
 
@@ -399,14 +400,17 @@ v AS (SELECT route_id, k AS i, x::DOUBLE AS x, y::DOUBLE AS y FROM stops),
 st AS (SELECT *, coalesce(sqrt(pow(x - lag(x) OVER w, 2) + pow(y - lag(y) OVER w, 2)), 0) AS step FROM v WINDOW w AS (PARTITION BY route_id ORDER BY i)),
 cu AS (SELECT *, sum(step) OVER (PARTITION BY route_id ORDER BY i) AS cum FROM st),
 sg AS (SELECT * FROM (SELECT route_id, i, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_, cum FROM cu WINDOW w AS (PARTITION BY route_id ORDER BY i)) WHERE bx IS NOT NULL),
-qp AS (SELECT c_custkey AS q, (c_custkey * 271 % 500)::DOUBLE AS px, (c_custkey * 433 % 500)::DOUBLE AS py FROM customer WHERE c_custkey <= 200),
-tt AS (SELECT *, CASE WHEN pow(bx - ax, 2) + pow(by_ - ay, 2) = 0 THEN 0 ELSE greatest(0, least(1, ((px - ax) * (bx - ax) + (py - ay) * (by_ - ay)) / (pow(bx - ax, 2) + pow(by_ - ay, 2)))) END AS t FROM qp, sg),
+qp AS (SELECT c_custkey AS q, (c_custkey * 271 % 500)::DOUBLE AS px, (c_custkey * 433 % 500)::DOUBLE AS py, CAST(c_custkey % 25 AS INTEGER) AS own FROM customer),
+tt AS (SELECT *, CASE WHEN pow(bx - ax, 2) + pow(by_ - ay, 2) = 0 THEN 0 ELSE greatest(0, least(1, ((px - ax) * (bx - ax) + (py - ay) * (by_ - ay)) / (pow(bx - ax, 2) + pow(by_ - ay, 2)))) END AS t FROM qp, sg WHERE {on}),
 o AS (SELECT q, route_id, i, cum + t * sqrt(pow(bx - ax, 2) + pow(by_ - ay, 2)) AS along, sqrt(pow(px - ax - t * (bx - ax), 2) + pow(py - ay - t * (by_ - ay), 2)) AS off FROM tt)"""
+# with every line, and with the customer's own
+EVERY_LINE, LINES = LINES.replace("{on}", "true"), LINES.replace("{on}", "own = route_id")
 
 
 def _points(spark, sf_dir) -> DataFrame:
+    """A place for each customer, and the route it belongs to."""
     c = F.col("c_custkey")
-    return lenses.table(spark, sf_dir, "customer").where(c <= 200).select(c.alias("q"), (c * 271 % 500).cast("double").alias("x"), (c * 433 % 500).cast("double").alias("y"))
+    return lenses.table(spark, sf_dir, "customer").select(c.alias("q"), (c * 271 % 500).cast("double").alias("x"), (c * 433 % 500).cast("double").alias("y"), (c % 25).cast("int").alias("route_id"), F.lit("0").alias("direction"))
 
 
 _LINE = ["route_id", "direction"]
@@ -414,8 +418,7 @@ _LINE = ["route_id", "direction"]
 
 @query(f"WITH {LINES} SELECT q, route_id, round_even(arg_min(along, (round_even(off, 6), i)), 3) AS along, round_even(min(off), 3) AS off FROM o GROUP BY ALL")
 def polyline_project(spark, sf_dir):
-    o = polyline.offsets(_points(spark, sf_dir), polyline.segments(_lines(spark, sf_dir), _LINE), [])
-    o = o.withColumn("r", X.round_half_even(F.col("off"), 6)).groupBy("q", "route_id").agg(F.min_by("along", F.struct("r", "i")).alias("along"), F.min("off").alias("off"))
+    o = polyline.project(_points(spark, sf_dir), polyline.segments(_lines(spark, sf_dir), _LINE), _LINE, 6)
     return o.select("q", "route_id", X.round_half_even(F.col("along"), 3).alias("along"), X.round_half_even(F.col("off"), 3).alias("off"))
 
 
@@ -425,7 +428,7 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY q, route_id ORDER BY r, i) AS r
 SELECT q, route_id, CAST(rank AS INTEGER) AS rank, round_even(along, 3) AS along, round_even(off, 3) AS off FROM rk WHERE rank <= 6"""
 )
 def place_candidates(spark, sf_dir):
-    o = polyline.candidates(_points(spark, sf_dir), polyline.segments(_lines(spark, sf_dir), _LINE), [], _LINE, 120.0)
+    o = polyline.candidates(_points(spark, sf_dir), polyline.segments(_lines(spark, sf_dir), _LINE), _LINE, _LINE, 120.0)
     return o.select("q", "route_id", "rank", X.round_half_even(F.col("along"), 3).alias("along"), X.round_half_even(F.col("off"), 3).alias("off"))
 
 
@@ -447,31 +450,52 @@ def utm_projection(spark, sf_dir):
     return p.select("id", X.round_half_even(x, 3).alias("x"), X.round_half_even(y, 3).alias("y"))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {LINES}, ch(route_id, a, b) AS (SELECT route_id, min(i), max(i) FROM v GROUP BY route_id
+UNION ALL SELECT route_id, unnest([a, m]), unnest([m, b]) FROM (SELECT route_id, a, b, arg_max(i, (off, -i)) AS m, max(off) AS off FROM
+  (SELECT ch.route_id, ch.a, ch.b, p.i, round_even(sqrt(pow(p.x - s.x - t * (e.x - s.x), 2) + pow(p.y - s.y - t * (e.y - s.y), 2)), 6) AS off FROM ch JOIN v s ON s.route_id = ch.route_id AND s.i = ch.a JOIN v e ON e.route_id = ch.route_id AND e.i = ch.b
+   JOIN v p ON p.route_id = ch.route_id AND p.i > ch.a AND p.i < ch.b, LATERAL (SELECT CASE WHEN s.x = e.x AND s.y = e.y THEN 0 ELSE greatest(0, least(1, ((p.x - s.x) * (e.x - s.x) + (p.y - s.y) * (e.y - s.y)) / (pow(e.x - s.x, 2) + pow(e.y - s.y, 2)))) END AS t) z) f
+  GROUP BY route_id, a, b) WHERE off > 60)
+SELECT DISTINCT route_id, i, x, y FROM (SELECT route_id, unnest([a, b]) AS i FROM ch) JOIN v USING (route_id, i)"""
+)
 def douglas_peucker(spark, sf_dir):
     return polyline.simplify(_lines(spark, sf_dir), _LINE, 60.0).select("route_id", "i", "x", "y")
 
 
-@query()
+# Places of each stop, then layer by layer the cheapest chain that ends in each of them.
+MATCHING = LINES[: LINES.index("qp AS")] + """
+asked AS (SELECT route_id, k, x + 7.0 AS px, y - 5.0 AS py FROM stops),
+pt AS (SELECT asked.*, sg.i, ax, ay, bx, by_, cum, CASE WHEN bx = ax AND by_ = ay THEN 0 ELSE greatest(0, least(1, ((px - ax) * (bx - ax) + (py - ay) * (by_ - ay)) / (pow(bx - ax, 2) + pow(by_ - ay, 2)))) END AS t FROM asked JOIN sg USING (route_id)),
+po AS (SELECT route_id, k, i, cum + t * sqrt(pow(bx - ax, 2) + pow(by_ - ay, 2)) AS along, sqrt(pow(px - ax - t * (bx - ax), 2) + pow(py - ay - t * (by_ - ay), 2)) AS off FROM pt),
+pm AS (SELECT *, lag(round_even(off, 6)) OVER w AS b, lead(round_even(off, 6)) OVER w AS a FROM po WINDOW w AS (PARTITION BY route_id, k ORDER BY i)),
+cd AS (SELECT route_id, k, along, off, row_number() OVER (PARTITION BY route_id, k ORDER BY round_even(off, 6), i) AS c FROM pm WHERE off <= 120 AND coalesce(b >= round_even(off, 6), true) AND coalesce(a >= round_even(off, 6), true) QUALIFY c <= 6),
+dp(route_id, k, c, cost, along, places) AS (SELECT route_id, k, c, off, along, [along] FROM cd WHERE k = 0
+UNION ALL SELECT cd.route_id, cd.k, cd.c, any_value(cd.off) + min(dp.cost), any_value(cd.along), list_append(arg_min(dp.places, (round_even(dp.cost, 6), dp.c)), any_value(cd.along)) FROM dp JOIN cd ON cd.route_id = dp.route_id AND cd.k = dp.k + 1 AND dp.along - 80 < cd.along GROUP BY cd.route_id, cd.k, cd.c),
+best AS (SELECT route_id, arg_min(places, (round_even(cost, 6), c)) AS places FROM dp JOIN (SELECT route_id, max(k) AS last FROM stops GROUP BY ALL) USING (route_id) WHERE k = last GROUP BY route_id)"""
+
+
+@query(f"WITH RECURSIVE {MATCHING} SELECT route_id, '0' AS direction, CAST(j AS INTEGER) AS k, round_even(list_max(places[1 : j + 1]), 3) AS dist_m FROM (SELECT route_id, places, unnest(range(len(places))) AS j FROM best)")
 def stop_matching(spark, sf_dir):
     line = _lines(spark, sf_dir)
     at = lenses.stops(spark, sf_dir).select("route_id", F.lit("0").alias("direction"), F.col("k").cast("int").alias("k"), (F.col("x") + 7.0).alias("x"), (F.col("y") - 5.0).alias("y"))
-    return polyline.match_stops(line, at, _LINE, 120.0, 80.0)
+    return polyline.match_stops(line, at, _LINE, 120.0, 80.0).select("route_id", "direction", "k", X.round_half_even(F.col("dist_m"), 3).alias("dist_m"))
 
 
 @query(
-    f"""WITH {LEG_VALUES}, {LINES[len(STOPS) + 1 :]},
+    f"""WITH {LEG_VALUES}, {EVERY_LINE[len(STOPS) + 1 :]},
 w AS (SELECT *, round_even(off, 6) AS r, lag(round_even(off, 6)) OVER x AS b, lead(round_even(off, 6)) OVER x AS a FROM o WINDOW x AS (PARTITION BY q, route_id ORDER BY i)),
 ps AS (SELECT q, route_id, along, r FROM w WHERE coalesce(r <= b, true) AND coalesce(a > r, true) AND r <= 150),
 wy AS (SELECT f.q, f.route_id, arg_min((f.along, t.along), (t.along - f.along, f.along)) AS z FROM ps f JOIN ps t ON t.q = f.q + 1 AND t.route_id = f.route_id AND t.along > f.along WHERE f.q % 2 = 1 GROUP BY ALL),
 dw AS (SELECT q, route_id, z[1] AS from_m, z[2] AS to_m FROM wy JOIN (SELECT a.q AS q, sqrt(pow(b.px - a.px, 2) + pow(b.py - a.py, 2)) AS direct FROM qp a JOIN qp b ON b.q = a.q + 1) USING (q) WHERE z[2] - z[1] <= direct * 2 + 300),
 sp AS (SELECT route_id, i AS leg, cum AS start_m, lead(cum) OVER (PARTITION BY route_id ORDER BY i) AS end_m FROM cu),
 sv AS (SELECT sp.*, lv.avg AS value, lv.n, avg(lv.avg) OVER (PARTITION BY sp.route_id) AS fill FROM sp LEFT JOIN lv ON lv.route_id = sp.route_id AND lv.k = sp.leg WHERE end_m IS NOT NULL),
-ch AS (SELECT q, route_id, from_m, to_m, value, n, fill, (least(end_m, to_m) - greatest(start_m, from_m)) / (end_m - start_m) AS share FROM dw JOIN sv USING (route_id) WHERE end_m > start_m AND least(end_m, to_m) > greatest(start_m, from_m) AND fill IS NOT NULL)
-SELECT q, route_id, round_even(sum(coalesce(value, fill) * share), 1) AS seconds, round_even(max(to_m - from_m), 2) AS metres, count(*) FILTER (value IS NULL) AS holes, count(*) AS legs, list_sort(list(coalesce(n, 0)))[count(*) // 2 + 1] AS observations FROM ch GROUP BY q, route_id HAVING count(value) > 0"""
+ch AS (SELECT q, route_id, from_m, to_m, value, n, fill, (least(end_m, to_m) - greatest(start_m, from_m)) / (end_m - start_m) AS share FROM dw JOIN sv USING (route_id) WHERE end_m > start_m AND least(end_m, to_m) > greatest(start_m, from_m) AND fill IS NOT NULL),
+ba AS (SELECT q, route_id, coalesce(max(i) FILTER (cum <= from_m), 0) AS board, coalesce(max(i) FILTER (cum <= to_m), max(i)) AS alight FROM dw JOIN cu USING (route_id) GROUP BY ALL),
+rd AS (SELECT q, route_id, round_even(sum(coalesce(value, fill) * share), 1) AS seconds, round_even(max(to_m - from_m), 2) AS metres, count(*) FILTER (value IS NULL) AS holes, count(*) AS legs, list_sort(list(coalesce(n, 0)))[count(*) // 2 + 1] AS observations FROM ch GROUP BY q, route_id HAVING count(value) > 0)
+SELECT rd.*, CAST(board AS INTEGER) AS board, CAST(alight AS INTEGER) AS alight, CAST(greatest(0, alight - board) AS INTEGER) AS stops FROM rd JOIN ba USING (q, route_id)"""
 )
 def ride_options(spark, sf_dir):
-    pts = _points(spark, sf_dir)
+    pts = _points(spark, sf_dir).select("q", "x", "y")
     a = pts.where("q % 2 = 1").select("q", F.col("x").alias("a_x"), F.col("y").alias("a_y"))
     b = pts.select((F.col("q") - 1).alias("q"), F.col("x").alias("b_x"), F.col("y").alias("b_y"))
     queries = a.join(b, "q").withColumn("direct", F.hypot(F.col("b_x") - F.col("a_x"), F.col("b_y") - F.col("a_y")))
@@ -480,7 +504,7 @@ def ride_options(spark, sf_dir):
     values = rides.path_legs(paths).join(_leg_values(spark, sf_dir), rides.LEG).select(*_LINE, "leg", "med", "avg", "n")
     dist = line.select(*_LINE, F.col("i").alias("k"), F.col("cum").alias("dist_m"))
     out = rides.ride_options(queries, polyline.segments(line, _LINE), dist, values)
-    return out.select("q", "route_id", X.round_half_even(F.col("seconds"), 1).alias("seconds"), X.round_half_even(F.col("metres"), 2).alias("metres"), "holes", "legs", "observations")
+    return out.select("q", "route_id", X.round_half_even(F.col("seconds"), 1).alias("seconds"), X.round_half_even(F.col("metres"), 2).alias("metres"), "holes", "legs", "observations", *[F.col(c).cast("int").alias(c) for c in ("board", "alight", "stops")])
 
 
 # --- depots -------------------------------------------------------------------------------------
@@ -502,14 +526,16 @@ def slow_cells(spark, sf_dir):
 
 
 @query(
-    f"""WITH RECURSIVE {SLOW}, th AS (SELECT * FROM sl WHERE (cx * 7 + cy * 3) % 4 = 0),
+    f"""WITH RECURSIVE {SLOW}, th AS (SELECT cx + cx // 3 AS cx, cy + cy // 4 AS cy, n FROM sl),
 r(sx, sy, cx, cy) AS (SELECT cx, cy, cx, cy FROM th UNION SELECT r.sx, r.sy, t.cx, t.cy FROM r JOIN th t ON abs(t.cx - r.cx) <= 1 AND abs(t.cy - r.cy) <= 1),
 cl AS (SELECT cx, cy, min((sx, sy)) AS c FROM r GROUP BY ALL), j AS (SELECT c, cx, cy, n FROM cl JOIN th USING (cx, cy)),
 m AS (SELECT c, sum(cx * n)::DOUBLE / sum(n) AS x, sum(cy * n)::DOUBLE / sum(n) AS y, count(*) AS cells, sum(n) AS samples FROM j GROUP BY c)
 SELECT struct_extract(m.c, 1) AS cx, struct_extract(m.c, 2) AS cy, cells, CAST(samples AS BIGINT) AS samples, round_even(x, 3) AS x, round_even(y, 3) AS y, round_even(max(sqrt(pow(j.cx - x, 2) + pow(j.cy - y, 2))) + 40, 3) AS radius_m FROM m JOIN j ON m.c = j.c GROUP BY ALL"""
 )
 def cell_clusters(spark, sf_dir):
-    c = _slow(spark, sf_dir).where("(cx * 7 + cy * 3) % 4 = 0").withColumns({"x": F.col("cx"), "y": F.col("cy")})
+    # every third column and fourth row is set apart from the next
+    spread = {"cx": F.col("cx") + F.floor(F.col("cx") / 3).cast("int"), "cy": F.col("cy") + F.floor(F.col("cy") / 4).cast("int")}
+    c = _slow(spark, sf_dir).withColumns(spread).withColumns({"x": F.col("cx"), "y": F.col("cy")})
     s = depots.cluster_stats(depots.clusters(c, 1))
     return s.select("cluster.cx", "cluster.cy", "cells", "samples", *[X.round_half_even(F.col(k), 3).alias(k) for k in ("x", "y", "radius_m")])
 
@@ -568,25 +594,27 @@ def route_direction(spark, sf_dir):
 
 
 @query(
-    f"""WITH {LINES}, d AS (SELECT q, (q * 37 % 1500)::DOUBLE AS dist FROM qp), l AS (SELECT *, sqrt(pow(bx - ax, 2) + pow(by_ - ay, 2)) AS len FROM sg),
-j AS (SELECT q, dist, route_id, arg_min(i, CASE WHEN cum + len >= dist THEN i ELSE 100000 - i END) AS i FROM d, l GROUP BY ALL), t AS (SELECT j.q, j.dist, l.*, CASE WHEN len = 0 THEN 0 ELSE least(1, (dist - cum) / len) END AS t FROM j JOIN l USING (route_id, i))
+    f"""WITH {LINES}, d AS (SELECT DISTINCT own AS route_id, (q * 37 % 1500)::DOUBLE AS dist FROM qp), l AS (SELECT *, sqrt(pow(bx - ax, 2) + pow(by_ - ay, 2)) AS len FROM sg),
+j AS (SELECT dist, route_id, arg_min(i, CASE WHEN cum + len >= dist THEN i ELSE 100000 - i END) AS i FROM d JOIN l USING (route_id) GROUP BY ALL), t AS (SELECT j.dist, l.*, CASE WHEN len = 0 THEN 0 ELSE least(1, (dist - cum) / len) END AS t FROM j JOIN l USING (route_id, i))
 SELECT route_id, dist, round_even(ax + (bx - ax) * t, 3) AS x, round_even(ay + (by_ - ay) * t, 3) AS y FROM t GROUP BY ALL"""
 )
 def point_along(spark, sf_dir):
     segs = polyline.segments(_lines(spark, sf_dir), _LINE)
-    at = segs.select(*_LINE).distinct().join(_points(spark, sf_dir).select((F.col("q") * 37 % 1500).cast("double").alias("dist")).distinct(), F.lit(True))
+    at = _points(spark, sf_dir).select(*_LINE, (F.col("q") * 37 % 1500).cast("double").alias("dist")).distinct()
     return polyline.point_along(segs, at, _LINE).select("route_id", "dist", X.round_half_even(F.col("x"), 3).alias("x"), X.round_half_even(F.col("y"), 3).alias("y"))
 
 
 @query(
-    f"""WITH {LINES}, e AS (SELECT route_id, 0.25::DOUBLE * max(cum) AS a, 0.75::DOUBLE * max(cum) AS z FROM cu GROUP BY ALL HAVING max(cum) > 0)
-SELECT route_id, count(*) AS vertices, round_even(min(cum), 3) AS first_m, round_even(max(cum), 3) AS last_m FROM cu JOIN e USING (route_id) WHERE cum > a AND cum < z GROUP BY ALL"""
+    f"""WITH {LINES}, e AS (SELECT route_id, 0.25::DOUBLE * max(cum) AS a, 0.75::DOUBLE * max(cum) AS z FROM cu GROUP BY ALL HAVING max(cum) > 0),
+w AS (SELECT route_id, unnest([a, z]) AS d FROM e), l AS (SELECT *, sqrt(pow(bx - ax, 2) + pow(by_ - ay, 2)) AS len FROM sg),
+h AS (SELECT route_id, d, arg_min(struct_pack(ax, ay, bx, by_, cum, len), i) AS s FROM w JOIN l USING (route_id) WHERE cum + len >= d GROUP BY ALL)
+SELECT route_id, round_even(cum, 3) AS pos, x, y FROM cu JOIN e USING (route_id) WHERE cum > a AND cum < z
+UNION ALL SELECT route_id, round_even(d, 3), round_even(s.ax + (s.bx - s.ax) * least(1, (d - s.cum) / s.len), 3), round_even(s.ay + (s.by_ - s.ay) * least(1, (d - s.cum) / s.len), 3) FROM h"""
 )
 def line_slice(spark, sf_dir):
     line = _lines(spark, sf_dir)
     ends = line.groupBy(*_LINE).agg((F.max("cum") * 0.25).alias("from_m"), (F.max("cum") * 0.75).alias("to_m")).where("to_m > 0")
-    inner = polyline.slice_between(line, ends, _LINE).join(ends, _LINE).where("pos > from_m and pos < to_m")
-    return inner.groupBy("route_id").agg(F.count("*").alias("vertices"), X.round_half_even(F.min("pos"), 3).alias("first_m"), X.round_half_even(F.max("pos"), 3).alias("last_m"))
+    return polyline.slice_between(line, ends, _LINE).select("route_id", *[X.round_half_even(F.col(c), 3).alias(c) for c in ("pos", "x", "y")])
 
 
 @query(
@@ -627,8 +655,83 @@ def folded_histogram(spark, sf_dir):
     return cells.regroup(h, groups, ["cx", "cy", "dir", "bin"], ["n"]).withColumnRenamed("dir", "grp")
 
 
+# --- what the lenses above leave out ----------------------------------------------------------------
+
+
+@query("SELECT p_partkey AS id, CAST(p_size % 4 AS VARCHAR) = '3' AND NOT starts_with(CASE WHEN p_partkey % 3 = 0 THEN 'Тр' || p_partkey ELSE p_brand END, 'Тр') AS is_bus FROM part")
+def bus_routes(spark, sf_dir):
+    p = lenses.table(spark, sf_dir, "part")
+    short = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("Тр"), F.col("p_partkey").cast("string"))).otherwise(F.col("p_brand"))
+    return p.select(F.col("p_partkey").alias("id"), X.is_bus((F.col("p_size") % 4).cast("string"), short).alias("is_bus"))
+
+
+def _located(spark, sf_dir) -> DataFrame:
+    return lenses.positions(spark, sf_dir).withColumns({"lat": F.lit(49.5) + F.col("y") / 1000.0, "lon": F.lit(23.75) + F.col("x") / 1000.0, "speed": F.col("speed_cms") / 100.0})
+
+
+@dataclass
+class _Routes:
+    routes: DataFrame
+
+
+@query(
+    f"""WITH {FUNNEL}, r AS (SELECT *, coalesce(v2, CASE WHEN 49.5::DOUBLE + y / 1000.0::DOUBLE NOT BETWEEN 49.70 AND 49.95 OR 23.75::DOUBLE + x / 1000.0::DOUBLE NOT BETWEEN 23.85 AND 24.20 THEN 'bbox' ELSE 'kept' END) AS v FROM f2)
+SELECT v AS verdict, day, count(*) AS n, min(snapshot_key) AS first FROM r GROUP BY ALL"""
+)
+def ride_funnel(spark, sf_dir):
+    rows = funnel.ride_funnel(_located(spark, sf_dir), _Routes(_routes(spark)))
+    return rows.groupBy("verdict", "day").agg(F.count("*").alias("n"), F.min("snapshot_key").alias("first"))
+
+
+@query(
+    f"""WITH {POSITIONS}, {STOPS}, t AS (SELECT *, CASE WHEN (split_part(trip_id, '_', 2) IN ('0', '1') AND route_id < 25) OR (split_part(trip_id, '_', 3) = '0' AND NOT (split_part(trip_id, '_', 2) IN ('0', '1') AND route_id < 25)) THEN route_id END AS line FROM positions)
+SELECT snapshot_key, count(*) AS places, CAST(sum(k * stop_id) AS BIGINT) AS mark FROM t JOIN stops ON stops.route_id = line GROUP BY ALL"""
+)
+def path_of_trip(spark, sf_dir):
+    known, _, pattern_stop = _patterns(spark, sf_dir)
+    stops = lenses.stops(spark, sf_dir).select("route_id", F.lit("0").alias("direction"), "k", "stop_id")
+    rows = funnel.path_of_trip(lenses.positions(spark, sf_dir).select("snapshot_key", "trip_id", "route_id"), known, pattern_stop.withColumn("seq", F.col("k")), stops)
+    return rows.groupBy("snapshot_key").agg(F.count("*").alias("places"), F.sum(F.col("k") * F.col("stop_id")).alias("mark"))
+
+
+@query(
+    f"""WITH {TRIPS}, p AS (SELECT DISTINCT route_id, direction, path FROM tr)
+SELECT route_id, direction, stop_id, bool_or(stop_id = path[1] OR stop_id = path[-1]) AS is_terminal FROM (SELECT *, unnest(path) AS stop_id FROM p) GROUP BY ALL"""
+)
+def route_dir_union(spark, sf_dir):
+    from .sources.schedule import intern, ordered_trips, pattern_stops, union_stops
+
+    _, patterns = intern(ordered_trips(_trips(spark, sf_dir)))
+    return union_stops(pattern_stops(patterns), patterns)
+
+
+@query(
+    """WITH e AS (SELECT event_id AS id, 49.70 + (event_id % 2500) / 10000.0::DOUBLE AS a, 23.85 + (event_id % 3500) / 10000.0::DOUBLE AS b, 49.70 + (event_id * 31 % 2500) / 10000.0::DOUBLE AS c, 23.85 + (event_id * 17 % 3500) / 10000.0::DOUBLE AS d, ts FROM events)
+SELECT id, round_even(sqrt(pow((d - b) * cos(radians(a)), 2) + pow(c - a, 2)) * 111320, 3) AS metres, round_even(ln(tan(radians(a) / 2 + pi() / 4)), 9) AS mercator,
+CASE WHEN isodow(CAST(ts AS DATE)) < 6 THEN 'wd' ELSE 'we' END AS daytype, format('{:,.2f}', id * 101 / 4.0::DOUBLE) AS label FROM e"""
+)
+def distances_and_labels(spark, sf_dir):
+    e = F.col("event_id")
+    at = lambda base, step, n: F.lit(base) + (e * step % n) / F.lit(10000.0)
+    a, b, c, d = at(49.70, 1, 2500), at(23.85, 1, 3500), at(49.70, 31, 2500), at(23.85, 17, 3500)
+    return lenses.table(spark, sf_dir, "events").select(
+        e.alias("id"), X.round_half_even(X.metres_between(a, b, c, d), 3).alias("metres"), X.round_half_even(X.mercator_y(a), 9).alias("mercator"),
+        X.daytype(F.to_date("ts")).alias("daytype"), X.format_value(e * 101 / F.lit(4.0), 1.0, 2).alias("label"),
+    )
+
+
+@query(
+    UTM.replace("event_id AS id, 23.85 + (event_id % 3500) / 10000.0::DOUBLE AS lon, 49.70 + (event_id % 2500) / 10000.0::DOUBLE AS lat FROM events", "cx * 100 + cy AS id, (23.85 * count(*) + sum(cx) / 100.0::DOUBLE) / count(*) AS lon, (49.70 * count(*) + sum(cy) / 100.0::DOUBLE) / count(*) AS lat FROM cells_long GROUP BY cx, cy")
+    .replace("WITH p AS", f"WITH {CELLS}, p AS", 1)
+    .replace("SELECT id, round_even(0.9996", ", xy AS (SELECT id, round_even(0.9996")
+    + ") SELECT CAST(id // 100 AS INTEGER) AS cx, CAST(id % 100 AS INTEGER) AS cy FROM xy WHERE pow(x - 281000, 2) + pow(y - 5517000, 2) <= pow(4321, 2) OR pow(x - 285000, 2) + pow(y - 5525000, 2) <= pow(3333, 2)"
+)
+def depot_mask(spark, sf_dir):
+    c = lenses.cells_long(spark, sf_dir).groupBy("cx", "cy").agg(F.count("*").alias("n"))
+    c = c.withColumns({"sum_lat": F.lit(49.70) * F.col("n") + F.col("cy") * F.col("n") / 100.0, "sum_lon": F.lit(23.85) * F.col("n") + F.col("cx") * F.col("n") / 100.0})
+    return payload.masked_cells(c, [(281000.0, 5517000.0, 4321.0), (285000.0, 5525000.0, 3333.0)]).select("cx", "cy")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean speed by cell and heading, where there are enough samples."""
     return cell_speeds(spark, sf_dir)
-
-

@@ -10,6 +10,7 @@ METRES_PER_DEGREE = 111_320.0
 
 # WGS-84 and the transverse Mercator zone with central meridian 27 E.
 AXIS, FLATTENING, SCALE, FALSE_EAST, MERIDIAN = 6_378_137.0, 1 / 298.257223563, 0.9996, 500_000.0, 27.0
+# Names of the compass, and the colours of the ramp.
 COMPASS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
 RAMP = [(0.0, (214, 40, 40)), (0.5, (240, 166, 32)), (1.0, (46, 158, 74))]
 
@@ -170,5 +171,5 @@ def selection_key(month: Column, daytype_: Column, hour: Column) -> Column:
 
 
 def profile_key(month: Column, daytype_: Column) -> Column:
-    """'2026-08-wd-profile'."""
-    return F.concat_ws("-", F.coalesce(month, F.lit("all")), F.coalesce(daytype_, F.lit("all")), F.lit("profile"))
+    """'profile-2026-08-wd'."""
+    return F.concat_ws("-", F.lit("profile"), F.coalesce(month, F.lit("all")), F.coalesce(daytype_, F.lit("all")))

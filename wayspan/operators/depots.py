@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import MPS_TO_KMH
 from ..params import DEFAULTS, Params
+from ..tables import scope
+from .graph import components
 from .spatial import near, nearest
 
 
@@ -29,33 +31,15 @@ def unshielded(candidates: DataFrame, stops: DataFrame, radius: float, keys: lis
     return candidates.join(hit.where(~F.col("site.is_terminal")).select(*keys), keys, "left_anti")
 
 
-def clusters(cells: DataFrame, reach: int = 2, rounds: int = 60) -> DataFrame:
-    """``cluster``: cells (cx, cy) joined while they are at most ``reach`` apart on both axes; named by the least (cx, cy).
-
-    Labels spread to neighbours and jump to their own label's label, a checkpoint each round.
-    """
-    spark = cells.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wayspan-"))
-    c = cells.select("cx", "cy").distinct().withColumn("node", F.struct("cx", "cy"))
-    steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-reach, reach + 1) for b in range(-reach, reach + 1)])
-    links = c.select("node", F.explode(steps).alias("d")).select("node", F.struct((F.col("node.cx") + F.col("d.a")).alias("cx"), (F.col("node.cy") + F.col("d.b")).alias("cy")).alias("other"))
-    links = links.join(c.select(F.col("node").alias("other")), "other", "left_semi").checkpoint()
-    labels = c.select("node", F.col("node").alias("label")).checkpoint()
-    for _ in range(rounds):
-        around = links.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("near"))
-        step = labels.join(around, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        step = step.join(up, "label").select("node", "old", F.least("label", "up").alias("label")).checkpoint()
-        labels = step.select("node", "label")
-        if step.where("label != old").limit(1).count() == 0:
-            break
-    else:
-        raise RuntimeError("clusters did not settle")
-    named = labels.select(F.col("node.cx").alias("cx"), F.col("node.cy").alias("cy"), F.col("label").alias("cluster"))
-    return cells.join(named, ["cx", "cy"])
+def clusters(cells: DataFrame, reach: int = 2) -> DataFrame:
+    """``cluster``: cells (cx, cy) joined while they are at most ``reach`` apart on both axes; named by the least (cx, cy)."""
+    c = cells.select(F.struct("cx", "cy").alias("a")).distinct()
+    steps = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in range(-reach, reach + 1) for y in range(-reach, reach + 1) if (x, y) > (0, 0)])
+    moved = F.struct((F.col("a.cx") + F.col("d.x")).alias("cx"), (F.col("a.cy") + F.col("d.y")).alias("cy"))
+    links = c.select("a", F.explode(steps).alias("d")).select("a", moved.alias("b")).join(c.withColumnRenamed("a", "b"), "b", "left_semi")
+    with scope() as kept:
+        labels = kept.result(components(links).select(F.col("node.cx").alias("cx"), F.col("node.cy").alias("cy"), F.col("label").alias("cluster")))
+    return cells.join(labels, ["cx", "cy"], "left").withColumn("cluster", F.coalesce("cluster", F.struct("cx", "cy")))
 
 
 def cluster_stats(cells: DataFrame, pad: float = 40.0) -> DataFrame:
@@ -72,13 +56,19 @@ def cluster_stats(cells: DataFrame, pad: float = 40.0) -> DataFrame:
 def merge_sites(existing: DataFrame, found: DataFrame) -> DataFrame:
     """Existing sites and those found whose centre is farther from every existing one than its radius; largest first.
 
-    Sites: x, y, radius_m, samples.  Existing sites are grouped by radius class through their own buckets.
+    Sites: x, y, radius_m, samples.  Existing sites are grouped by the power of two that
+    holds their radius, and each group has buckets of its own size.
     """
-    reach = existing.agg(F.max("radius_m")).first()[0] or 0.0
+    power = F.ceil(F.log2(F.greatest(F.col("radius_m").cast("double"), F.lit(1.0)))).cast("int")
+    old = existing.select("x", "y", F.col("radius_m").alias("r"), power.alias("power"))
     f = found.withColumn("__id", F.struct("x", "y", "radius_m", "samples"))
-    near_any = near(f.select("__id", "x", "y"), existing.select("x", "y", F.col("radius_m").alias("r")), float(reach), None, "inner", max(float(reach), 1.0)).where(F.col("d2") <= F.col("site_r") * F.col("site_r"))
-    fresh = f.join(near_any.select("__id").distinct(), "__id", "left_anti").drop("__id")
-    return existing.unionByName(fresh).orderBy(F.desc("samples"), "x", "y")
+    covered = None
+    for k in sorted(r[0] for r in old.select("power").distinct().collect() if r[0] is not None):  # some tens of powers at most
+        size = float(2**k)
+        hit = near(f.select("__id", "x", "y"), old.where(F.col("power") == k).drop("power"), size, None, "inner", size).where(F.col("d2") <= F.col("site_r") * F.col("site_r")).select("__id")
+        covered = hit if covered is None else covered.unionByName(hit)
+    fresh = f if covered is None else f.join(covered.distinct(), "__id", "left_anti")
+    return existing.unionByName(fresh.drop("__id")).orderBy(F.desc("samples"), "x", "y")
 
 
 def discover(cells: DataFrame, stops: DataFrame, p: Params = DEFAULTS) -> DataFrame:

@@ -7,13 +7,15 @@ the stages before, within a day, in order of (snapshot_key, entity_idx).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expr import in_bbox, project_xy, trip_suffix
 from ..params import DEFAULTS, Params
-from .spatial import in_zone, near
+from .spatial import beside, in_zone, packed, squared
 
 SPEED_STAGES = ("not_bus", "stale", "duplicate", "speed", "bbox", "no_stops", "depot", "at_terminal", "at_stop", "kept")
 RIDE_STAGES = ("not_bus", "stale", "duplicate", "bbox", "kept")
@@ -71,13 +73,19 @@ def path_of_trip(rows: DataFrame, trip_pattern: DataFrame, pattern_stop: DataFra
 
 
 def stop_verdicts(rows: DataFrame, pattern_stop: DataFrame, p: Params) -> DataFrame:
-    """at_terminal, then at_stop, for rows without a verdict (pattern_id, x, y, and a unique ``row_id``)."""
-    live = rows.where("verdict is null").select("row_id", "pattern_id", "x", "y")
-    sites = pattern_stop.select("pattern_id", "stop_id", "x", "y", "is_terminal")
-    ends = near(live, sites.where("is_terminal"), p.terminal_radius_m, ["pattern_id"], "left_semi", p.stop_bucket_m).select("row_id", F.lit("at_terminal").alias("__t"))
-    stops = near(live, sites, p.stop_radius_m, ["pattern_id"], "left_semi", p.stop_bucket_m).select("row_id", F.lit("at_stop").alias("__s"))
-    out = rows.join(ends, "row_id", "left").join(stops, "row_id", "left")
-    return out.withColumn("verdict", F.coalesce("verdict", "__t", "__s")).drop("__t", "__s")
+    """at_terminal, then at_stop, for rows without a verdict (pattern_id, x, y).
+
+    Each row meets the stops of its pattern around its bucket as one array, in one join
+    with a small dimension; rows are not shuffled for it.
+    """
+    reach = lambda r: math.ceil(r / p.stop_bucket_m)
+    far = F.when(F.col("is_terminal"), max(reach(p.terminal_radius_m), reach(p.stop_radius_m))).otherwise(reach(p.stop_radius_m))
+    sites = packed(pattern_stop.select("pattern_id", "x", "y", "is_terminal"), ["pattern_id"], far, p.stop_bucket_m).withColumnRenamed("site_pattern_id", "site___p")
+    out = beside(rows.withColumn("__p", F.when(F.col("verdict").isNull(), F.col("pattern_id"))), sites, ["__p"], p.stop_bucket_m, "left")
+    d2 = lambda s: squared(F.col("x"), F.col("y"), s["x"], s["y"])
+    at_end = F.exists("sites", lambda s: s["is_terminal"] & (d2(s) <= p.terminal_radius_m**2))
+    at_stop = F.exists("sites", lambda s: d2(s) <= p.stop_radius_m**2)
+    return out.withColumn("verdict", F.coalesce("verdict", F.when(at_end, "at_terminal"), F.when(at_stop, "at_stop"))).drop("__p", "sites")
 
 
 def speed_funnel(positions: DataFrame, schedule, zones: list[tuple[float, float, float]] = (), p: Params = DEFAULTS) -> DataFrame:
@@ -89,10 +97,10 @@ def speed_funnel(positions: DataFrame, schedule, zones: list[tuple[float, float,
     rows = rows.withColumn("verdict", F.when(ok, gate).otherwise(F.col("verdict")))
     rows = with_pattern(rows, schedule.trip_pattern, schedule.fallback)
     x, y = project_xy(F.col("lon"), F.col("lat"))
-    rows = rows.withColumns({"x": x, "y": y, "row_id": F.struct("day", "snapshot_key", "entity_idx")})
+    rows = rows.withColumns({"x": x, "y": y})
     late = F.when(F.col("pattern_id").isNull(), "no_stops").when(in_zone(F.col("x"), F.col("y"), list(zones)), "depot")
     rows = rows.withColumn("verdict", F.when(ok, late).otherwise(F.col("verdict")))
-    rows = stop_verdicts(rows, schedule.pattern_stop, p).drop("row_id", "is_bus")
+    rows = stop_verdicts(rows, schedule.pattern_stop, p).drop("is_bus")
     return rows.withColumn("verdict", F.coalesce("verdict", F.lit("kept")))
 
 

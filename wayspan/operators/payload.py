@@ -63,7 +63,11 @@ def profile(cells: DataFrame, keys: list[str], hours: list[int], p: Params = DEF
 
 
 def trim_range(values: DataFrame, column: str, tail: float = 0.01) -> DataFrame:
-    """(low, high): the order statistics that leave ``tail`` at either end; equal values are counted before they are ordered."""
+    """(low, high): the order statistics that leave ``tail`` at either end.
+
+    Equal values are counted before they are ordered: published values are rounded, so
+    few are left whatever the number of cells.
+    """
     n = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
     n = n.withColumns({"upto": F.sum("n").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, 0)), "last": F.sum("n").over(W.partitionBy()) - 1})
     at = lambda share: F.min(F.when(F.col("upto") > F.floor(F.col("last") * share), F.col("v")))
@@ -71,8 +75,12 @@ def trim_range(values: DataFrame, column: str, tail: float = 0.01) -> DataFrame:
 
 
 def catalogue_counts(cells: DataFrame) -> DataFrame:
-    """One row: total samples, months, hours, days by month (of the file) and by type."""
-    days = cells.select("day").distinct()
-    return cells.agg(F.sum("n").alias("samples"), F.array_sort(F.collect_set("month")).alias("months"), F.array_sort(F.collect_set("hour")).alias("hours")).join(
-        days.agg(F.count("*").alias("days"), F.sum(F.when(F.weekday("day") < 5, 1).otherwise(0)).alias("weekdays")), F.lit(True)
-    )
+    """One row: total samples, months with the days of each (by date of the file), hours, days, weekdays, first and last day."""
+    days = cells.groupBy("day").agg(F.sum("n").alias("n"), F.collect_set("month").alias("months"), F.collect_set("hour").alias("hours"))
+    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    one = days.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("samples"), flat("months").alias("months"), flat("hours").alias("hours"), F.count("*").alias("days"), F.count(F.when(F.weekday("day") < 5, 1)).alias("weekdays"),
+        F.min("day").alias("first"), F.max("day").alias("last"), F.collect_list(F.date_format("day", "yyyy-MM")).alias("filed"),
+    )
+    of = F.transform("months", lambda m: F.struct(m.alias("month"), F.size(F.filter("filed", lambda d: d == m)).alias("days")))
+    return one.withColumn("months", of).drop("filed")

@@ -6,13 +6,14 @@ by nature and run as grouped Arrow functions, a line at a time.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.expr import round_half_even
+
 
 def cumulative(points: DataFrame, keys: list[str]) -> DataFrame:
     """``cum``: length of the line up to each vertex."""
@@ -28,32 +29,35 @@ def segments(points: DataFrame, keys: list[str]) -> DataFrame:
     return s.where("bx is not null")
 
 
-def along_off(x: Column, y: Column) -> tuple[Column, Column]:
-    """Distance along and from the segment (ax, ay, bx, by, cum) of the point nearest to (x, y)."""
-    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+def along_off(x: Column, y: Column, seg: Column | None = None) -> tuple[Column, Column]:
+    """Distance along and from the segment (ax, ay, bx, by, cum; columns, or fields of ``seg``) of the point nearest to (x, y)."""
+    ax, ay, bx, by, cum = (F.col(c) if seg is None else seg[c] for c in ("ax", "ay", "bx", "by", "cum"))
+    dx, dy = bx - ax, by - ay
     len2 = dx * dx + dy * dy
-    t = F.when(len2 == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide((x - F.col("ax")) * dx + (y - F.col("ay")) * dy, len2))))
-    return F.col("cum") + t * F.sqrt(len2), F.hypot(x - (F.col("ax") + t * dx), y - (F.col("ay") + t * dy))
+    t = F.when(len2 == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide((x - ax) * dx + (y - ay) * dy, len2))))
+    return cum + t * F.sqrt(len2), F.hypot(x - (ax + t * dx), y - (ay + t * dy))
 
 
-def offsets(queries: DataFrame, segs: DataFrame, on: list[str]) -> DataFrame:
-    """Every query point (q, x, y) against every segment of its lines: (q, keys, i, along, off).
+def project(queries: DataFrame, segs: DataFrame, keys: list[str], decimals: int | None = None) -> DataFrame:
+    """(q, keys, along, off): the nearest place of each query (q, keys, x, y) on its line; of equally near ones the first segment.
 
-    The lines are a broadcastable dimension; without common keys each query meets all of them.
+    A line's segments are one array, so a query meets its line once and the minimum is
+    taken in its row.  ``decimals`` are those in which offsets count as equal.
     """
-    joined = queries.join(segs, on) if on else queries.join(segs, F.lit(True))
-    along, off = along_off(F.col("x"), F.col("y"))
-    return joined.withColumns({"along": along, "off": off})
+    seg = F.struct("i", "ax", "ay", "bx", "by", "cum")
+    lines = segs.groupBy(*keys).agg(F.array_sort(F.collect_list(seg)).alias("segs"))
+    x, y = F.col("x"), F.col("y")
 
+    def place(s: Column) -> Column:
+        along, off = along_off(x, y, s)
+        return F.struct((off if decimals is None else round_half_even(off, decimals)).alias("near"), s["i"].alias("i"), along.alias("along"), off.alias("off"))
 
-def project(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str]) -> DataFrame:
-    """Nearest place of each query on its line; of equally near ones the first segment."""
-    o = offsets(queries, segs, on)
-    return o.groupBy("q", *keys).agg(F.min_by(F.struct("along", "off"), F.struct("off", "i")).alias("p")).select("q", *keys, "p.along", "p.off")
+    j = queries.join(lines, keys).select("q", *keys, F.array_min(F.transform("segs", place)).alias("p"))
+    return j.select("q", *keys, "p.along", "p.off")
 
 
 def offsets_within(queries: DataFrame, segs: DataFrame, on: list[str], max_off: float) -> DataFrame:
-    """As ``offsets``, but only places within ``max_off``: an equi-join on grid buckets.
+    """Query points (q, x, y) and segments of their lines within ``max_off``: (q, keys, i, along, off), by an equi-join on grid buckets.
 
     A segment is copied to the buckets of its bounding box, widened by ``max_off``; a
     query looks into its own, so each pair meets once.
@@ -97,28 +101,43 @@ def passes(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str],
     return o.withColumn("low", falls & rises).where("low").select("q", *keys, "along", "off")
 
 
-def simplify_indices(xy: list[tuple[float, float]], tol: float) -> list[int]:
-    """Douglas-Peucker: kept vertices.  Explicit stack; a vertex stays if it is farther than ``tol`` from its chord."""
-    n = len(xy)
-    if n < 3:
-        return list(range(n))
-    keep, todo = {0, n - 1}, [(0, n - 1)]
-    while todo:
-        a, b = todo.pop()
-        (ax, ay), (bx, by) = xy[a], xy[b]
-        dx, dy = bx - ax, by - ay
-        len2 = dx * dx + dy * dy
-        far, at = -1.0, -1
-        for i in range(a + 1, b):
-            px, py = xy[i][0] - ax, xy[i][1] - ay
-            t = min(1.0, max(0.0, (px * dx + py * dy) / len2)) if len2 else 0.0
-            d = math.hypot(px - t * dx, py - t * dy)
-            if d > far:
-                far, at = d, i
-        if far > tol:
-            keep.add(at)
-            todo += [(a, at), (at, b)]
-    return sorted(keep)
+def to_chords(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Share of the way along the chord a-b of the place nearest to each point, and the distance to it."""
+    d = b - a
+    length2 = (d * d).sum(axis=-1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = np.where(length2 > 0, ((points - a) * d).sum(axis=-1) / length2, 0.0).clip(0.0, 1.0)
+    off = points - a - t[..., None] * d
+    return t, np.hypot(off[..., 0], off[..., 1])
+
+
+def simplify_indices(xy, tol: float) -> list[int]:
+    """Vertices that Douglas-Peucker keeps: of each stretch its ends, and the farthest vertex from their chord if farther than ``tol``.
+
+    All stretches of one depth are measured together.
+    """
+    xy = np.asarray(xy, float).reshape(-1, 2)
+    kept = np.zeros(len(xy), bool)
+    kept[[0, -1] if len(xy) else []] = True
+    ends = np.flatnonzero(kept)
+    open_ = np.diff(ends) > 1
+    while open_.any():
+        # each inner vertex of an open stretch, with its stretch
+        inner = np.flatnonzero(~kept)
+        stretch = np.searchsorted(ends, inner) - 1
+        live = open_[stretch]
+        inner, stretch = inner[live], stretch[live]
+        off = to_chords(xy[inner], xy[ends[stretch]], xy[ends[stretch + 1]])[1]
+        first = np.lexsort((inner, -off, stretch))  # by stretch, the farthest and then the foremost first
+        first = first[np.concatenate(([True], np.diff(stretch[first]) > 0))]
+        new = inner[first[off[first] > tol]]
+        grown = np.union1d(ends, new)
+        # only stretches that were just divided go on
+        fresh = np.isin(grown, new)
+        open_ = (fresh[:-1] | fresh[1:]) & (np.diff(grown) > 1)
+        kept[new] = True
+        ends = grown
+    return np.flatnonzero(kept).tolist()
 
 
 def simplify(points: DataFrame, keys: list[str], tol: float) -> DataFrame:
@@ -126,57 +145,44 @@ def simplify(points: DataFrame, keys: list[str], tol: float) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i", kind="stable")
-        return pdf.iloc[simplify_indices(list(zip(pdf["x"], pdf["y"], strict=True)), tol)]
+        return pdf.iloc[simplify_indices(pdf[["x", "y"]].to_numpy(), tol)]
 
     return points.groupBy(*keys).applyInPandas(run, points.schema)
 
 
-def place_candidates(xy, cum, x: float, y: float, max_off: float, limit: int) -> list[tuple[float, float]]:
-    off, along = [], []
-    for (ax, ay), (bx, by), c in zip(xy, xy[1:], cum, strict=False):
-        dx, dy = bx - ax, by - ay
-        len2 = dx * dx + dy * dy
-        t = min(1.0, max(0.0, ((x - ax) * dx + (y - ay) * dy) / len2)) if len2 else 0.0
-        off.append(math.hypot(x - ax - t * dx, y - ay - t * dy))
-        along.append(c + t * math.sqrt(len2))
-    inf = math.inf
-    padded = [inf, *off, inf]
-    low = [i for i, o in enumerate(off) if o <= max_off and padded[i] >= o <= padded[i + 2]]
-    return [(along[i], off[i]) for i in sorted(low, key=off.__getitem__)[:limit]]
+def places_near(xy: np.ndarray, cum: np.ndarray, at: np.ndarray, max_off: float, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances along and from the line of the places where it passes ``at``: local minima within ``max_off``, the nearest ``limit``."""
+    t, off = to_chords(np.broadcast_to(at, (len(xy) - 1, 2)), xy[:-1], xy[1:])
+    wall = np.concatenate(([np.inf], off, [np.inf]))
+    low = np.flatnonzero((off <= max_off) & (wall[:-2] >= off) & (wall[2:] >= off))
+    low = low[np.argsort(off[low], kind="stable")[:limit]]
+    return cum[low] + t[low] * np.hypot(*(xy[low + 1] - xy[low]).T), off[low]
 
 
 def match_sequence(xy, cum, stops, max_off: float, slack: float = 80.0, limit: int = 6) -> list[float] | None:
-    """Cheapest places of the stops in order (dynamic programme over candidates), or None.
+    """Cheapest places of the stops in order, or None if there are none.
 
-    A place may lie up to ``slack`` before its predecessor; such steps back are levelled at the end.
+    Each stop adds the offset of its place to the cheapest of the costs of places that
+    it may follow, those less than ``slack`` beyond it.  Steps back are levelled at the end.
     """
-    if len(xy) < 2 or not stops:
-        return None
-    layers = [place_candidates(xy, cum, x, y, max_off, limit) for x, y in stops]
-    if not all(layers):
+    xy, cum, stops = np.asarray(xy, float).reshape(-1, 2), np.asarray(cum, float), np.asarray(stops, float).reshape(-1, 2)
+    if len(xy) < 2 or not len(stops):
         return None
-    cost = [off for _, off in layers[0]]
-    origin: list[list[int]] = []
-    for prev, here in zip(layers, layers[1:], strict=False):
-        row, new = [], []
-        for along, off in here:
-            reach = [(cost[k], k) for k, (before, _) in enumerate(prev) if cost[k] < math.inf and before - slack < along]
-            c, k = min(((c + off, k) for c, k in reach), default=(math.inf, -1))
-            row.append(k)
-            new.append(c)
-        origin.append(row)
-        cost = new
-        if min(cost) == math.inf:
+    along, back, cost = [], [], np.zeros(1)
+    for stop in stops:
+        here, off = places_near(xy, cum, stop, max_off, limit)
+        follows = along[-1][None, :] - slack < here[:, None] if along else np.ones((len(here), 1), bool)
+        price = np.where(follows, cost, np.inf)
+        if not np.isfinite(price).any():
             return None
-    k = cost.index(min(cost))
-    places = [layers[-1][k][0]]
-    for row, layer in zip(reversed(origin), reversed(layers[:-1]), strict=True):
-        k = row[k]
-        places.append(layer[k][0])
-    places.reverse()
-    for i in range(1, len(places)):
-        places[i] = max(places[i], places[i - 1])
-    return places
+        back.append(price.argmin(axis=1))
+        along.append(here)
+        cost = price.min(axis=1) + off
+    at, out = int(cost.argmin()), []
+    for here, origin in zip(reversed(along), reversed(back), strict=True):
+        out.append(here[at])
+        at = int(origin[at])
+    return np.maximum.accumulate(out[::-1]).tolist()
 
 
 def match_stops(points: DataFrame, stops: DataFrame, keys: list[str], max_off: float, slack: float = 80.0, limit: int = 6) -> DataFrame:
@@ -187,7 +193,7 @@ def match_stops(points: DataFrame, stops: DataFrame, keys: list[str], max_off: f
         line, stop = line.sort_values("i", kind="stable"), stop.sort_values("k", kind="stable")
         found = None
         if len(line) and len(stop) and not stop[["x", "y"]].isna().any().any():
-            found = match_sequence(list(zip(line["x"], line["y"], strict=True)), line["cum"].tolist(), list(zip(stop["x"], stop["y"], strict=True)), max_off, slack, limit)
+            found = match_sequence(line[["x", "y"]].to_numpy(), line["cum"].to_numpy(), stop[["x", "y"]].to_numpy(), max_off, slack, limit)
         if found is None:
             return stop.iloc[:0][[*keys, "k"]].assign(dist_m=pd.Series(dtype=float))
         return stop[[*keys, "k"]].assign(dist_m=found)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.expr import hist_bin, local_hour, local_month, metres_between, round_half_even
+from ..functions.expr import hist_bin, local_hour, local_month, round_half_even
 from ..params import DEFAULTS, Params
 from .hist import percentiles
 from .polyline import passes
@@ -133,9 +133,12 @@ def ride_pairs(queries: DataFrame, segs: DataFrame, p: Params = DEFAULTS) -> Dat
     line = ["route_id", "direction"]
     a = passes(queries.select("q", F.col("a_x").alias("x"), F.col("a_y").alias("y")), segs, [], line, p.ride_near_m)
     b = passes(queries.select("q", F.col("b_x").alias("x"), F.col("b_y").alias("y")), segs, [], line, p.ride_near_m)
-    b = b.select("q", *line, F.col("along").alias("to_m"), F.col("off").alias("off_b"))
-    j = a.select("q", *line, F.col("along").alias("from_m"), F.col("off").alias("off_a")).join(b, ["q", *line]).where("to_m > from_m")
-    best = F.min_by(F.struct("from_m", "to_m", F.greatest("off_a", "off_b").alias("off")), F.struct(F.col("to_m") - F.col("from_m"), F.col("from_m")))
+    # the shortest way to a place near B begins at the last place near A before it; at one place B comes first, so a way has length
+    both = a.select("q", *line, "along", F.lit(1).alias("kind"), "off").unionByName(b.select("q", *line, "along", F.lit(0).alias("kind"), "off"))
+    before = W.partitionBy("q", *line).orderBy("along", "kind").rowsBetween(W.unboundedPreceding, -1)
+    start = F.last(F.when(F.col("kind") == 1, F.struct("along", "off")), ignorenulls=True).over(before)
+    j = both.withColumn("a", start).where("kind = 0 and a is not null").select("q", *line, F.col("a.along").alias("from_m"), F.col("along").alias("to_m"), F.greatest("a.off", "off").alias("off"))
+    best = F.min_by(F.struct("from_m", "to_m", "off"), F.struct(F.col("to_m") - F.col("from_m"), F.col("from_m")))
     g = j.groupBy("q", *line).agg(best.alias("w")).select("q", *line, "w.*").join(queries.select("q", "direct"), "q")
     return g.where(F.col("to_m") - F.col("from_m") <= F.col("direct") * p.ride_detour_max + 2 * p.ride_near_m)
 
@@ -158,6 +161,3 @@ def ride_options(queries: DataFrame, segs: DataFrame, stop_dist: DataFrame, valu
     out = timed.join(ways, ["q", *line]).join(at, ["q", *line])
     return out.select("q", *line, "seconds", (F.col("to_m") - F.col("from_m")).alias("metres"), F.greatest(F.lit(0), F.col("alight") - F.col("board")).alias("stops"), "board", "alight", "holes", "legs", "observations", "off", "from_m", "to_m")
 
-
-def direct_metres(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    return metres_between(lat1, lon1, lat2, lon2)

@@ -26,10 +26,15 @@ def cube(df: DataFrame, keys: list[str], sums: list[str], axes: list[str] | None
     return pre.groupingSets(sets, *axes, *keys).agg(gid.cast("int").alias("sel"), *[F.sum(c).alias(c) for c in sums])
 
 
-def grid(df: DataFrame) -> DataFrame:
-    """All selections that the months and hours of ``df`` span, with or without rows, and their keys."""
-    month = df.select("month").distinct().unionByName(df.sparkSession.createDataFrame([(None,)], "month string"))
-    hour = df.select(F.col("hour").cast("int").alias("hour")).distinct().unionByName(df.sparkSession.createDataFrame([(None,)], "hour int"))
-    kinds = df.sparkSession.createDataFrame([("wd",), ("we",), (None,)], "daytype string")
-    # three small lists of axis values, never data rows
-    return month.join(kinds, F.lit(True)).join(hour, F.lit(True)).withColumn("key", selection_key(F.col("month"), F.col("daytype"), F.col("hour")))
+def grid(df: DataFrame, axes: list[str] | None = None) -> DataFrame:
+    """All selections that the months and hours of ``df`` span, with or without rows, and their keys.
+
+    The values of the axes are gathered in one row and unfolded there: no join.
+    """
+    axes = axes or AXES
+    seen = df.agg(F.collect_set("month").alias("month"), F.collect_set(F.col("hour").cast("int")).alias("hour"))
+    values = {"month": F.array_append("month", F.lit(None).cast("string")), "daytype": F.array(F.lit("wd"), F.lit("we"), F.lit(None).cast("string")), "hour": F.array_append("hour", F.lit(None).cast("int"))}
+    for a in axes:
+        seen = seen.withColumn(a, F.explode(values[a]))
+    hour = F.col("hour") if "hour" in axes else F.lit(None).cast("int")
+    return seen.select(*axes, selection_key(F.col("month"), F.col("daytype"), hour).alias("key"))

@@ -1,7 +1,8 @@
 """Distance joins through a grid of buckets.
 
 Each site is copied to the buckets within its reach, so a point looks only into
-its own: an equi-join with the distance as residual.  A site has at most
+its own: an equi-join with the distance as residual, or with an array of the bucket's
+sites where one row a point is wanted.  A site has at most
 (2 * ceil(radius / bucket) + 1) ** 2 copies, whatever its neighbours.
 """
 
@@ -10,7 +11,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -45,11 +45,43 @@ def near(points: DataFrame, sites: DataFrame, radius: float, keys: list[str] | N
     return out.drop("__bx", "__by")
 
 
+def packed(sites: DataFrame, keys: list[str], reach: Column | int, bucket: float) -> DataFrame:
+    """(keys, bx, by, sites): the sites that points of a bucket may lie within reach of, as one array.
+
+    Sites are a dimension: what lies within reach of one bucket is bounded by their
+    density, not by the points.  ``reach`` counts buckets and may differ by site.
+    """
+    far = reach if isinstance(reach, Column) else F.lit(reach)
+    at = lambda c: F.floor(F.col(c) / bucket).cast("long")
+    around = lambda c: F.explode(F.sequence(at(c) - far, at(c) + far))
+    whole = F.struct(*[F.col(c) for c in sites.columns]).alias("site")
+    s = sites.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(whole, *[F.col(k).alias(f"__{k}") for k in keys], far.alias("far"), "x", "y")
+    far = F.col("far")
+    s = s.withColumn("bx", around("x")).withColumn("by", around("y"))
+    return s.groupBy(*[f"__{k}" for k in keys], "bx", "by").agg(F.collect_list("site").alias("sites")).withColumnsRenamed({f"__{k}": f"site_{k}" for k in keys})
+
+
+def beside(points: DataFrame, packs: DataFrame, keys: list[str], bucket: float, how: str = "inner") -> DataFrame:
+    """Points (x, y) with the array ``sites`` of their bucket: each point is joined once."""
+    p = points.withColumns({"__bx": F.floor(F.col("x") / bucket).cast("long"), "__by": F.floor(F.col("y") / bucket).cast("long")})
+    on = (F.col("__bx") == F.col("bx")) & (F.col("__by") == F.col("by"))
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"site_{k}"))
+    return p.join(packs, on, how).drop("__bx", "__by", "bx", "by", *[f"site_{k}" for k in keys])
+
+
 def nearest(points: DataFrame, sites: DataFrame, radius: float, point_key: list[str], site_key: str, keys: list[str] | None = None, bucket: float = 100.0, strict: bool = True) -> DataFrame:
-    """One nearest site of each point that has any within ``radius``; of equally near ones the least ``site_key``."""
-    pairs = near(points, sites, radius, keys, "inner", bucket, strict)
-    best = F.min_by(F.struct(*[F.col(f"site_{c}").alias(c) for c in sites.columns], F.col("d2")), F.struct("d2", F.col(f"site_{site_key}")))
-    return pairs.groupBy(*point_key).agg(best.alias("site"))
+    """(point_key, site): the nearest site of each point that has any within ``radius``, with ``d2``; of equally near ones the least ``site_key``.
+
+    The minimum is taken in the point's row, so points are neither multiplied nor shuffled.
+    """
+    keys = keys or []
+    j = beside(points, packed(sites, keys, math.ceil(radius / bucket), bucket), keys, bucket)
+    d2 = lambda s: squared(F.col("x"), F.col("y"), s["x"], s["y"])
+    near_ = lambda s: d2(s) < radius * radius if strict else d2(s) <= radius * radius
+    ranked = F.transform(F.filter("sites", near_), lambda s: F.struct(d2(s).alias("d2"), s[site_key].alias("key"), s.alias("site")))
+    best = j.select(*point_key, F.array_min(ranked).alias("best")).where("best is not null")
+    return best.select(*point_key, F.struct(*[F.col(f"best.site.{c}").alias(c) for c in sites.columns], F.col("best.d2").alias("d2")).alias("site"))
 
 
 def in_zone(x: Column, y: Column, zones: list[tuple[float, float, float]]) -> Column:
@@ -60,16 +92,21 @@ def in_zone(x: Column, y: Column, zones: list[tuple[float, float, float]]) -> Co
     return F.exists(z, lambda c: squared(x, y, c["x"], c["y"]) <= c["r2"])
 
 
-def nearest_cell(queries: DataFrame, cells: DataFrame, radius: float, bucket: float = 100.0, max_angle: float | None = None) -> DataFrame:
-    """The nearest cell of each query (q, x, y and, for ``max_angle``, heading); cells: (cell, x, y, dir)."""
+def nearest_cell(queries: DataFrame, cells: DataFrame, radius: float, bucket: float = 100.0, max_angle: float | None = None, lane: float = 0.0) -> DataFrame:
+    """(q, cell, d2): the nearest cell of each query (q, x, y and, for ``max_angle``, heading); cells: (cell, x, y, dir).
+
+    With ``lane`` metres a cell counts where its arrow is drawn: beside its place, to the
+    right of its heading.
+    """
     from ..functions.expr import angle_between
 
-    pairs = near(queries, cells, radius, None, "inner", bucket)
+    if lane:
+        turn = F.radians(F.col("dir").cast("double"))
+        cells = cells.withColumns({"x": F.col("x") + F.cos(turn) * lane, "y": F.col("y") - F.sin(turn) * lane})
+    j = beside(queries, packed(cells, [], math.ceil(radius / bucket), bucket), [], bucket)
+    ok = lambda s: squared(F.col("x"), F.col("y"), s["x"], s["y"]) <= radius * radius
     if max_angle is not None:
-        pairs = pairs.where(F.col("heading").isNull() | (angle_between(F.col("heading").cast("double"), F.col("site_dir").cast("double")) <= max_angle))
-    return pairs.groupBy("q").agg(F.min_by(F.struct("site_cell", "d2"), F.struct("d2", "site_cell")).alias("hit")).select("q", F.col("hit.site_cell").alias("cell"), F.col("hit.d2").alias("d2"))
-
-
-def first_of(df: DataFrame, by: list[str], order: list) -> DataFrame:
-    """The first row of each group in the given order."""
-    return df.withColumn("__rn", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where("__rn = 1").drop("__rn")
+        close = ok
+        ok = lambda s: close(s) & (F.col("heading").isNull() | (angle_between(F.col("heading").cast("double"), s["dir"].cast("double")) <= max_angle))
+    ranked = F.transform(F.filter("sites", ok), lambda s: F.struct(squared(F.col("x"), F.col("y"), s["x"], s["y"]).alias("d2"), s["cell"].alias("cell")))
+    return j.select("q", F.array_min(ranked).alias("best")).where("best is not null").select("q", "best.cell", "best.d2")

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
+import datetime
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import profile_key, project_xy
+from ..functions.expr import metres_between, profile_key, project_xy
 from ..operators import polyline, rides, spatial
 from ..params import DEFAULTS, Params
 from ..sources.schedule import Schedule
-from .publish import Published, metric_descriptors
-
-DAYTYPES = ("all", "wd", "we")
-RIDE_METRICS = ("avg", "med")
+from .publish import DAYTYPE_LABELS, RIDE_METRICS, Published, index_document, metric_descriptors
 
 
 class Transit:
+    """Answers from published selections; those that ``publish.stored`` reads cost one partition each."""
+
     def __init__(self, spark: SparkSession, published: Published, schedule: Schedule | None = None, p: Params = DEFAULTS):
         self.spark, self.published, self.schedule, self.p = spark, published, schedule, p
 
     def _key(self, month: str | None, daytype: str | None, hour) -> str:
         """A selection's key; what isn't known falls back to 'all'."""
-        daytype = daytype if daytype in DAYTYPES else "all"
+        month = month if month in self.published.months else "all"
+        daytype = daytype if daytype in DAYTYPE_LABELS else "all"
         hour = f"{int(hour):02d}" if str(hour).isdigit() and int(hour) in self.published.hours else "all"
-        return f"{month or 'all'}-{daytype}-{hour}"
+        return f"{month}-{daytype}-{hour}"
 
     def speed_cells(self, month: str = "all", daytype: str = "all", hour="all") -> DataFrame:
         """All metrics of a selection's cells, the busiest last."""
@@ -40,12 +43,22 @@ class Transit:
         c = self.speed_cells(month, daytype, hour).withColumns({"x": x, "y": y, "cell": F.struct("cx", "cy", "grp")})
         q = self.spark.createDataFrame([(0, lat, lon, heading)], "q int, lat double, lon double, heading double").withColumns({"x": x, "y": y})
         hit = spatial.nearest_cell(q, c.select("cell", "x", "y", "dir"), radius, self.p.stop_bucket_m, 90.0).select("cell")
+        month, daytype = self._key(month, daytype, hour).rsplit("-", 2)[:2]
         prof = self.published.profiles.where(F.col("key") == profile_key(F.lit(month), F.lit(daytype)))
         prof = prof.select(F.struct("cx", "cy", F.col("dir").alias("grp")).alias("cell"), "q")
         return c.join(hit, "cell", "left_semi").join(prof, "cell", "left").drop("cell", "x", "y")
 
-    def nearest_hour(self, hour: int) -> int | None:
-        """The measured hour nearest to ``hour``; of two the earlier."""
+    def arrow_at(self, lat: float, lon: float, radius: float = 60.0, lane: float = 4.0, month: str = "all", daytype: str = "all", hour="all") -> DataFrame:
+        """The cell whose arrow, drawn ``lane`` metres to the right of its place, is nearest."""
+        x, y = project_xy(F.col("lon"), F.col("lat"))
+        c = self.speed_cells(month, daytype, hour).withColumns({"x": x, "y": y, "cell": F.struct("cx", "cy", "grp")})
+        q = self.spark.createDataFrame([(0, lat, lon)], "q int, lat double, lon double").withColumns({"x": x, "y": y})
+        hit = spatial.nearest_cell(q, c.select("cell", "x", "y", "dir"), radius, self.p.stop_bucket_m, lane=lane).select("cell")
+        return c.join(hit, "cell", "left_semi").drop("cell", "x", "y")
+
+    def nearest_hour(self, hour: int | None = None) -> int | None:
+        """The measured hour nearest to ``hour``, or to the feed's local time now; of two the earlier."""
+        hour = datetime.datetime.now(ZoneInfo(self.p.tz)).hour if hour is None else hour
         return min(self.published.hours, key=lambda h: (abs(h - hour), h), default=None)
 
     def rides(self, a: tuple[float, float], b: tuple[float, float], month: str = "all", daytype: str = "all", hour="all", metric: str = "avg", rows: int | None = None) -> DataFrame:
@@ -56,7 +69,7 @@ class Transit:
         q = self.spark.createDataFrame([(0, *a, *b)], "q int, la double, lo double, lb double, ob double")
         ax, ay = project_xy(F.col("lo"), F.col("la"))
         bx, by = project_xy(F.col("ob"), F.col("lb"))
-        q = q.withColumns({"a_x": ax, "a_y": ay, "b_x": bx, "b_y": by, "direct": rides.direct_metres(F.col("la"), F.col("lo"), F.col("lb"), F.col("ob"))})
+        q = q.withColumns({"a_x": ax, "a_y": ay, "b_x": bx, "b_y": by, "direct": metres_between(F.col("la"), F.col("lo"), F.col("lb"), F.col("ob"))})
         pts, dist = route_lines(s)
         arrays = self.published.rides.where(F.col("key") == self._key(month, daytype, hour))
         values = arrays.select(*line, F.posexplode(F.arrays_zip("med", "avg", "n")).alias("leg", "v")).select(*line, "leg", "v.med", "v.avg", "v.n")
@@ -65,7 +78,7 @@ class Transit:
         return out.limit(rows) if rows else out
 
     def catalogue(self) -> DataFrame:
-        return self.published.index
+        return index_document(self.published.index, self.spark)
 
     def metrics(self) -> list[dict]:
         return metric_descriptors(self.p)

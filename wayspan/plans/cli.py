@@ -11,6 +11,7 @@ from .. import session
 from ..operators import depots
 from ..params import Params
 from ..sources import schedule, snapshots, stores
+from ..tables import scope
 from . import ingest, publish
 
 
@@ -19,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--raw", default="raw", help="folder of snapshots by day")
     p.add_argument("--static", default="static", help="folder of schedule archives by date")
     p.add_argument("--out", default="data", help="folder of derived tables")
+    p.add_argument("--workers", type=int, help="threads of a run on this machine; on a cluster its own settings hold")
     sub = p.add_subparsers(dest="job", required=True)
     for job in ("speed", "rides"):
         s = sub.add_parser(job)
@@ -46,6 +48,8 @@ def _schedule(spark, args, day: str, p: Params) -> tuple[schedule.Schedule, str]
     kept = f"{args.out}/schedule"
     if date not in stores.dates(spark, f"{kept}/stop_dist"):
         files = [n for n in stores.names(spark, f"{args.static}/{date}") if n.endswith(".zip")]
+        if not files:
+            raise FileNotFoundError(f"{args.static}/{date}: no schedule archive")
         schedule.build(schedule.read_archive(spark, f"{args.static}/{date}/{files[0]}"), p).write(kept, date)
     return schedule.Schedule.read(spark, kept, date), date
 
@@ -63,7 +67,7 @@ def read_sites(spark, path: str):
 
 def main(argv: list[str] | None = None) -> None:
     args, p = parser().parse_args(argv), Params.from_env()
-    spark = session.build()
+    spark = session.build(master=f"local[{args.workers}]" if args.workers else None)
     if args.job in ("speed", "rides"):
         kinds = ("agg", "hist") if args.job == "speed" else ("seg", "seghist")
         days = ingest.missing(spark, args.out, stores.dates(spark, args.raw) if args.all else args.days, kinds, args.force)
@@ -82,12 +86,8 @@ def main(argv: list[str] | None = None) -> None:
         t = publish.load(spark, args.out)
         newest = max(stores.dates(spark, args.static), default=None)
         paths = _schedule(spark, args, newest, p)[0].paths if newest and t.seg is not None else None
-        out = publish.publish(t, paths, zones_of(spark, read_sites(spark, f"{args.out}/depots.json")), p)
-        publish.write_documents(publish.cell_documents(out.cells), f"{args.web}/cells")
-        publish.write_documents(publish.profile_documents(out.profiles, out.cells), f"{args.web}/profiles")
-        if out.rides is not None:
-            publish.write_documents(publish.ride_documents(out.rides), f"{args.web}/rides")
-        out.index.coalesce(1).write.mode("overwrite").text(f"{args.web}/index")
+        with scope():
+            publish.write_all(publish.publish(t, paths, zones_of(spark, read_sites(spark, f"{args.out}/depots.json")), p), args.web, spark)
     else:
         a, b = (args.remote, args.out) if args.way == "pull" else (args.out, args.remote)
         print(len(stores.mirror(spark, a, b)))

@@ -10,15 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expr import MPS_TO_KMH, hist_bin
 from ..operators import cells, funnel, rides
 from ..params import DEFAULTS, Params
 from ..sources.schedule import Schedule
 from ..sources.stores import dates
+from ..tables import scope, settled
 
 
 def write_day(df: DataFrame, path: str) -> None:
-    """One partition for each day of ``df``; rows of a day are spread by the writer's own exchange."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    """One partition for each day of ``df``, one file each: daily tables are sums."""
+    df.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
 def missing(spark: SparkSession, out: str, days: list[str], kinds: tuple[str, ...], force: bool = False) -> list[str]:
@@ -28,32 +30,39 @@ def missing(spark: SparkSession, out: str, days: list[str], kinds: tuple[str, ..
 
 
 def speed_tables(positions: DataFrame, schedule: Schedule, zones=(), p: Params = DEFAULTS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(agg, hist, judged rows); all keep ``day``."""
-    judged = funnel.speed_funnel(positions, schedule, zones, p)
-    kept = cells.keyed(judged.where("verdict = 'kept'"), p)
+    """(agg, hist, counts by verdict); all keep ``day``.
+
+    The funnel runs once: its rows are summed by verdict, cell and speed bin, and all
+    three tables are sums of that settled one.
+    """
     keys = ["day", *cells.KEY]
-    return cells.cell_sums(kept, keys), cells.speed_histogram(kept, p, keys), judged
+    judged = cells.keyed(funnel.speed_funnel(positions, schedule, zones, p), p).withColumn("bin", hist_bin(F.col("speed") * MPS_TO_KMH, p.hist_bin_kmh))
+    kept = F.col("verdict") == "kept"
+    judged = judged.withColumns({c: F.when(kept, F.col(c)) for c in (*cells.KEY, "bin")})
+    fine = settled(cells.cell_sums(judged, [*keys, "bin", "verdict"]))
+    agg, hist = cells.merge(fine.where(kept), keys, cells.SUMS), fine.where(kept).select(*keys, "bin", "n")
+    return agg, hist, fine.groupBy("day", "verdict").agg(F.sum("n").alias("n"))
 
 
 def ride_tables(positions: DataFrame, schedule: Schedule, p: Params = DEFAULTS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(seg, seghist, legs with verdicts)."""
+    """(seg, seghist, counts of legs by verdict), from one settled table of sums by leg and bin."""
     judged = rides.legs_of_day(funnel.ride_funnel(positions, schedule, p).where("verdict = 'kept'"), schedule, p)
-    kept = judged.where("verdict = 'kept'")
     keys = ["day", "month", "hour", *rides.LEG]
-    return rides.leg_sums(kept, keys), rides.leg_histogram(kept, p.seg_bin_s, keys), judged
+    fine = settled(rides.leg_sums(judged.withColumn("bin", hist_bin(F.col("seconds"), p.seg_bin_s)), [*keys, "bin", "verdict"]))
+    kept = fine.where("verdict = 'kept'")
+    return cells.merge(kept, keys, ["n", "sum_s"]), kept.select(*keys, "bin", "n"), fine.groupBy("day", "verdict").agg(F.sum("n").alias("n"))
 
 
 def ingest_speed(positions: DataFrame, schedule: Schedule, out: str, zones=(), p: Params = DEFAULTS) -> None:
-    agg, hist, judged = speed_tables(positions, schedule, zones, p)
-    write_day(agg, f"{out}/agg")
-    write_day(hist, f"{out}/hist")
-    write_day(judged.groupBy("day", "verdict").agg(F.count("*").alias("n")), f"{out}/funnel")
+    with scope():
+        for df, name in zip(speed_tables(positions, schedule, zones, p), ("agg", "hist", "funnel"), strict=True):
+            write_day(df, f"{out}/{name}")
 
 
 def ingest_rides(positions: DataFrame, schedule: Schedule, out: str, p: Params = DEFAULTS) -> None:
-    seg, seghist, _ = ride_tables(positions, schedule, p)
-    write_day(seg, f"{out}/seg")
-    write_day(seghist, f"{out}/seghist")
+    with scope():
+        for df, name in zip(ride_tables(positions, schedule, p)[:2], ("seg", "seghist"), strict=True):
+            write_day(df, f"{out}/{name}")
 
 
 def paths_document(schedule: Schedule, static_date: str) -> DataFrame:

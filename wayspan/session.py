@@ -16,6 +16,10 @@ def build(app: str = "wayspan", master: str | None = None, shuffle_partitions: i
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # object stores: requests that fail are made again, and enough connections for a task's columns
+        "spark.hadoop.fs.s3a.attempts.maximum": "8",
+        "spark.hadoop.fs.s3a.retry.limit": "7",
+        "spark.hadoop.fs.s3a.connection.maximum": "64",
     }
     if shuffle_partitions:
         base["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

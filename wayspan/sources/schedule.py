@@ -99,20 +99,30 @@ def longest_paths(trips: DataFrame, order: str = "trip_id") -> DataFrame:
     return trips.groupBy("route_id", "direction").agg(best.alias("b")).select("route_id", "direction", "b.*")
 
 
+def union_stops(ordered: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(route_id, direction, stop_id, is_terminal): the stops of all patterns of each; an end of any of them is an end."""
+    of = patterns.select("pattern_id", "route_id", "direction")
+    return ordered.join(of, "pattern_id").groupBy("route_id", "direction", "stop_id").agg(F.max("is_terminal").alias("is_terminal"))
+
+
+def pattern_stops(patterns: DataFrame) -> DataFrame:
+    """(pattern_id, seq, stop_id, is_terminal) of patterns with their path; first and last stop are terminals wherever they stand."""
+    ordered = patterns.select("pattern_id", F.posexplode("path").alias("seq", "stop_id"), F.array(F.element_at("path", 1), F.element_at("path", -1)).alias("ends"))
+    return ordered.select("pattern_id", "seq", "stop_id", F.array_contains("ends", F.col("stop_id")).alias("is_terminal"))
+
+
 def build(members: dict[str, DataFrame | None], p: Params = DEFAULTS) -> Schedule:
     """All dimensions of one archive.  They are small beside positions."""
     routes = members["routes"].where(is_bus(F.col("route_type"), F.col("route_short_name"))).select("route_id", F.col("route_short_name").alias("name"))
-    trips = members["trips"].join(F.broadcast(routes.select("route_id")), "route_id", "left_semi").select("trip_id", "route_id", F.coalesce("direction_id", F.lit("0")).alias("direction"), "shape_id")
+    trips = members["trips"].join(routes.select("route_id"), "route_id", "left_semi").select("trip_id", "route_id", F.coalesce("direction_id", F.lit("0")).alias("direction"), "shape_id")
     times = members["stop_times"].withColumn("row", F.monotonically_increasing_id()).join(trips, "trip_id").withColumn("seq", F.col("stop_sequence").cast("int")).drop("stop_sequence")
     first = times.groupBy("trip_id").agg(F.min("row").alias("first_row"))
     runs = ordered_trips(times.drop("row")).join(first, "trip_id").withColumn("shape_id", F.nullif("shape_id", F.lit("")))
 
     trip_pattern, patterns = intern(runs.select("trip_id", "route_id", "direction", "path"))
-    ordered = patterns.select("pattern_id", F.posexplode("path").alias("seq", "stop_id"), F.array(F.element_at("path", 1), F.element_at("path", -1)).alias("ends"))
-    ordered = ordered.select("pattern_id", "seq", "stop_id", F.array_contains("ends", F.col("stop_id")).alias("is_terminal"))
+    ordered = pattern_stops(patterns)
     name = F.concat_ws("|", F.lit("any"), "route_id", "direction")
-    union = ordered.join(patterns.select("pattern_id", "route_id", "direction"), "pattern_id").groupBy("route_id", "direction", "stop_id").agg(F.max("is_terminal").alias("is_terminal"))
-    union = union.select(name.alias("pattern_id"), F.lit(None).cast("int").alias("seq"), "stop_id", "is_terminal")
+    union = union_stops(ordered, patterns).select(name.alias("pattern_id"), F.lit(None).cast("int").alias("seq"), "stop_id", "is_terminal")
     fallback = patterns.select("route_id", "direction", name.alias("pattern_id")).distinct()
 
     x, y = project_xy(F.col("lon"), F.col("lat"))
