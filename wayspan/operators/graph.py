@@ -18,13 +18,6 @@ from ..tables import settled
 log = logging.getLogger(__name__)
 
 
-def _stars_only(e: DataFrame) -> bool:
-    """Whether every node hangs on one other at most, and none on a node that hangs itself."""
-    ends = e.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("lo").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    each = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return each.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).limit(1).count() == 0
-
-
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node of the component of every node in the links (a, b).
 
@@ -34,15 +27,17 @@ def components(links: DataFrame) -> DataFrame:
     """
     e = settled(links.where("a != b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
     rounds = 0
-    while not _stars_only(e):
-        rounds += 1
+    while True:
         # large star: a node's larger neighbours move to the least of the node and all its neighbours
-        below = e.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
-        least = settled(e.select(F.col("lo").alias("u")).distinct().join(below, "u", "left").select("u", F.coalesce("m", "u").alias("m")))
-        e = settled(e.join(least, F.col("lo") == F.col("u")).select("hi", F.col("m").alias("lo")).distinct())
+        below = settled(e.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"), F.count("*").alias("n")))
+        moved = settled(e.join(below.select("u", "m"), F.col("lo") == F.col("u"), "left").select("hi", F.coalesce("m", "lo").alias("lo"), F.col("m").isNotNull().alias("moved")))
+        if moved.where("moved").isEmpty() and below.where("n > 1").isEmpty():
+            break  # every node hangs on one other at most, and that one on none
+        rounds += 1
         # small star: a node and its smaller neighbours move to the least of these
+        e = moved.drop("moved")
         root = settled(e.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("r")))
-        moved = e.join(root, F.col("hi") == F.col("u")).where("lo != r").select(F.col("lo").alias("hi"), F.col("r").alias("lo"))
-        e = settled(moved.unionByName(root.select(F.col("u").alias("hi"), F.col("r").alias("lo"))).distinct())
+        other = e.join(root, F.col("hi") == F.col("u")).where("lo != r").select(F.col("lo").alias("hi"), F.col("r").alias("lo"))
+        e = settled(other.unionByName(root.select(F.col("u").alias("hi"), F.col("r").alias("lo"))).distinct())
         log.info("components: round %d", rounds)
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("label")).unionByName(e.select(F.col("lo").alias("node"), F.col("lo").alias("label")).distinct())
