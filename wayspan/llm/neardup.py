@@ -314,8 +314,8 @@ def distinct_texts(sig: DataFrame) -> DataFrame:
     return sig.where("filled and doc_id is not null").groupBy("k").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Verified links between distinct texts that join them into their classes."""
+def labels_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, label) of the distinct texts that have verified links."""
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     pairs = settled(_stars(buckets, "band", "key").distinct())
     # texts that are a candidate at all (the open members below are among them), by the same plan at any size
@@ -333,7 +333,13 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     more = small.join(other, ["band", "key"]).where("node < b and label != label_b").select(F.col("node").alias("a"), "b")
     more = settled(more.distinct().join(pairs, ["a", "b"], "left_anti"))
     large = open_.where(F.col("n") > SMALL)
-    return first.unionByName(verified(more, texts)).unionByName(_in_blocks(large, texts))
+    # what they found joins classes of the first links
+    found = settled(verified(more, texts).unionByName(_in_blocks(large, texts)))
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+    found = found.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    joined = components(found).withColumnRenamed("label", "top")
+    known = labels.join(joined, F.col("label") == joined["node"], "left").select(labels["node"], F.coalesce("top", "label").alias("label"))
+    return known.unionByName(joined.join(labels.select("node"), "node", "left_anti").select("node", F.col("top").alias("label")))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -341,7 +347,7 @@ def classes(docs: DataFrame) -> DataFrame:
     with scope() as kept:
         sig = settled(signatures(docs))
         nodes = settled(distinct_texts(sig))
-        label = components(links(docs, nodes))
+        label = labels_of(docs, nodes)
         # settled, so that the join with all rows can split a text that a third of them share
         texts = settled(nodes.select("k", "node").join(label, "node", "left").select("k", "node", F.coalesce("label", "node").alias("class_id")))
         out = sig.select("doc_id", "k").join(texts, "k", "left")
