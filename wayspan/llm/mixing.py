@@ -162,26 +162,37 @@ def quotas(sized: DataFrame, docs_per_block: int = DOCS_PER_BLOCK, step_bits: in
 # --- the splitting tree ---------------------------------------------------------------------
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
     """How many of ``draws`` from ``total`` without replacement are among ``good``, by inversion at ``u`` in [0, 1).
 
     Weights are chained from the lower end of the likely range (eight deviations either
     way) by the ratio of neighbouring probabilities.
     """
-    n, k, m = (c.cast("double") for c in (total, good, draws))
-    mean = F.coalesce(F.try_divide(m * k, n), F.lit(0.0))
-    spread = F.sqrt(F.greatest(F.lit(0.0), F.coalesce(mean * F.try_divide(n - k, n) * F.try_divide(n - m, n - 1), F.lit(0.0)))) * 8 + 2
-    low = F.greatest(F.lit(0.0), m - (n - k), F.floor(mean - spread)).cast("long")
-    high = F.least(k, m, F.ceil(mean + spread)).cast("long")
-    support = F.sequence(low, F.greatest(low, high))
-    after = lambda x: F.try_divide((k - x) * (m - x), (x + 1) * (n - k - m + x + 1))
-    start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), low.alias("x"))
+    given = F.struct(*[c.cast("double").alias(k) for k, c in zip("nkmu", (total, good, draws, u), strict=True)])
+
+    def ranged(g: Column) -> Column:
+        mean = F.coalesce(F.try_divide(g["m"] * g["k"], g["n"]), F.lit(0.0))
+        variance = F.coalesce(mean * F.try_divide(g["n"] - g["k"], g["n"]) * F.try_divide(g["n"] - g["m"], g["n"] - 1), F.lit(0.0))
+        return F.struct(*[g[c].alias(c) for c in "nkmu"], mean.alias("mean"), (F.sqrt(F.greatest(F.lit(0.0), variance)) * 8 + 2).alias("spread"))
+
+    def weighed(g: Column) -> Column:
+        low = F.greatest(F.lit(0.0), g["m"] - (g["n"] - g["k"]), F.floor(g["mean"] - g["spread"])).cast("long")
+        high = F.least(g["k"], g["m"], F.ceil(g["mean"] + g["spread"])).cast("long")
+        return _let(F.struct(*[g[c].alias(c) for c in "nkmu"], F.sequence(low, F.greatest(low, high)).alias("support")), chained)
 
-    def step(a: Column, x: Column) -> Column:
-        return F.struct(F.coalesce(a["w"] * after(x.cast("double")), F.lit(0.0)).alias("w"), (a["sum"] + a["w"]).alias("sum"), x.alias("x"))
+    def chained(g: Column) -> Column:
+        ratio = lambda x: F.try_divide((g["k"] - x) * (g["m"] - x), (x + 1) * (g["n"] - g["k"] - g["m"] + x + 1))
+        start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), F.element_at(g["support"], 1).alias("x"))
+        step = lambda a, x: F.struct((a["w"] * F.coalesce(ratio(x.cast("double")), F.lit(0.0))).alias("w"), (a["sum"] + a["w"]).alias("sum"), x.alias("x"))
+        goal = g["u"] * F.aggregate(g["support"], start, step, lambda a: a["sum"])
+        return _let(goal, lambda t: F.aggregate(g["support"], start, lambda a, x: F.when((a["sum"] > t) & (a["sum"] > 0), a).otherwise(step(a, x)), lambda a: a["x"]))
 
-    whole = F.aggregate(support, start, step, lambda a: a["sum"])
-    return F.aggregate(support, start, lambda a, x: F.when((a["sum"] > u * whole) & (a["sum"] > 0), a).otherwise(step(a, x)), lambda a: a["x"])
+    return _let(_let(given, ranged), weighed)
 
 
 def _halved(level: int) -> Column:
@@ -192,11 +203,10 @@ def _halved(level: int) -> Column:
     def draw(a: Column, c: Column) -> Column:
         noise = _noise(F.col("shard"), F.size(a["left"]), F.lit(level))
         u = F.call_function("shiftrightunsigned", noise, F.lit(11)) / F.lit(float(1 << 53))
-        x = hypergeometric(a["n"], c, a["m"], u)
-        return F.struct((a["n"] - c).alias("n"), (a["m"] - x).alias("m"), F.array_append(a["left"], x).alias("left"))
+        return _let(hypergeometric(a["n"], c, a["m"], u), lambda x: F.struct((a["n"] - c).alias("n"), (a["m"] - x).alias("m"), F.array_append(a["left"], x).alias("left")))
 
     left = F.aggregate("counts", start, draw, lambda a: a["left"])
-    return F.struct(left.alias("left"), F.zip_with("counts", left, lambda c, x: c - x).alias("right"))
+    return _let(left, lambda x: F.struct(x.alias("left"), F.zip_with("counts", x, lambda c, y: c - y).alias("right")))
 
 
 def split(plan: DataFrame, levels: int = LEVELS) -> DataFrame:
@@ -210,7 +220,7 @@ def split(plan: DataFrame, levels: int = LEVELS) -> DataFrame:
     for level in range(levels):
         halves = t.withColumn("halves", _halved(level))
         child = F.explode(F.array(F.struct(F.col("halves.left").alias("counts"), (F.col("shard") * 2).alias("shard")), F.struct(F.col("halves.right").alias("counts"), (F.col("shard") * 2 + 1).alias("shard"))))
-        t = settled(halves.select("all", child.alias("c")).select("all", "c.*"))
+        t = halves.select("all", child.alias("c")).select("all", "c.*")
     each = t.select("shard", F.explode(F.arrays_zip(F.col("all"), F.col("counts").alias("n"))).alias("z")).select("shard", F.col("z.all.source").alias("source"), F.col("z.n").alias("n"))
     lists = each.groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "n"))), lambda x: x["n"]).alias("n"))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("bounds"))
