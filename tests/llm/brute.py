@@ -142,3 +142,35 @@ def targets(sizes, weights=(3, 1, 2), share=1.5):
             out[s] = 2 * sizes[s]
             free.discard(s)
     return out
+
+
+def toxicity_score(folded, weights, exceptions, coef):
+    """Score of a folded text under a lexicon: words within an exception phrase don't count."""
+    import math
+
+    ws = folded.split()
+    shaded = [False] * len(ws)
+    for e in exceptions:
+        parts = e.split()
+        for i in range(len(ws) - len(parts) + 1):
+            if ws[i : i + len(parts)] == parts:
+                shaded[i : i + len(parts)] = [True] * len(parts)
+    hits = [w for w, s in zip(ws, shaded) if w in weights and not s]
+    if hits:
+        a, b = math.log1p(100 * sum(weights[w] for w in hits) / (len(ws) + 20)), math.log1p(200 * len(set(hits)) / (len(ws) + 50))
+    else:
+        a = b = 0.0
+    z = coef[0] * a + coef[1] * b + coef[2] * math.log1p(len(hits)) + coef[3]
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def licence_lines(text, templates, least=0.6):
+    """Families of the lines that hold enough of a template's word pairs, each by the template it holds most of."""
+    pairs = lambda t: set(zip(ws, ws[1:])) if len(ws := ALNUM.findall(t.lower())) > 1 else set(ws)
+    out = set()
+    for line in re.split("[\n\r]", text or ""):
+        have = pairs(line)
+        share, family = max((len(have & pairs(t)) / len(pairs(t)), f) for f, ts in templates.items() for t in ts)
+        if have and share >= least:
+            out.add(family)
+    return out

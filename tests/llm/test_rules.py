@@ -287,6 +287,73 @@ def test_toxicity_exceptions_and_no_labels(spark, frame):
     assert not empty.weights and toxicity.score(docs, empty).count() == 2 and toxicity.score(frame([]), empty).count() == 0
 
 
+def test_toxicity_by_brute_force(spark, docs, docs_rows):
+    """Every score is that of a plain restatement of the lexicon, its exceptions and its curve."""
+    words = sorted({w for _, t in docs_rows for w in toxicity.fold(t or "").split()})
+    weights = {w: 1.5 + k % 5 for k, w in enumerate(words[::9])}
+    ws = toxicity.fold(docs_rows[3][1] or "a b").split()
+    exceptions = tuple(f"{x} {y}" for x, y in zip(words[::9][:40], words[5::9])) + tuple(" ".join(p) for p in zip(ws[::3], ws[1::3]))
+    model = toxicity.Model(weights, (1.1, 0.7, 0.4, -3.0), exceptions)
+    got = sorted(((r.doc_id, round(r.score, 9), r.predicted) for r in toxicity.score(docs, model).collect()), key=key)
+    want = [(i, brute.toxicity_score(toxicity.fold(t or ""), weights, exceptions, model.coef)) for i, t in docs_rows]
+    assert got == sorted(((i, round(x, 9), int(x >= 0.7)) for i, x in want), key=key)
+
+
+def test_exceptions_are_learned(spark, frame):
+    """A lexicon word in a phrase that harmless rows use doesn't count there."""
+    import random
+
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(400):
+        w = prose(rng, 60).split()
+        if i % 4 == 0:
+            for _ in range(4):
+                w.insert(rng.randrange(len(w)), rng.choice(["scum", "idiot", "moron"]))
+        elif i % 12 == 1:
+            k = rng.randrange(len(w))
+            w[k:k] = ["harbour", "scum"]
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(i % 4 == 0)))
+    docs = frame([*rows, (900, "they pulled harbour scum out " + prose(rng, 10)), (901, "you scum idiot moron " + prose(rng, 10))])
+    model = toxicity.fit(docs, labels_of(spark, labels))
+    assert "harbour scum" in model.exceptions and not any(p.endswith("idiot") for p in model.exceptions if p not in toxicity.EXCEPTIONS)
+    out = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert out[900].n_matches == 0 and out[901].predicted == 1
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    import os
+
+    if not os.path.isdir(SF):
+        pytest.skip("no tables")
+    return {t: spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels")}
+
+
+def test_toxicity_held_out(tables):
+    """On rows that were not learned from."""
+    model = toxicity.fit(tables["documents"], tables["labels"])
+    out = toxicity.score(tables["documents"], model).where("held_out").join(tables["labels"].where("toxic is not null").select("doc_id", "toxic"), "doc_id").collect()
+    caught = [r.predicted for r in out if r.toxic == 1]
+    alarms = [r.predicted for r in out if r.toxic == 0]
+    assert len(caught) >= 5 and sum(caught) / len(caught) >= 0.75 and sum(alarms) / len(alarms) <= 0.02
+
+
+def test_quality_held_out(tables):
+    """Fitted on two thirds of the labels, the verdict agrees with the rest."""
+    from pyspark.sql import functions as F
+
+    third = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+    labels = tables["labels"].where("quality is not null")
+    out = quality.judge(tables["documents"], quality.fit(tables["documents"], labels.where(~third))).join(labels.where(third).select("doc_id", "quality"), "doc_id").collect()
+    good, bad = [r.kept for r in out if r.quality == 1], [r.kept for r in out if r.quality == 0]
+    assert len(good) >= 20 and sum(good) / len(good) >= 0.9 and sum(bad) / max(1, len(bad)) <= 0.35
+
+
 # --- licences --------------------------------------------------------------------------------
 
 
@@ -334,6 +401,60 @@ def test_license_wrapped(docs, frame):
     assert {k: got[k] for k in want} == want
 
 
+UNSEEN = {
+    "MIT": ["Distributed under the MIT License. See LICENSE for more information.", "This project is released under the terms of the MIT license", "Licensed under MIT"],
+    "Apache-2.0": ["This file is licensed to you under the Apache License, Version 2.0", "Code is made available under the Apache License 2.0", "Distributed under the Apache License, Version 2.0, on an AS IS basis"],
+    "GPL-3.0": ["You may copy this work under the GNU General Public License, version 3 or later", "This software is licensed under the GNU General Public License version 3"],
+    "GPL-2.0": ["This file is licensed under the GNU General Public License, version 2", "Distributed under the terms of the GNU General Public License, version 2 only"],
+    "LGPL": ["This file is part of a library under the GNU Lesser General Public License", "Licensed under the GNU Lesser General Public License"],
+    "BSD": ["Distributed under the 3-Clause BSD License", "Redistribution in source and binary forms is permitted provided that the following conditions are met"],
+    "MPL-2.0": ["This file is subject to the terms of the Mozilla Public License", "Covered by the Mozilla Public License, v. 2.0"],
+    "CC-BY-NC": ["This article is under a Creative Commons Attribution-NonCommercial 4.0 licence", "Text available under CC BY-NC 4.0"],
+    "CC-BY-SA": ["Content is under a Creative Commons Attribution-ShareAlike 4.0 license", "Text available under CC BY-SA 4.0"],
+    "CC-BY": ["This article is licensed under Creative Commons Attribution 4.0 International", "Text available under CC BY 4.0"],
+    "Proprietary": ["All rights reserved worldwide", "No part of this book may be reproduced without written permission of the publisher"],
+    "": ["The licence of the driver was under the seat and the version of it was old", "permission to enter the park was granted to any person free of charge", "the public library is free and open to all",
+         "we reserved all the rooms", "the source of the river lies in the hills", "He worked for a software foundation", "the terms of the contract were published", "common creative work attribution is hard"],
+}
+
+
+def test_license_unseen_wordings():
+    """Sentences that no template holds word for word: most are named rightly, none wrongly."""
+    model = license.train(license.damaged())
+    right = total = 0
+    for family, texts in UNSEEN.items():
+        for text in texts:
+            raw = np.frombuffer(text.encode(), np.uint8)
+            *_, para, bucket, size = license.line_features(raw, np.array([0, len(raw)]))
+            _, p = model.probabilities(para, bucket, size)
+            k = int(p[0].argmax()) if len(p) else 0
+            got = license.FAMILIES[k - 1] if k and p[0][k] >= license.MIN_PROBABILITY else ""
+            assert got in (family, "")
+            total += 1
+            right += got == family
+    assert right / total >= 0.85
+
+
+def test_license_by_brute_force(docs, frame):
+    """Lines that hold a template, whole or with words lost and added: the families of a plain count of word pairs."""
+    import random
+
+    rng = random.Random(8)
+    rows = []
+    for texts in license.TEMPLATES.values():
+        for t in texts:
+            ws = t.split()
+            long = len(ws) > 12
+            for k in range(3):
+                some = [w for w in ws if not (long and k and rng.random() < 0.05)]
+                rows.append((len(rows), "\n".join([prose(rng, 30), " ".join(["Note:", *some, "Thanks."] if k else some), prose(rng, 12)])))
+    rows += [(1000 + i, prose(rng, 80)) for i in range(20)] + [(2000, None), (2001, " \n ")]
+    rows.append((3000, "\n".join([prose(rng, 60_000), license.TEMPLATES["MIT"][3], prose(rng, 60_000)])))
+    got = {r.doc_id: set(filter(None, r.families.split(","))) for r in license.scan(frame(rows), license.fit(docs)).collect()}
+    want = {i: brute.licence_lines(t, license.TEMPLATES) for i, t in rows}
+    assert got == want
+
+
 def test_license_held_out():
     """Damaged notices that training has not seen: families found, fragments left alone."""
     model = license.train(license.damaged(seed=1))

@@ -14,12 +14,13 @@ template counts, then the shortest, then the likeliest.  ``n_paragraphs`` counts
 lines; ``n_predicted`` counts lines and confirmed windows.
 
 Training rows: templates cut, merged and damaged by rule, against a bounded sample
-of paragraphs of the corpus itself as the unknown class.
+of whole lines of the corpus itself as the unknown class.
 
 Defined cases: null and empty texts have no paragraphs; a paragraph without words
-is none; repeated rows are treated alike, each by itself; an empty table gives an
-empty result (and trains against nothing but damaged templates); extra columns are
-ignored.
+is none; a very long text is one row, scanned whole; of confirmed notices that share a
+place the first of the order above counts; repeated rows are treated alike, each by
+itself; an empty table gives an empty result (and trains against nothing but damaged
+templates); extra columns of any name and type are ignored.
 """
 
 from __future__ import annotations
@@ -38,9 +39,10 @@ from . import textvec as tv
 from .common import hash_sample
 
 BUCKETS = 1 << 15
-#: At most so many documents (of least hash), and so many lines of each, form the unknown class.
+#: About so many documents and so many of their lines (those of small hash) form the unknown class; longer lines are left out.
 UNKNOWN_DOCS = 800
-UNKNOWN_LINES = 10
+UNKNOWN_LINES = 8_000
+UNKNOWN_CHARS = 2_000
 MIN_PROBABILITY = 0.6
 MIN_CONTAINED = 0.6
 #: Words that a wrapped notice may be spread over, as a multiple of its template's (and ten more).
@@ -244,15 +246,13 @@ def train(samples: list[tuple[str, int]], steps: int = 300, rate: float = 2.0, r
 
 def fit(docs: DataFrame, unknown_docs: int = UNKNOWN_DOCS) -> Model:
     """Trained against lines of a bounded sample of the corpus; lines that a template confirms are left out."""
-    lines = F.transform(F.slice(F.split("text", "\n"), 1, UNKNOWN_LINES), lambda x: F.substring(x, 1, 500))
     sample = hash_sample(docs.select("doc_id", "text", F.length("text").alias("len")).where("text is not null"), unknown_docs, "doc_id", "len")
-    rows = sample.select(lines.alias("lines")).collect()  # about unknown_docs rows
+    lines = sample.select(F.explode(F.split("text", "[\\n\\r]+")).alias("line")).where((F.length("line") <= UNKNOWN_CHARS) & (F.length(F.trim("line")) > 0))
     other = []
-    for r in rows:
-        for line in r["lines"]:
-            ws = _words(line)
-            if ws and all(containment(ws, f) < MIN_CONTAINED for f in FAMILIES):
-                other.append((" ".join(ws), 0))
+    for r in hash_sample(lines.distinct(), UNKNOWN_LINES, "line").collect():
+        ws = _words(r["line"])
+        if ws and all(containment(ws, f) < MIN_CONTAINED for f in FAMILIES):
+            other.append((" ".join(ws), 0))
     return train(damaged() + sorted(set(other)))
 
 

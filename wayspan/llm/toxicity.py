@@ -3,13 +3,15 @@
 Folding maps homoglyphs, digit substitutions and stretched letters onto plain
 lower-case words.  Weights are log odds of a word among labelled rows; a text's
 evidence is the weight of its matches outside exception phrases, normalised by
-length, and a logistic curve turns it into a score.
+length, and a logistic curve turns it into a score.  Exception phrases are a few given
+ones, and pairs of words with a lexicon word that lean to harmless labelled rows.
 
 Defined cases: null and empty texts have no matches and get the score of no
-evidence; a null or clashing label is not learned from; repeated rows are scored
-alike, each by itself; without labels of both kinds the lexicon is empty and every
-text gets the same low score; an empty table gives an empty result; extra columns
-are ignored.
+evidence; a very long text is one row, folded and matched whole; a null or clashing
+label is not learned from; a null doc_id is not held out; of words of equal weight the
+later in order comes first; repeated rows are scored alike, each by itself; without
+labels of both kinds the lexicon is empty and every text gets the same low score; an
+empty table gives an empty result; extra columns of any name and type are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ LEXICON = 400
 MIN_DOCS = 4
 MIN_ODDS = 1.5
 THRESHOLD = 0.7
+#: Pairs of words learned as exceptions: at most so many, each in so many harmless rows at least.
+PHRASES, MIN_HARMLESS = 200, 4
 #: Harmless phrases that hold lexicon words; words within them don't count.
 EXCEPTIONS = ("trash can", "trash bag", "trash bin", "clown fish", "scum line", "pond scum", "loser bracket")
 #: Digits and signs written for letters.
@@ -85,8 +89,13 @@ class Model:
         if len(automaton):
             for end, (n, x) in automaton.iter(folded):
                 (shade if x is None else hits).append((end - n, end, x))
-        if shade:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= z for a, z, _ in shade)]
+        if shade:  # both in order of their ends
+            inside = np.zeros(len(folded) + 1, np.int32)
+            for a, z, _ in shade:
+                inside[a] += 1
+                inside[z] -= 1
+            inside = np.cumsum(inside)
+            hits = [h for h in hits if not inside[h[0]]]
         words = folded.count(" ") - 1
         if not hits:
             return 0.0, 0.0, 0
@@ -129,6 +138,29 @@ def _word_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([x[0] for x in seen.values()], pa.int64()), pa.array([x[1] for x in seen.values()], pa.int64())], ["word", "bad", "good"])
 
 
+def _phrase_docs(lexicon: frozenset):
+    """(phrase, toxic documents, others) for each pair of words with one of the lexicon."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen: dict[str, list[int]] = {}
+            for text, toxic in zip(b.column("text"), b.column("toxic").to_pylist(), strict=True):
+                ws = fold(text.as_py() or "").split()
+                for phrase in {f"{x} {y}" for x, y in zip(ws, ws[1:], strict=False) if x in lexicon or y in lexicon}:
+                    seen.setdefault(phrase, [0, 0])[1 - toxic] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([x[0] for x in seen.values()], pa.int64()), pa.array([x[1] for x in seen.values()], pa.int64())], ["phrase", "bad", "good"])
+
+    return run
+
+
+def harmless_phrases(rows: DataFrame, weights: dict[str, float], bad: int, good: int) -> tuple[str, ...]:
+    """Pairs of words that hold a lexicon word, and are no more frequent among the toxic rows than among the others."""
+    n = rows.mapInArrow(_phrase_docs(frozenset(weights)), "phrase string, bad long, good long").groupBy("phrase").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    lean = (F.col("bad") + 0.5) / F.lit(bad + 1.0) <= (F.col("good") + 0.5) / F.lit(good + 1.0)
+    top = n.where((F.col("good") >= MIN_HARMLESS) & lean).orderBy(F.desc("good"), "phrase").limit(PHRASES)
+    return tuple(sorted(r["phrase"] for r in top.collect()))
+
+
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, lexicon: int = LEXICON, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
     """Lexicon and curve from labelled rows that are not held out."""
     rows = _train_rows(docs, labels, train_rows)
@@ -140,7 +172,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, lexico
         return Model({}, (0.0, 0.0, 0.0, -4.0), exceptions)
     odds = {r["word"]: math.log((r["bad"] + 0.5) / (total["bad"] + 1)) - math.log((r["good"] + 0.5) / (total["good"] + 1)) for r in top if r["word"] is not None}
     best = sorted(((x, w) for w, x in odds.items() if x >= MIN_ODDS), reverse=True)[:lexicon]
-    model = Model({w: round(x, 6) for x, w in best}, (0.0, 0.0, 0.0, 0.0), exceptions)
+    weights = {w: round(x, 6) for x, w in best}
+    exceptions = tuple(sorted({*exceptions, *harmless_phrases(rows, weights, total["bad"], total["good"])}))
+    model = Model(weights, (0.0, 0.0, 0.0, 0.0), exceptions)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
