@@ -2,6 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept.
 ``run`` writes every stage as Parquet in the shared folder and reads it again.
+
+Defined cases, by stage: null, empty and short texts fail the quality rules and go;
+very long texts are single rows throughout; of near copies the least doc_id stays, of
+rows that share it that of greatest text, and rows with a null doc_id all stay; equal
+documents are mixed by number; an empty table passes every stage as such, an empty
+``benchmark`` cuts nothing, and empty ``labels`` leave the base rules alone to decide;
+extra columns of any name and type are kept, and the mixture's own two columns get a
+number if a column has their name.
 """
 
 from __future__ import annotations
@@ -10,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayspan.llm import decontam, mixing, neardup, pii, quality
 from wayspan.llm.common import table
-from wayspan.tables import settled
+from wayspan.tables import scope
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,5 +55,6 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = settled(stage(spark, docs, sf_dir))
+        with scope() as kept:  # a stage's own tables go with it
+            docs = kept.result(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -263,6 +263,18 @@ def nearest_cell(spark, sf_dir):
     return spatial.nearest_cell(q, c, 40, max_angle=90.0).select("q", "cell", F.col("d2").cast("long").alias("d2"))
 
 
+@query(
+    f"""WITH {POSITIONS}, {CELLS}, c AS (SELECT (cx * 100 + cy) * 10 + dir AS cell, cx * 25 + cos(radians(dir * 45.0::DOUBLE)) * 4 AS x, cy * 25 - sin(radians(dir * 45.0::DOUBLE)) * 4 AS y FROM cells_long GROUP BY cx, cy, dir),
+d AS (SELECT p.snapshot_key AS q, cell, (c.x - p.x) * (c.x - p.x) + (c.y - p.y) * (c.y - p.y) AS d2 FROM positions p JOIN c ON abs(c.x - p.x) <= 30 AND abs(c.y - p.y) <= 30)
+SELECT q, arg_min(cell, (round_even(d2, 6), cell)) AS cell, round_even(min(d2), 4) AS d2 FROM d WHERE d2 <= 900 GROUP BY ALL"""
+)
+def nearest_arrow(spark, sf_dir):
+    c = lenses.cells_long(spark, sf_dir).select("cx", "cy", "dir").distinct()
+    c = c.select(((F.col("cx") * 100 + F.col("cy")) * 10 + F.col("dir")).alias("cell"), (F.col("cx") * 25).alias("x"), (F.col("cy") * 25).alias("y"), (F.col("dir") * 45).alias("dir"))
+    q = lenses.positions(spark, sf_dir).select(F.col("snapshot_key").alias("q"), "x", "y")
+    return spatial.nearest_cell(q, c, 30, lane=4.0).select("q", "cell", X.round_half_even(F.col("d2"), 4).alias("d2"))
+
+
 @query("WITH d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem), s AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS m FROM orders) SELECT day, coalesce((SELECT max(m) FROM s WHERE m <= day), (SELECT min(m) FROM s)) AS static_date FROM d")
 def static_asof(spark, sf_dir):
     from .sources.stores import asof
@@ -456,7 +468,7 @@ UNION ALL SELECT route_id, unnest([a, m]), unnest([m, b]) FROM (SELECT route_id,
   (SELECT ch.route_id, ch.a, ch.b, p.i, round_even(sqrt(pow(p.x - s.x - t * (e.x - s.x), 2) + pow(p.y - s.y - t * (e.y - s.y), 2)), 6) AS off FROM ch JOIN v s ON s.route_id = ch.route_id AND s.i = ch.a JOIN v e ON e.route_id = ch.route_id AND e.i = ch.b
    JOIN v p ON p.route_id = ch.route_id AND p.i > ch.a AND p.i < ch.b, LATERAL (SELECT CASE WHEN s.x = e.x AND s.y = e.y THEN 0 ELSE greatest(0, least(1, ((p.x - s.x) * (e.x - s.x) + (p.y - s.y) * (e.y - s.y)) / (pow(e.x - s.x, 2) + pow(e.y - s.y, 2)))) END AS t) z) f
   GROUP BY route_id, a, b) WHERE off > 60)
-SELECT DISTINCT route_id, i, x, y FROM (SELECT route_id, unnest([a, b]) AS i FROM ch) JOIN v USING (route_id, i)"""
+SELECT DISTINCT route_id, CAST(i AS INTEGER) AS i, x, y FROM (SELECT route_id, unnest([a, b]) AS i FROM ch) JOIN v USING (route_id, i)"""
 )
 def douglas_peucker(spark, sf_dir):
     return polyline.simplify(_lines(spark, sf_dir), _LINE, 60.0).select("route_id", "i", "x", "y")

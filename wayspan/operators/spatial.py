@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import angle_between, round_half_even
+
 
 def site_buckets(sites: DataFrame, reach: int, bucket: float, x: str = "x", y: str = "y") -> DataFrame:
     """Sites with ``bx``, ``by`` of every bucket within ``reach``."""
@@ -96,10 +98,8 @@ def nearest_cell(queries: DataFrame, cells: DataFrame, radius: float, bucket: fl
     """(q, cell, d2): the nearest cell of each query (q, x, y and, for ``max_angle``, heading); cells: (cell, x, y, dir).
 
     With ``lane`` metres a cell counts where its arrow is drawn: beside its place, to the
-    right of its heading.
+    right of its heading; squared distances are then rounded to six decimals.
     """
-    from ..functions.expr import angle_between
-
     if lane:
         turn = F.radians(F.col("dir").cast("double"))
         cells = cells.withColumns({"x": F.col("x") + F.cos(turn) * lane, "y": F.col("y") - F.sin(turn) * lane})
@@ -108,5 +108,6 @@ def nearest_cell(queries: DataFrame, cells: DataFrame, radius: float, bucket: fl
     if max_angle is not None:
         close = ok
         ok = lambda s: close(s) & (F.col("heading").isNull() | (angle_between(F.col("heading").cast("double"), s["dir"].cast("double")) <= max_angle))
-    ranked = F.transform(F.filter("sites", ok), lambda s: F.struct(squared(F.col("x"), F.col("y"), s["x"], s["y"]).alias("d2"), s["cell"].alias("cell")))
+    d2 = lambda s: squared(F.col("x"), F.col("y"), s["x"], s["y"])
+    ranked = F.transform(F.filter("sites", ok), lambda s: F.struct((round_half_even(d2(s), 6) if lane else d2(s)).alias("d2"), s["cell"].alias("cell")))
     return j.select("q", F.array_min(ranked).alias("best")).where("best is not null").select("q", "best.cell", "best.d2")
