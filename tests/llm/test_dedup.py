@@ -196,8 +196,10 @@ def test_near_classes(docs, docs_rows):
     assert (None, None) in got
 
 
-def test_near_classes_large_group(frame):
-    """A group of near copies around a text, beyond the small buckets: no link between classes is lost."""
+@pytest.mark.parametrize("block", [neardup.BLOCK, 30])
+def test_near_classes_large_group(frame, monkeypatch, block):
+    """A group of near copies around a text, beyond the small buckets: no link between classes is lost, in one block or several."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rng = random.Random(8)
     words = [f"w{rng.randrange(10**6)}" for _ in range(80)]
     rows = []

@@ -42,6 +42,43 @@ def test_quality(spark, docs, docs_rows):
     assert all(not r.kept for r in out if r.base_failed)
 
 
+def thue_morse(n, x, y):
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join((x, y)[b] for b in bits), "".join((y, x)[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 4096, 8192])
+def test_lines_and_words_that_weak_hashes_confuse(spark, frame, n):
+    """A Thue-Morse string and its complement are two lines, two words and two items' words."""
+    a, b = thue_morse(n, "a", "b")
+    rows = [(1, f"{a}\n{b}"), (2, f"{a}\n{b}\n{a}"), (3, f"{a} {b} {a} x {b} {b} {a} x {a} {b} {a}"), (4, b)]
+    zero = np.zeros(quality.BUCKETS)
+    got = sorted(((r.doc_id, *r[1:7]) for r in quality.judge(frame(rows), zero).collect()))
+    assert got == [(i, *brute.quality(t)) for i, t in rows]
+    bench = [(1, a), (2, f"{a} {a} {b}")]
+    assert sorted(tuple(r) for r in decontam.contamination(frame(rows), items(spark, bench)).collect()) == sorted(brute.contamination(rows, bench))
+
+
+def test_very_long_texts(spark, frame):
+    """Some megabytes in one row, in each of the operators that read a text at once."""
+    import random
+
+    rng = random.Random(1)
+    long = prose(rng, 300_000) + " you idiot\n" + "x" * 1_500_000 + " " + "one two " * 50_000
+    docs = frame([(1, long), (2, "short one"), (3, long + " more")])
+    assert len(long.encode()) > 3_000_000
+    q = {r.doc_id: r for r in quality.judge(docs, np.zeros(quality.BUCKETS)).collect()}
+    assert (q[1].n_words, q[1].word_chars, q[1].n_symbols) == brute.quality(long)[:3]
+    m = toxicity.Model({"idiot": 3.0}, (1.0, 1.0, 1.0, -3.0))
+    assert {r.doc_id: r.n_matches for r in toxicity.score(docs, m).collect()} == {1: 1, 2: 0, 3: 1}
+    from wayspan.llm import neardup, substrings
+
+    assert {r.doc_id: r.class_id for r in neardup.classes(docs).collect()} == {1: 1, 2: 2, 3: 1}
+    cut = {r.doc_id: r for r in substrings.dedup(docs).collect()}
+    assert cut[3].n_removed >= len(long.encode()) and cut[1].n_removed == 0
+    assert {r.doc_id: r.taken for r in mixing.mixture(docs.where("doc_id < 3")).collect()}[2] <= 4
+
+
 def test_quality_verdict(spark, frame):
     import random
 

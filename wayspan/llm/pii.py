@@ -78,6 +78,7 @@ _HIDDEN = re.compile(f"[{INVISIBLE}]+")
 _L = "A-Za-zÀ-ÖØ-öø-ÿ"
 _NUMERAL = "|".join(sorted(NUMERALS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<![{_L}])(?:{_NUMERAL})(?:[\s,-]+(?:{_NUMERAL}|[0-9])(?![{_L}]))+", re.IGNORECASE)
+_NAMES = frozenset(NUMERALS)
 _ONE = re.compile(rf"({_NUMERAL})|[0-9]", re.IGNORECASE)
 _PLUS = re.compile(rf"(?<![{_L}0-9])(?<![0-9][ \t])(?:{'|'.join(PLUS)})[ \t]+(?=[0-9])", re.IGNORECASE)
 #: Numbers with letters that look like 0 and 1.
@@ -209,14 +210,15 @@ class Tape:
 
 
 def disguised(text: str) -> bool:
+    """Whether any transducer may find something; cheap tests first."""
     low = text if text.islower() else text.lower()
     if not text.isascii() and _ODD.search(text):
         return True
-    if any(h in low for h in _HINT_FAST) and _HINT.search(low) or _NUM_HINT.search(low):
+    if any(h in low for h in _HINT_FAST) and _HINT.search(low):
         return True
-    if any(x in low for x in PLUS) and _PLUS.search(text):
+    if not _NAMES.isdisjoint(low.replace(",", " ").replace("-", " ").split()) and _NUM_HINT.search(low):
         return True
-    if any(not x.replace(".", "").isdigit() for x in _LETTERED.findall(text)):
+    if _DIGIT.search(text) and (any(x in low for x in PLUS) and _PLUS.search(text) or any(not x.replace(".", "").isdigit() for x in _LETTERED.findall(text))):
         return True
     return (" at" in low or "\tat" in low) and bool(_AT_PLAIN.search(low))
 
