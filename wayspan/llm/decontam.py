@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..tables import scratch, settled
+from ..tables import scope, scratch, settled
 from . import textvec as tv
 
 WINDOW = 10
@@ -248,15 +248,17 @@ def _build(folder: str, window: int):
 def automata(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> list[str]:
     """Files of the automata; the driver gets their names alone."""
     spark = benchmark.sparkSession
+    folder = scratch(spark, "automata")
     schema = StructType([StructField("item_id", benchmark.schema["item_id"].dataType), StructField("words", StringType()), StructField("n", LongType())])
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-    pieces = settled(items.mapInArrow(_pieces(window, max(1, max_words // 8)), schema).distinct())
-    parts = -(-(pieces.agg(F.sum("n")).first()[0] or 0) // max_words)
-    if not parts:
-        return []
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("item_id", "words"), F.lit(parts))).repartition(parts, "part").sortWithinPartitions("part")
-    built = dealt.select("part", "item_id", "words").mapInArrow(_build(scratch(spark, "automata"), window), "path string")
-    return sorted(r[0] for r in built.collect())
+    with scope():
+        pieces = settled(items.mapInArrow(_pieces(window, max(1, max_words // 8)), schema).distinct())
+        parts = -(-(pieces.agg(F.sum("n")).first()[0] or 0) // max_words)
+        if not parts:
+            return []
+        dealt = pieces.withColumn("part", F.pmod(F.xxhash64("item_id", "words"), F.lit(parts))).repartition(parts, "part").sortWithinPartitions("part")
+        built = dealt.select("part", "item_id", "words").mapInArrow(_build(folder, window), "path string")
+        return sorted(r[0] for r in built.collect())
 
 
 _loaded: dict[str, Automaton] = {}

@@ -5,10 +5,12 @@ An URL is a possible hit if its block has all its bits; possible hits meet the
 list in a hash join on the canonical URL, which removes the false positives.
 All of it is DataFrame operations.
 
-Defined cases: an URL that is null or has no ``://`` has empty host and path,
-fits no rule and is allowed; an empty list blocks nothing; repeated rows are
-judged alike, each by itself; an empty table gives an empty result; extra columns
-are ignored.
+Defined cases: an URL that is null, empty or has no ``://`` has empty host and path,
+fits no rule and is allowed; a very long one is judged whole; of rules that fit the
+longest wins, of equally long ones the first; an empty list blocks nothing; a list so
+long that the filter of ``MAX_BLOCKS`` saturates sends more URLs to the exact join, with
+the same result; repeated rows are judged alike, each by itself; an empty table gives
+an empty result; extra columns of any name and type are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..tables import settled
+from ..tables import scope, settled
 from .common import ascii_lower
 
 #: Bits for each listed URL, and the most blocks (of 32 bytes) that are broadcast: 32 MB.
@@ -114,8 +116,9 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     p = p.withColumns({"rule": rule.cast("string"), "allow": allow.cast("boolean")})
     p = p.withColumn("key", F.when(F.col("rule").isNull() & (F.col("host") != ""), canonical(F.col("host"), F.col("path"))))
     # both settled: the list is counted and read again, and the join with all pages can split an URL that many share
-    found = settled(listed_hits(p.where("key is not null").select("key"), settled(listed))).withColumn("listed", F.lit(True))
-    out = p.join(found, "key", "left")
+    with scope() as kept:
+        found = kept.result(listed_hits(p.where("key is not null").select("key"), settled(listed)))
+    out = p.join(found.withColumn("listed", F.lit(True)), "key", "left")
     verdict = F.when(F.coalesce("allow", F.col("listed").isNull()), "allow").otherwise("block")
     return out.select(F.col("page_id"), "host", "path", "rule", verdict.alias("verdict"))
 
