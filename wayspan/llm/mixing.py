@@ -126,19 +126,19 @@ def _ends(sums: DataFrame, state: DataFrame) -> DataFrame:
 
 def quotas(sized: DataFrame, docs_per_block: int = DOCS_PER_BLOCK, step_bits: int = STEP_BITS) -> DataFrame:
     """A row for each source: source_size, target, bits, rounds, ``last`` (the block in which its quota ends) and ``chosen`` (hashes of documents taken there)."""
-    top = settled(sized.groupBy("source", _leading(F.col("h"), F.lit(step_bits)).alias("top")).agg(F.sum("size").alias("words"), F.count("*").alias("n")))
+    top = settled(sized.groupBy("source", _leading(F.col("h"), F.lit(step_bits)).alias("top")).agg(F.sum("size").alias("words"), F.count("*").alias("n")).coalesce(8))
     by_source = top.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("n").alias("n"))
     goal = targets(by_source.select("source", "source_size")).withColumnRenamed("source", "s").drop("source_size")
     q = by_source.join(goal, _same("s", "source")).drop("s")
     bits = F.floor(F.log2(F.greatest(F.lit(1.0), F.col("n") / F.lit(docs_per_block)))).cast("int")
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     q = q.withColumns({"bits": bits, "rounds": rounds}).withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size"))
-    q = settled(q.drop("n"))
+    q = settled(q.drop("n").coalesce(1))  # a row for each source: one file
     depth, most = step_bits, q.agg(F.max("bits")).first()[0] or 0
     upto = lambda d: F.least(F.col("bits"), F.lit(d))
     first = top.join(q.select(F.col("source").alias("s"), "bits"), _same("s", "source"))
     node = F.call_function("shiftrightunsigned", F.col("top"), (F.lit(step_bits) - upto(depth)).cast("int"))
-    state = settled(_ends(first.groupBy("source", node.alias("node")).agg(F.sum("words").alias("words")), q))
+    state = settled(_ends(first.groupBy("source", node.alias("node")).agg(F.sum("words").alias("words")), q).coalesce(1))
 
     def inside(d: int) -> DataFrame:
         """Documents of each source's group so far."""
@@ -147,7 +147,7 @@ def quotas(sized: DataFrame, docs_per_block: int = DOCS_PER_BLOCK, step_bits: in
 
     while depth < most:  # 2**10 times the documents are one step more
         deeper = inside(depth).withColumn("node", _leading(F.col("h"), upto(depth + step_bits)))
-        state = settled(_ends(deeper.groupBy("source", "node").agg(F.sum("size").alias("words")), state))
+        state = settled(_ends(deeper.groupBy("source", "node").agg(F.sum("size").alias("words")), state).coalesce(1))
         depth += step_bits
     # the documents of the last block, in order, each taken if it still fits
     block = inside(max(depth, most)).groupBy("source", "node").agg(F.first("rest").alias("rest"), F.array_sort(F.collect_list(F.struct("h", "size"))).alias("docs"))
@@ -230,7 +230,7 @@ def split(plan: DataFrame, levels: int = LEVELS) -> DataFrame:
 
 def planned(sized: DataFrame, levels: int = LEVELS) -> DataFrame:
     """A row for each source: its quota, and the bounds of the shards in its permuted copies."""
-    q = settled(quotas(sized))
+    q = settled(quotas(sized).coalesce(1))
     copies = F.col("rounds") * F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")) + F.col("last") + (F.size("chosen") > 0).cast("long")
     b = split(q.select("source", copies.alias("copies")), levels).withColumnRenamed("source", "s")
     return q.join(b, _same("s", "source")).drop("s")
@@ -255,7 +255,7 @@ def mixture(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """
     with scope() as kept:
         sized = settled(numbered(settled(_keyed(docs, F.col("doc_id").cast("long").alias("doc_id")))))
-        out = drawn(sized, settled(planned(sized, levels)))
+        out = drawn(sized, settled(planned(sized, levels).coalesce(1)))
         return kept.result(out.select("doc_id", "size", "source_size", "target", (F.size("shards") * F.col("size")).alias("taken"), F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards")))
 
 
@@ -263,7 +263,7 @@ def mix(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """The mixed corpus: a row for each copy taken, with all columns of ``docs``, ``__shard`` and ``__order`` within it."""
     with scope() as kept:
         sized = settled(numbered(settled(_keyed(docs))))
-        plan = kept.result(planned(sized, levels))
+        plan = kept.result(planned(sized, levels).coalesce(1))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     t = drawn(numbered(_keyed(docs, row)), plan).select("row", "h", F.posexplode("shards").alias("copy", "shard"))
     names = free_name("__shard", docs.columns), free_name("__order", docs.columns)
