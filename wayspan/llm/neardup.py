@@ -342,14 +342,19 @@ def labels_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return known.unionByName(joined.join(labels.select("node"), "node", "left_anti").select("node", F.col("top").alias("label")))
 
 
+def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Signatures (doc_id, k, filled, bands) of all rows, and (k, node, class_id) of the distinct texts with words."""
+    sig = settled(signatures(docs))
+    nodes = settled(distinct_texts(sig))
+    label = labels_of(docs, nodes)
+    # settled, so that the join with all rows can split a text that a third of them share
+    return sig, settled(nodes.select("k", "node").join(label, "node", "left").select("k", "node", F.coalesce("label", "node").alias("class_id")))
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, class_id (least doc_id of its class), copy_of (least doc_id with the same text)."""
     with scope() as kept:
-        sig = settled(signatures(docs))
-        nodes = settled(distinct_texts(sig))
-        label = labels_of(docs, nodes)
-        # settled, so that the join with all rows can split a text that a third of them share
-        texts = settled(nodes.select("k", "node").join(label, "node", "left").select("k", "node", F.coalesce("label", "node").alias("class_id")))
+        sig, texts = _named(docs)
         out = sig.select("doc_id", "k").join(texts, "k", "left")
         known = F.col("doc_id").isNotNull()
         return kept.result(out.select("doc_id", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(known, F.coalesce("node", "doc_id")).alias("copy_of")))
@@ -359,12 +364,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each class, that of least doc_id, with all columns; rows with a null id stay.
 
     Of rows that share this doc_id the one of greatest text stays, of equal texts that
-    of the greatest digest over all columns.
+    of the greatest digest over all columns.  Only such rows are grouped.
     """
     with scope() as kept:
-        first = kept.result(classes(docs).where("doc_id = class_id").select("doc_id").distinct())
+        sig, texts = _named(docs)
+        # a class is kept by its least id; a text without words is alone
+        first = texts.where("node = class_id").select(F.col("node").alias("doc_id")).unionByName(sig.where("not filled and doc_id is not null").select("doc_id")).distinct()
+        many = sig.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+        once, more = kept.result(first.join(many, "doc_id", "left_anti")), kept.result(first.join(many, "doc_id", "left_semi"))
+
+    def of(ids: DataFrame) -> DataFrame:
+        return docs.alias("d").join(ids.alias("f"), F.col("d.doc_id").cast("long") == F.col("f.doc_id"), "left_semi")
+
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.alias("d").join(first.alias("f"), F.col("d.doc_id").cast("long") == F.col("f.doc_id"), "left_semi")
     order = F.struct(F.col("text"), F.sha2(F.to_json(whole), 256))
-    one = rows.groupBy(F.col("doc_id").alias("key")).agg(F.max_by(whole, order).alias("row"))
-    return one.select("row.*").unionByName(docs.where("doc_id is null"))
+    one = of(more).groupBy(F.col("doc_id").alias("key")).agg(F.max_by(whole, order).alias("row"))
+    return of(once).unionByName(one.select("row.*")).unionByName(docs.where("doc_id is null"))
