@@ -633,11 +633,14 @@ def line_slice(spark, sf_dir):
     f"""WITH {CELLS}, t AS (SELECT kmh, greatest(0, least(1, (kmh - 5.0::DOUBLE) / 30)) AS t, count(*) AS n FROM cells_long GROUP BY ALL),
 s AS (SELECT *, CASE WHEN t <= 0.5 THEN t / 0.5::DOUBLE ELSE (t - 0.5::DOUBLE) / 0.5::DOUBLE END AS f FROM t)
 SELECT kmh, n, CASE WHEN t <= 0.5 THEN printf('#%02x%02x%02x', CAST(round_even(214 + f * 26, 0) AS INTEGER), CAST(round_even(40 + f * 126, 0) AS INTEGER), CAST(round_even(40 + f * -8, 0) AS INTEGER))
-ELSE printf('#%02x%02x%02x', CAST(round_even(240 + f * -194, 0) AS INTEGER), CAST(round_even(166 + f * -8, 0) AS INTEGER), CAST(round_even(32 + f * 42, 0) AS INTEGER)) END AS colour FROM s"""
+ELSE printf('#%02x%02x%02x', CAST(round_even(240 + f * -194, 0) AS INTEGER), CAST(round_even(166 + f * -8, 0) AS INTEGER), CAST(round_even(32 + f * 42, 0) AS INTEGER)) END AS colour,
+CASE WHEN t >= 0.5 THEN printf('#%02x%02x%02x', CAST(round_even(214 + (1 - t) / 0.5::DOUBLE * 26, 0) AS INTEGER), CAST(round_even(40 + (1 - t) / 0.5::DOUBLE * 126, 0) AS INTEGER), CAST(round_even(40 + (1 - t) / 0.5::DOUBLE * -8, 0) AS INTEGER))
+ELSE printf('#%02x%02x%02x', CAST(round_even(240 + (0.5::DOUBLE - t) / 0.5::DOUBLE * -194, 0) AS INTEGER), CAST(round_even(166 + (0.5::DOUBLE - t) / 0.5::DOUBLE * -8, 0) AS INTEGER), CAST(round_even(32 + (0.5::DOUBLE - t) / 0.5::DOUBLE * 42, 0) AS INTEGER)) END AS inverse FROM s"""
 )
 def colour_scale(spark, sf_dir):
     c = lenses.cells_long(spark, sf_dir).groupBy("kmh").agg(F.count("*").alias("n"))
-    return c.select("kmh", "n", X.ramp_colour(X.clamp01(F.col("kmh").cast("double"), 5.0, 35.0)).alias("colour"))
+    t = X.clamp01(F.col("kmh").cast("double"), 5.0, 35.0)
+    return c.select("kmh", "n", X.ramp_colour(t).alias("colour"), X.ramp_colour(t, invert=True).alias("inverse"))
 
 
 @query(
@@ -744,6 +747,34 @@ def depot_mask(spark, sf_dir):
     return payload.masked_cells(c, [(281000.0, 5517000.0, 4321.0), (285000.0, 5525000.0, 3333.0)]).select("cx", "cy")
 
 
+@query(f"SELECT * FROM ({SQL['published_cells']}) WHERE lat BETWEEN 4.3::DOUBLE AND 12.7::DOUBLE AND lon BETWEEN 2.2::DOUBLE AND 10.8::DOUBLE AND rel IS NOT NULL")
+def viewport_cells(spark, sf_dir):
+    from .plans.api import Transit
+
+    return Transit.viewport(published_cells(spark, sf_dir), 5.0, 3.0, 12.0, 10.0, "rel")
+
+
+@dataclass
+class _Lines:
+    paths: DataFrame
+    stops: DataFrame
+    stop_dist: DataFrame
+    shape_points: DataFrame
+
+
+@query(f"WITH {LINES} SELECT cu.route_id, CAST(i AS INTEGER) AS i, x, y, round_even(cum * CASE WHEN route_id % 3 = 0 THEN 2 ELSE 1 END, 3) AS cum FROM cu")
+def route_lines(spark, sf_dir):
+    """Every third route has a shape of its own, twice as long as the chain of its stops; the others are chained."""
+    from .plans.api import route_lines as lines
+
+    s, line = lenses.stops(spark, sf_dir), _lines(spark, sf_dir)
+    shaped = line.where("route_id % 3 = 0").withColumn("cum", F.col("cum") * 2)
+    paths = s.select("route_id", F.lit("0").alias("direction"), F.col("k").cast("int").alias("k"), "stop_id")
+    places = s.select("stop_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    points, _ = lines(_Lines(paths, places, shaped.select(*_LINE, F.col("i").cast("int").alias("k"), F.col("cum").alias("dist_m")), shaped.withColumn("i", F.col("i").cast("int"))))
+    return points.select("route_id", "i", "x", "y", X.round_half_even(F.col("cum"), 3).alias("cum"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean speed by cell and heading, where there are enough samples."""
     return cell_speeds(spark, sf_dir)

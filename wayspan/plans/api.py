@@ -32,7 +32,8 @@ class Transit:
         """All metrics of a selection's cells, the busiest last."""
         return self.published.cells.where(F.col("key") == self._key(month, daytype, hour)).orderBy("n", "cx", "cy", "grp")
 
-    def viewport(self, cells: DataFrame, south: float, west: float, north: float, east: float, metric: str = "v", pad: float = 0.1) -> DataFrame:
+    @staticmethod
+    def viewport(cells: DataFrame, south: float, west: float, north: float, east: float, metric: str = "v", pad: float = 0.1) -> DataFrame:
         """Cells with a value inside the padded bounds."""
         dy, dx = (north - south) * pad, (east - west) * pad
         return cells.where(F.col("lat").between(south - dy, north + dy) & F.col("lon").between(west - dx, east + dx) & F.col(metric).isNotNull())
