@@ -379,4 +379,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     order = F.struct(F.col("text"), F.sha2(F.to_json(whole), 256))
     one = of(more).groupBy(F.col("doc_id").alias("key")).agg(F.max_by(whole, order).alias("row"))
-    return of(once).unionByName(one.select("row.*")).unionByName(docs.where("doc_id is null"))
+    # by the same plan at any size
+    return of(once.hint("merge")).unionByName(one.select("row.*")).unionByName(docs.where("doc_id is null"))
