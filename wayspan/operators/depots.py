@@ -21,13 +21,13 @@ def slow_cells(cells: DataFrame, max_kmh: float, min_samples: int, min_hours: in
     return c.where((F.col("kmh") <= max_kmh) & (F.col("n") >= min_samples) & (F.col("slow_hours") >= min_hours)).drop("sum_lat", "sum_lon")
 
 
-def unshielded(candidates: DataFrame, stops: DataFrame, radius: float, keys: list[str], bucket: float = 100.0) -> DataFrame:
+def unshielded(candidates: DataFrame, stops: DataFrame, radius: float, keys: list[str]) -> DataFrame:
     """Candidates (keys, x, y) without those whose nearest stop within ``radius`` is no terminal of any pattern.
 
     stops: stop_id, x, y, is_terminal.
     """
     s = stops.groupBy("stop_id").agg(F.first("x").alias("x"), F.first("y").alias("y"), F.max("is_terminal").alias("is_terminal"))
-    hit = nearest(candidates, s, radius, keys, "stop_id", None, bucket, strict=True)
+    hit = nearest(candidates, s, radius, keys, "stop_id", strict=True)
     return candidates.join(hit.where(~F.col("site.is_terminal")).select(*keys), keys, "left_anti")
 
 
@@ -77,5 +77,5 @@ def discover(cells: DataFrame, stops: DataFrame, p: Params = DEFAULTS) -> DataFr
 
     c = slow_cells(cells, p.depot_max_kmh, p.depot_min_samples, p.depot_min_hours)
     x, y = project_xy(F.col("lon"), F.col("lat"))
-    c = unshielded(c.withColumns({"x": x, "y": y}), stops, p.depot_min_dist_to_stop_m, ["cx", "cy"], p.stop_bucket_m)
+    c = unshielded(c.withColumns({"x": x, "y": y}), stops, p.depot_min_dist_to_stop_m, ["cx", "cy"])
     return cluster_stats(clusters(c, p.depot_link_cells), p.depot_pad_m)

@@ -72,17 +72,21 @@ def beside(points: DataFrame, packs: DataFrame, keys: list[str], bucket: float,
     return p.join(packs, on, how).drop("__bx", "__by", "bx", "by", *[f"site_{k}" for k in keys])
 
 
-def nearest(points: DataFrame, sites: DataFrame, radius: float, point_key: list[str], site_key: str, keys: list[str] | None = None, bucket: float = 100.0, strict: bool = True) -> DataFrame:
+def nearest(points: DataFrame, sites: DataFrame, radius: float, point_key: list[str], site_key: str, keys: list[str] | None = None, bucket: float | None = None, strict: bool = True) -> DataFrame:
     """(point_key, site): the nearest site of each point that has any within ``radius``, with ``d2``; of equally near ones the least ``site_key``.
 
-    The minimum is taken in the point's row, so points are neither multiplied nor shuffled.
+    The minimum is taken in the point's row, so points are neither multiplied nor
+    shuffled.  Sites within a quarter of the radius are looked at first, in buckets of
+    that width; only where there is none those of the larger buckets, half a radius wide
+    unless given.
     """
-    keys = keys or []
-    j = beside(points, packed(sites, keys, math.ceil(radius / bucket), bucket), keys, bucket)
+    keys, bucket, close = keys or [], bucket or radius / 2, radius / 4
     d2 = lambda s: squared(F.col("x"), F.col("y"), s["x"], s["y"])
-    near_ = lambda s: d2(s) < radius * radius if strict else d2(s) <= radius * radius
-    ranked = F.transform(F.filter("sites", near_), lambda s: F.struct(d2(s).alias("d2"), s[site_key].alias("key"), s.alias("site")))
-    best = j.select(*point_key, F.array_min(ranked).alias("best")).where("best is not null")
+    least = lambda c: F.array_min(F.transform(c, lambda s: F.struct(d2(s).alias("d2"), s[site_key].alias("key"), s.alias("site"))))
+    j = beside(points, packed(sites, keys, 1, close), keys, close, "left").withColumn("__near", least("sites")).drop("sites")
+    j = beside(j, packed(sites, keys, math.ceil(radius / bucket), bucket), keys, bucket)
+    best = j.select(*point_key, F.when(F.col("__near.d2") <= close * close, F.col("__near")).otherwise(least("sites")).alias("best"))
+    best = best.where(F.col("best.d2") < radius * radius if strict else F.col("best.d2") <= radius * radius)
     return best.select(*point_key, F.struct(*[F.col(f"best.site.{c}").alias(c) for c in sites.columns], F.col("best.d2").alias("d2")).alias("site"))
 
 
@@ -94,20 +98,21 @@ def in_zone(x: Column, y: Column, zones: list[tuple[float, float, float]]) -> Co
     return F.exists(z, lambda c: squared(x, y, c["x"], c["y"]) <= c["r2"])
 
 
-def nearest_cell(queries: DataFrame, cells: DataFrame, radius: float, bucket: float = 100.0, max_angle: float | None = None, lane: float = 0.0) -> DataFrame:
+def nearest_cell(queries: DataFrame, cells: DataFrame, radius: float, bucket: float | None = None, max_angle: float | None = None, lane: float = 0.0) -> DataFrame:
     """(q, cell, d2): the nearest cell of each query (q, x, y and, for ``max_angle``, heading); cells: (cell, x, y, dir).
 
     With ``lane`` metres a cell counts where its arrow is drawn: beside its place, to the
-    right of its heading; squared distances are then rounded to six decimals.
+    right of its heading; squared distances are then rounded to six decimals.  Buckets
+    are half a radius wide unless given.
     """
+    bucket = bucket or radius / 2
     if lane:
         turn = F.radians(F.col("dir").cast("double"))
         cells = cells.withColumns({"x": F.col("x") + F.cos(turn) * lane, "y": F.col("y") - F.sin(turn) * lane})
     j = beside(queries, packed(cells, [], math.ceil(radius / bucket), bucket), [], bucket)
-    ok = lambda s: squared(F.col("x"), F.col("y"), s["x"], s["y"]) <= radius * radius
+    sites = F.col("sites")
     if max_angle is not None:
-        close = ok
-        ok = lambda s: close(s) & (F.col("heading").isNull() | (angle_between(F.col("heading").cast("double"), s["dir"].cast("double")) <= max_angle))
+        sites = F.filter(sites, lambda s: F.col("heading").isNull() | (angle_between(F.col("heading").cast("double"), s["dir"].cast("double")) <= max_angle))
     d2 = lambda s: squared(F.col("x"), F.col("y"), s["x"], s["y"])
-    ranked = F.transform(F.filter("sites", ok), lambda s: F.struct((round_half_even(d2(s), 6) if lane else d2(s)).alias("d2"), s["cell"].alias("cell")))
-    return j.select("q", F.array_min(ranked).alias("best")).where("best is not null").select("q", "best.cell", "best.d2")
+    ranked = F.transform(sites, lambda s: F.struct((round_half_even(d2(s), 6) if lane else d2(s)).alias("d2"), s["cell"].alias("cell")))
+    return j.select("q", F.array_min(ranked).alias("best")).where(F.col("best.d2") <= radius * radius).select("q", "best.cell", "best.d2")

@@ -43,7 +43,7 @@ class Transit:
         x, y = project_xy(F.col("lon"), F.col("lat"))
         c = self.speed_cells(month, daytype, hour).withColumns({"x": x, "y": y, "cell": F.struct("cx", "cy", "grp")})
         q = self.spark.createDataFrame([(0, lat, lon, heading)], "q int, lat double, lon double, heading double").withColumns({"x": x, "y": y})
-        hit = spatial.nearest_cell(q, c.select("cell", "x", "y", "dir"), radius, self.p.stop_bucket_m, 90.0).select("cell")
+        hit = spatial.nearest_cell(q, c.select("cell", "x", "y", "dir"), radius, max_angle=90.0).select("cell")
         month, daytype = self._key(month, daytype, hour).rsplit("-", 2)[:2]
         prof = self.published.profiles.where(F.col("key") == profile_key(F.lit(month), F.lit(daytype)))
         prof = prof.select(F.struct("cx", "cy", F.col("dir").alias("grp")).alias("cell"), "q")
@@ -54,7 +54,7 @@ class Transit:
         x, y = project_xy(F.col("lon"), F.col("lat"))
         c = self.speed_cells(month, daytype, hour).withColumns({"x": x, "y": y, "cell": F.struct("cx", "cy", "grp")})
         q = self.spark.createDataFrame([(0, lat, lon)], "q int, lat double, lon double").withColumns({"x": x, "y": y})
-        hit = spatial.nearest_cell(q, c.select("cell", "x", "y", "dir"), radius, self.p.stop_bucket_m, lane=lane).select("cell")
+        hit = spatial.nearest_cell(q, c.select("cell", "x", "y", "dir"), radius, lane=lane).select("cell")
         return c.join(hit, "cell", "left_semi").drop("cell", "x", "y")
 
     def nearest_hour(self, hour: int | None = None) -> int | None:
