@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from wayspan.operators import polyline as pl
 
 CORNER = [(0, 0), (500, 0), (1000, 0), (1000, 1000)]
+TWO_WAYS = [((26, 383), (83, 159)), ((127, 444), (171, 112)), ((251, 468), (215, 39)), ((335, 91), (313, 373))]
+BETWEEN = [(60, 248), (156, 226), (229, 201), (327, 193)]
 THERE_AND_BACK = [(0, 0), (1000, 0), (1000, 40), (0, 40)]
 
 
@@ -128,3 +130,17 @@ def test_match_is_the_cheapest_chain(seed):
     else:
         best = min(chains, key=lambda c: sum(off for _, off in c))
         assert got == pytest.approx(list(itertools.accumulate((a for a, _ in best), max)))
+
+
+def test_offsets_that_differ_in_their_last_bits_count_as_equal(spark, frame):
+    """A stretch that is driven there and, later, back is equally near both times, whatever the last bits say: the first comes first."""
+    line = []
+    for a, b in TWO_WAYS:
+        line += [a, b, (600, 600), b, a, (600, 600)]
+    segs = pl.segments(frame(line), ["r"])
+    asked = spark.createDataFrame([(q, float(x), float(y)) for q, (x, y) in enumerate(BETWEEN)], "q int, x double, y double")
+    got = {}
+    for r in pl.candidates(asked, segs, [], ["r"], 20, decimals=6).where("off < 0.5").orderBy("q", "rank").collect():
+        got.setdefault(r.q, []).append(r.along)
+    assert len(got) == len(BETWEEN)
+    assert all(len(places) == 2 and places == sorted(places) for places in got.values())

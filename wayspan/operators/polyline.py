@@ -35,7 +35,13 @@ def along_off(x: Column, y: Column, seg: Column | None = None) -> tuple[Column,
     dx, dy = bx - ax, by - ay
     len2 = dx * dx + dy * dy
     t = F.when(len2 == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide((x - ax) * dx + (y - ay) * dy, len2))))
-    return cum + t * F.sqrt(len2), F.hypot(x - (ax + t * dx), y - (ay + t * dy))
+    ox, oy = x - ax - t * dx, y - ay - t * dy
+    return cum + t * F.sqrt(len2), F.sqrt(ox * ox + oy * oy)
+
+
+def _equal_in(off: Column, decimals: int | None) -> Column:
+    """Offsets as they are compared: in so many decimals, or in full."""
+    return off if decimals is None else round_half_even(off, decimals)
 
 
 def project(queries: DataFrame, segs: DataFrame, keys: list[str], decimals: int | None = None) -> DataFrame:
@@ -50,7 +56,7 @@ def project(queries: DataFrame, segs: DataFrame, keys: list[str], decimals: int
 
     def place(s: Column) -> Column:
         along, off = along_off(x, y, s)
-        return F.struct((off if decimals is None else round_half_even(off, decimals)).alias("near"), s["i"].alias("i"), along.alias("along"), off.alias("off"))
+        return F.struct(_equal_in(off, decimals).alias("near"), s["i"].alias("i"), along.alias("along"), off.alias("off"))
 
     j = queries.join(lines, keys).select("q", *keys, F.array_min(F.transform("segs", place)).alias("p"))
     return j.select("q", *keys, "p.along", "p.off")
@@ -77,15 +83,18 @@ def offsets_within(queries: DataFrame, segs: DataFrame, on: list[str], max_off:
 def _beside(step: int, w) -> Column:
     """The offset of the neighbouring segment, null if that is too far away to be here (or not there at all)."""
     shift = F.lag if step < 0 else F.lead
-    return F.when(shift("i").over(w) == F.col("i") + step, shift("off").over(w))
+    return F.when(shift("i").over(w) == F.col("i") + step, shift("near").over(w))
 
 
-def candidates(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str], max_off: float, limit: int = 6) -> DataFrame:
-    """Local minima of the offset within ``max_off``, the nearest ``limit``: (q, keys, rank, along, off)."""
-    o = offsets_within(queries, segs, on, max_off)
+def candidates(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str], max_off: float, limit: int = 6, decimals: int | None = None) -> DataFrame:
+    """Local minima of the offset within ``max_off``, the nearest ``limit``: (q, keys, rank, along, off).
+
+    ``decimals`` are those in which offsets count as equal; of equal ones the first segment comes first.
+    """
+    o = offsets_within(queries, segs, on, max_off).withColumn("near", _equal_in(F.col("off"), decimals))
     w = W.partitionBy("q", *keys).orderBy("i")
-    low = F.coalesce(_beside(-1, w) >= F.col("off"), F.lit(True)) & F.coalesce(_beside(1, w) >= F.col("off"), F.lit(True))
-    rank = F.row_number().over(W.partitionBy("q", *keys).orderBy("off", "i"))
+    low = F.coalesce(_beside(-1, w) >= F.col("near"), F.lit(True)) & F.coalesce(_beside(1, w) >= F.col("near"), F.lit(True))
+    rank = F.row_number().over(W.partitionBy("q", *keys).orderBy("near", "i"))
     return o.withColumn("low", low).where("low").withColumn("rank", rank).where(F.col("rank") <= limit).select("q", *keys, "rank", "along", "off")
 
 
@@ -94,7 +103,7 @@ def passes(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str],
 
     A segment counts if it is not farther than the one before and nearer than the one after.
     """
-    o = offsets_within(queries, segs, on, max_off)
+    o = offsets_within(queries, segs, on, max_off).withColumn("near", F.col("off"))
     w = W.partitionBy("q", *keys).orderBy("i")
     falls = F.coalesce(F.col("off") <= _beside(-1, w), F.lit(True))
     rises = F.coalesce(_beside(1, w) > F.col("off"), F.lit(True))
