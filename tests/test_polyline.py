@@ -9,6 +9,7 @@ from wayspan.operators import polyline as pl
 CORNER = [(0, 0), (500, 0), (1000, 0), (1000, 1000)]
 TWO_WAYS = [((26, 383), (83, 159)), ((127, 444), (171, 112)), ((251, 468), (215, 39)), ((335, 91), (313, 373))]
 BETWEEN = [(60, 248), (156, 226), (229, 201), (327, 193)]
+EQUALLY_FAR = [[(474, 11), (418, 122), (331, 261), (213, 428)], [(259, 424), (266, 413), (289, 404), (466, 343)], [(55, 398), (72, 372), (79, 339), (83, 266)]]
 THERE_AND_BACK = [(0, 0), (1000, 0), (1000, 40), (0, 40)]
 
 
@@ -144,3 +145,17 @@ def test_offsets_that_differ_in_their_last_bits_count_as_equal(spark, frame):
         got.setdefault(r.q, []).append(r.along)
     assert len(got) == len(BETWEEN)
     assert all(len(places) == 2 and places == sorted(places) for places in got.values())
+
+
+def test_simplify_keeps_the_foremost_of_equally_far_vertices():
+    """Two vertices in line with their chord are equally far from it, whatever the last bits say."""
+    for line in EQUALLY_FAR:
+        tol = plain_off(line[1], line[0], line[3]) - 0.001
+        assert pl.simplify_indices(line, tol) == [0, 2, 3]
+        assert pl.simplify_indices(line, tol, 6) == [0, 1, 3]
+
+
+def plain_off(p, a, b):
+    dx, dy = b[0] - a[0], b[1] - a[1]
+    t = ((p[0] - a[0]) * dx + (p[1] - a[1]) * dy) / (dx * dx + dy * dy)
+    return math.hypot(p[0] - a[0] - t * dx, p[1] - a[1] - t * dy)

@@ -120,10 +120,11 @@ def to_chords(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndar
     return t, np.hypot(off[..., 0], off[..., 1])
 
 
-def simplify_indices(xy, tol: float) -> list[int]:
+def simplify_indices(xy, tol: float, decimals: int | None = None) -> list[int]:
     """Vertices that Douglas-Peucker keeps: of each stretch its ends, and the farthest vertex from their chord if farther than ``tol``.
 
-    All stretches of one depth are measured together.
+    All stretches of one depth are measured together.  ``decimals`` are those in which
+    distances count as equal; of equally far vertices the foremost is kept.
     """
     xy = np.asarray(xy, float).reshape(-1, 2)
     kept = np.zeros(len(xy), bool)
@@ -137,6 +138,8 @@ def simplify_indices(xy, tol: float) -> list[int]:
         live = open_[stretch]
         inner, stretch = inner[live], stretch[live]
         off = to_chords(xy[inner], xy[ends[stretch]], xy[ends[stretch + 1]])[1]
+        if decimals is not None:
+            off = off.round(decimals)
         first = np.lexsort((inner, -off, stretch))  # by stretch, the farthest and then the foremost first
         first = first[np.concatenate(([True], np.diff(stretch[first]) > 0))]
         new = inner[first[off[first] > tol]]
@@ -149,12 +152,12 @@ def simplify_indices(xy, tol: float) -> list[int]:
     return np.flatnonzero(kept).tolist()
 
 
-def simplify(points: DataFrame, keys: list[str], tol: float) -> DataFrame:
+def simplify(points: DataFrame, keys: list[str], tol: float, decimals: int | None = None) -> DataFrame:
     """The vertices that Douglas-Peucker keeps, a line at a time."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i", kind="stable")
-        return pdf.iloc[simplify_indices(pdf[["x", "y"]].to_numpy(), tol)]
+        return pdf.iloc[simplify_indices(pdf[["x", "y"]].to_numpy(), tol, decimals)]
 
     return points.groupBy(*keys).applyInPandas(run, points.schema)
 
