@@ -159,3 +159,21 @@ def plain_off(p, a, b):
     dx, dy = b[0] - a[0], b[1] - a[1]
     t = ((p[0] - a[0]) * dx + (p[1] - a[1]) * dy) / (dx * dx + dy * dy)
     return math.hypot(p[0] - a[0] - t * dx, p[1] - a[1] - t * dy)
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_a_pass_there_and_back_is_one(spark, frame, k):
+    """Turned round at once, a stretch is equally near both ways: one pass, on its last segment."""
+    (a, b), at = TWO_WAYS[k], BETWEEN[k]
+    line = [b, a, b]
+    segs = pl.segments(frame(line), ["r"])
+    length = math.dist(a, b)
+    want = [length + plain_t(at, a, b) * length]
+    assert [r.along for r in pl.passes(ask(spark, line, *at), segs, [], ["r"], 20, 6).collect()] == pytest.approx(want)
+    whole = [r.along for r in pl.passes(ask(spark, line, *at), segs, [], ["r"], 20).collect()]
+    assert len(whole) == 1 and whole != pytest.approx(want)
+
+
+def plain_t(p, a, b):
+    dx, dy = b[0] - a[0], b[1] - a[1]
+    return ((p[0] - a[0]) * dx + (p[1] - a[1]) * dy) / (dx * dx + dy * dy)

@@ -36,7 +36,7 @@ def along_off(x: Column, y: Column, seg: Column | None = None) -> tuple[Column,
     len2 = dx * dx + dy * dy
     t = F.when(len2 == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide((x - ax) * dx + (y - ay) * dy, len2))))
     ox, oy = x - ax - t * dx, y - ay - t * dy
-    return cum + t * F.sqrt(len2), F.sqrt(ox * ox + oy * oy)
+    return cum + t * F.sqrt(len2), F.sqrt(F.pow(ox, F.lit(2.0)) + F.pow(oy, F.lit(2.0)))
 
 
 def _equal_in(off: Column, decimals: int | None) -> Column:
@@ -98,16 +98,18 @@ def candidates(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[st
     return o.withColumn("low", low).where("low").withColumn("rank", rank).where(F.col("rank") <= limit).select("q", *keys, "rank", "along", "off")
 
 
-def passes(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str], max_off: float) -> DataFrame:
+def passes(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str], max_off: float, decimals: int | None = None) -> DataFrame:
     """One place for each pass of a line near a query; a plateau is one pass, its last segment.
 
-    A segment counts if it is not farther than the one before and nearer than the one after.
+    A segment counts if it is not farther than the one before and nearer than the one
+    after.  ``decimals`` are those in which offsets are compared, with ``max_off`` too.
     """
-    o = offsets_within(queries, segs, on, max_off).withColumn("near", F.col("off"))
+    slack = 0.0 if decimals is None else 10.0**-decimals
+    o = offsets_within(queries, segs, on, max_off + slack).withColumn("near", _equal_in(F.col("off"), decimals))
     w = W.partitionBy("q", *keys).orderBy("i")
-    falls = F.coalesce(F.col("off") <= _beside(-1, w), F.lit(True))
-    rises = F.coalesce(_beside(1, w) > F.col("off"), F.lit(True))
-    return o.withColumn("low", falls & rises).where("low").select("q", *keys, "along", "off")
+    falls = F.coalesce(F.col("near") <= _beside(-1, w), F.lit(True))
+    rises = F.coalesce(_beside(1, w) > F.col("near"), F.lit(True))
+    return o.withColumn("low", falls & rises).where(F.col("low") & (F.col("near") <= max_off)).select("q", *keys, "along", "off")
 
 
 def to_chords(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

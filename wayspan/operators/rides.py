@@ -131,8 +131,8 @@ def ride_pairs(queries: DataFrame, segs: DataFrame, p: Params = DEFAULTS) -> Dat
     Lines are a small dimension; the queries are the large side.
     """
     line = ["route_id", "direction"]
-    a = passes(queries.select("q", F.col("a_x").alias("x"), F.col("a_y").alias("y")), segs, [], line, p.ride_near_m)
-    b = passes(queries.select("q", F.col("b_x").alias("x"), F.col("b_y").alias("y")), segs, [], line, p.ride_near_m)
+    a = passes(queries.select("q", F.col("a_x").alias("x"), F.col("a_y").alias("y")), segs, [], line, p.ride_near_m, 6)
+    b = passes(queries.select("q", F.col("b_x").alias("x"), F.col("b_y").alias("y")), segs, [], line, p.ride_near_m, 6)
     # the shortest way to a place near B begins at the last place near A before it; at one place B comes first, so a way has length
     both = a.select("q", *line, "along", F.lit(1).alias("kind"), "off").unionByName(b.select("q", *line, "along", F.lit(0).alias("kind"), "off"))
     before = W.partitionBy("q", *line).orderBy("along", "kind").rowsBetween(W.unboundedPreceding, -1)
