@@ -6,6 +6,8 @@ by nature and run as grouped Arrow functions, a line at a time.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -47,19 +49,25 @@ def _equal_in(off: Column, decimals: int | None) -> Column:
 def project(queries: DataFrame, segs: DataFrame, keys: list[str], decimals: int | None = None) -> DataFrame:
     """(q, keys, along, off): the nearest place of each query (q, keys, x, y) on its line; of equally near ones the first segment.
 
-    A line's segments are one array, so a query meets its line once and the minimum is
-    taken in its row.  ``decimals`` are those in which offsets count as equal.
+    A line's segments are one array, so a place meets its line once and the minimum is
+    taken in its row.  Places that several queries share are looked at once, and so are
+    stretches that a line runs through again: of those the first is never farther.
+    ``decimals`` are those in which offsets count as equal.
     """
-    seg = F.struct("i", "ax", "ay", "bx", "by", "cum")
-    lines = segs.groupBy(*keys).agg(F.array_sort(F.collect_list(seg)).alias("segs"))
+    shape = ["ax", "ay", "bx", "by"]
+    first = segs.groupBy(*keys, *shape).agg(F.min(F.struct("i", "cum")).alias("first"))
+    seg = F.struct("first.i", *shape, "first.cum")
+    lines = first.groupBy(*keys).agg(F.array_sort(F.collect_list(seg)).alias("segs"))
     x, y = F.col("x"), F.col("y")
 
     def place(s: Column) -> Column:
         along, off = along_off(x, y, s)
         return F.struct(_equal_in(off, decimals).alias("near"), s["i"].alias("i"), along.alias("along"), off.alias("off"))
 
-    j = queries.join(lines, keys).select("q", *keys, F.array_min(F.transform("segs", place)).alias("p"))
-    return j.select("q", *keys, "p.along", "p.off")
+    here = [*keys, "x", "y"]
+    found = queries.select(*here).distinct().join(lines, keys).select(*[F.col(c).alias(f"__{c}") for c in here], F.array_min(F.transform("segs", place)).alias("p"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in here]
+    return queries.join(found, functools.reduce(Column.__and__, same)).select("q", *keys, "p.along", "p.off")
 
 
 def offsets_within(queries: DataFrame, segs: DataFrame, on: list[str], max_off: float) -> DataFrame:
