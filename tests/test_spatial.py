@@ -33,3 +33,21 @@ def test_nearest_cell_is_the_nearest(spark, max_angle):
         if ok and min(ok)[0] <= 1600:
             want[q] = min(ok)[::-1]
     assert {r.q: (r.cell, r.d2) for r in out.collect()} == want
+
+
+def test_nearest_looks_at_one_site_of_a_place(spark, monkeypatch):
+    """Many sites at few places: a point meets that of least key of each, and far ones only if there is no close one."""
+    met = []
+    packed = spatial.packed
+    monkeypatch.setattr(spatial, "packed", lambda sites, *a: met.append(sites.count()) or packed(sites, *a))
+    s = spark.range(8_000).selectExpr("id AS k", "id % 4 * 100.0D AS x", "0.0D AS y")
+    p = spark.range(2_000).selectExpr("id AS q", "id % 40 * 10.0D AS x", "IF(id % 2 = 0, 0.0D, 99.0D) AS y")
+    got = {r.q: (r.site.k, r.site.d2) for r in spatial.nearest(p, s, 100, ["q"], "k").collect()}
+    want = {}
+    for q in range(2_000):
+        x, y = q % 40 * 10, 0 if q % 2 == 0 else 99
+        d2, k = min(((x - k * 100) ** 2 + y * y, k) for k in range(4))
+        if d2 < 10_000:
+            want[q] = (k, d2)
+    assert got == want
+    assert met == [4, 4]

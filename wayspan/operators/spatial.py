@@ -76,16 +76,20 @@ def nearest(points: DataFrame, sites: DataFrame, radius: float, point_key: list[
     """(point_key, site): the nearest site of each point that has any within ``radius``, with ``d2``; of equally near ones the least ``site_key``.
 
     The minimum is taken in the point's row, so points are neither multiplied nor
-    shuffled.  Sites within a quarter of the radius are looked at first, in buckets of
-    that width; only where there is none those of the larger buckets, half a radius wide
-    unless given.
+    shuffled.  Of sites at one place only that of least ``site_key`` is looked at.  Sites
+    within a quarter of the radius come first, in buckets of that width; only points that
+    have none there meet those of the larger buckets, half a radius wide unless given.
     """
     keys, bucket, close = keys or [], bucket or radius / 2, radius / 4
+    whole = F.struct(*[F.col(c) for c in sites.columns])
+    sites = sites.groupBy(*[F.col(c).alias(f"__{c}") for c in [*keys, "x", "y"]]).agg(F.min(F.struct(F.col(site_key).alias("key"), whole.alias("site"))).alias("first")).select("first.site.*")
     d2 = lambda s: squared(F.col("x"), F.col("y"), s["x"], s["y"])
     least = lambda c: F.array_min(F.transform(c, lambda s: F.struct(d2(s).alias("d2"), s[site_key].alias("key"), s.alias("site"))))
     j = beside(points, packed(sites, keys, 1, close), keys, close, "left").withColumn("__near", least("sites")).drop("sites")
-    j = beside(j, packed(sites, keys, math.ceil(radius / bucket), bucket), keys, bucket)
-    best = j.select(*point_key, F.when(F.col("__near.d2") <= close * close, F.col("__near")).otherwise(least("sites")).alias("best"))
+    done = F.coalesce(F.col("__near.d2") <= close * close, F.lit(False))
+    far = packed(sites, keys, math.ceil(radius / bucket), bucket).withColumn("site___far", F.lit(True))
+    j = beside(j.withColumn("__far", ~done), far, [*keys, "__far"], bucket, "left")
+    best = j.select(*point_key, F.when(F.col("__far"), least("sites")).otherwise(F.col("__near")).alias("best"))
     best = best.where(F.col("best.d2") < radius * radius if strict else F.col("best.d2") <= radius * radius)
     return best.select(*point_key, F.struct(*[F.col(f"best.site.{c}").alias(c) for c in sites.columns], F.col("best.d2").alias("d2")).alias("site"))
 
