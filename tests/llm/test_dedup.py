@@ -25,6 +25,44 @@ def test_suffix_dedup_large_buckets(docs, docs_rows):
     assert sorted(got, key=key) == sorted(brute.repeated_bytes(docs_rows), key=key)
 
 
+def _large(monkeypatch):
+    """How many buckets each run deals by window."""
+    seen, settled = [], substrings.settled
+
+    def spy(df):
+        out = settled(df)
+        if df.columns == ["gram", "large"]:
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(substrings, "settled", spy)
+    return seen
+
+
+def test_suffix_dedup_bucket_of_many_small_entries(frame, monkeypatch):
+    """5,000 entries under one gram that fit into a block are sorted there, not dealt by window."""
+    rng = random.Random(2)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    gram = min((some(18) for _ in range(5_000)), key=lambda g: substrings.PLAIN(np.frombuffer(g.encode(), np.uint8))[0])
+    texts = [some(40) + gram + some(40) for _ in range(5_000)]
+    texts[4_321] = texts[17][:70] + some(28)
+    seen = _large(monkeypatch)
+    out = substrings.dedup(frame(list(enumerate(texts))), sample_texts=0)
+    assert {r.doc_id: r.n_removed for r in out.where("n_removed > 0").collect()} == {4_321: 70}
+    assert seen == [0]
+
+
+def test_suffix_dedup_bucket_of_long_entries(frame, monkeypatch):
+    """400 entries of over 3,000 bytes under one gram exceed a block: their windows are dealt one by one."""
+    rng = random.Random(4)
+    some = lambda n: "".join(rng.choices("bcdefghijklmnopqrstuvwxyz", k=n))
+    texts = [some(60) + "a" * (3_000 + i) + some(60) for i in range(400)]
+    seen = _large(monkeypatch)
+    out = substrings.dedup(frame(list(enumerate(texts))), sample_texts=0)
+    assert sorted((tuple(r) for r in out.collect()), key=key) == sorted(brute.repeated_bytes(list(enumerate(texts))), key=key)
+    assert seen == [1]
+
+
 def test_suffix_dedup_of_inner_repeats(frame):
     """A passage that its own document repeats is cut in both places where an earlier document shares part of it."""
     rng = random.Random(6)
