@@ -6,8 +6,6 @@ by nature and run as grouped Arrow functions, a line at a time.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -64,10 +62,10 @@ def project(queries: DataFrame, segs: DataFrame, keys: list[str], decimals: int
         along, off = along_off(x, y, s)
         return F.struct(_equal_in(off, decimals).alias("near"), s["i"].alias("i"), along.alias("along"), off.alias("off"))
 
-    here = [*keys, "x", "y"]
-    found = queries.select(*here).distinct().join(lines, keys).select(*[F.col(c).alias(f"__{c}") for c in here], F.array_min(F.transform("segs", place)).alias("p"))
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in here]
-    return queries.join(found, functools.reduce(Column.__and__, same)).select("q", *keys, "p.along", "p.off")
+    # queries of a place stand in some arrays, so that none grows with a crowded place alone
+    crowd = queries.groupBy(*keys, "x", "y", F.pmod(F.xxhash64("q"), F.lit(32)).alias("part")).agg(F.collect_list("q").alias("qs"))
+    j = crowd.join(lines, keys).select("qs", *keys, F.array_min(F.transform("segs", place)).alias("p"))
+    return j.select(F.explode("qs").alias("q"), *keys, "p.along", "p.off")
 
 
 def offsets_within(queries: DataFrame, segs: DataFrame, on: list[str], max_off: float) -> DataFrame:
