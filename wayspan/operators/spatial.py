@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import angle_between, round_half_even
+from ..tables import settled
 
 
 def site_buckets(sites: DataFrame, reach: int, bucket: float, x: str = "x", y: str = "y") -> DataFrame:
@@ -47,12 +48,11 @@ def near(points: DataFrame, sites: DataFrame, radius: float, keys: list[str] | N
     return out.drop("__bx", "__by")
 
 
-def packed(sites: DataFrame, keys: list[str], reach: Column | int, bucket: float, site_key: str | None = None) -> DataFrame:
+def packed(sites: DataFrame, keys: list[str], reach: Column | int, bucket: float) -> DataFrame:
     """(keys, bx, by, sites): the sites that points of a bucket may lie within reach of, as one array.
 
     Sites are a dimension: what lies within reach of one bucket is bounded by their
     density, not by the points.  ``reach`` counts buckets and may differ by site.
-    With ``site_key`` only the site of least key stands for those at one place.
     """
     far = reach if isinstance(reach, Column) else F.lit(reach)
     at = lambda c: F.floor(F.col(c) / bucket).cast("long")
@@ -61,10 +61,7 @@ def packed(sites: DataFrame, keys: list[str], reach: Column | int, bucket: float
     s = sites.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(whole, *[F.col(k).alias(f"__{k}") for k in keys], far.alias("far"), "x", "y")
     far = F.col("far")
     s = s.withColumn("bx", around("x")).withColumn("by", around("y"))
-    at_bucket = [*[f"__{k}" for k in keys], "bx", "by"]
-    if site_key is not None:  # dealt by bucket once, for both groupings
-        s = s.repartition(*at_bucket).groupBy(*at_bucket, "x", "y").agg(F.min(F.struct(F.col(f"site.{site_key}").alias("key"), "site")).alias("first")).withColumn("site", F.col("first.site"))
-    return s.groupBy(*at_bucket).agg(F.collect_list("site").alias("sites")).withColumnsRenamed({f"__{k}": f"site_{k}" for k in keys})
+    return s.groupBy(*[f"__{k}" for k in keys], "bx", "by").agg(F.collect_list("site").alias("sites")).withColumnsRenamed({f"__{k}": f"site_{k}" for k in keys})
 
 
 def beside(points: DataFrame, packs: DataFrame, keys: list[str], bucket: float, how: str = "inner") -> DataFrame:
@@ -85,11 +82,13 @@ def nearest(points: DataFrame, sites: DataFrame, radius: float, point_key: list[
     have none there meet those of the larger buckets, half a radius wide unless given.
     """
     keys, bucket, close = keys or [], bucket or radius / 2, radius / 4
+    whole = F.struct(*[F.col(c) for c in sites.columns])
+    sites = settled(sites.groupBy(*[F.col(c).alias(f"__{c}") for c in [*keys, "x", "y"]]).agg(F.min(F.struct(F.col(site_key).alias("key"), whole.alias("site"))).alias("first")).select("first.site.*"))
     d2 = lambda s: squared(F.col("x"), F.col("y"), s["x"], s["y"])
     least = lambda c: F.array_min(F.transform(c, lambda s: F.struct(d2(s).alias("d2"), s[site_key].alias("key"), s.alias("site"))))
-    j = beside(points, packed(sites, keys, 1, close, site_key), keys, close, "left").withColumn("__near", least("sites")).drop("sites")
+    j = beside(points, packed(sites, keys, 1, close), keys, close, "left").withColumn("__near", least("sites")).drop("sites")
     done = F.coalesce(F.col("__near.d2") <= close * close, F.lit(False))
-    far = packed(sites, keys, math.ceil(radius / bucket), bucket, site_key).withColumn("site___far", F.lit(True))
+    far = packed(sites, keys, math.ceil(radius / bucket), bucket).withColumn("site___far", F.lit(True))
     j = beside(j.withColumn("__far", ~done), far, [*keys, "__far"], bucket, "left")
     best = j.select(*point_key, F.when(F.col("__far"), least("sites")).otherwise(F.col("__near")).alias("best"))
     best = best.where(F.col("best.d2") < radius * radius if strict else F.col("best.d2") <= radius * radius)
