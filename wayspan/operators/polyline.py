@@ -63,7 +63,7 @@ def project(queries: DataFrame, segs: DataFrame, keys: list[str], decimals: int
         return F.struct(_equal_in(off, decimals).alias("near"), s["i"].alias("i"), along.alias("along"), off.alias("off"))
 
     # queries of a place stand in some arrays, so that none grows with a crowded place alone
-    crowd = queries.groupBy(*keys, "x", "y", F.pmod(F.xxhash64("q"), F.lit(32)).alias("part")).agg(F.collect_list("q").alias("qs"))
+    crowd = queries.groupBy(*keys, "x", "y", F.pmod(F.xxhash64("q"), F.lit(4)).alias("part")).agg(F.collect_list("q").alias("qs"))
     j = crowd.join(lines, keys).select("qs", *keys, F.array_min(F.transform("segs", place)).alias("p"))
     return j.select(F.explode("qs").alias("q"), *keys, "p.along", "p.off")
 
