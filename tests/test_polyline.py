@@ -188,3 +188,25 @@ def test_project_looks_at_shared_places_and_stretches_once(spark, frame):
     got = pl.project(q, pl.segments(frame(ring * rounds), ["r"]), ["r"], 6).groupBy("along", "off").count().collect()
     assert time.monotonic() - begin < 60
     assert {(r.along, r.off): r["count"] for r in got} == {(10.0 * k, 3.0): n // 5 for k in range(4)} | {(100.0, None): n // 5}
+
+
+@pytest.mark.parametrize("at", [0, 5, 16, 250, 4093])
+def test_tree_sums(at):
+    """From left to right: single values, whole nodes, single values."""
+    import numpy as np
+
+    x = np.random.default_rng(at).uniform(0, 700, 900)
+    node = lambda a, n: 0.0 + sum((v for v in node_values(a, n)), 0.0)
+
+    def node_values(a, n):
+        return [x[a - at]] if n == 1 else [node(a + j * n // 16, n // 16) for j in range(16)]
+
+    for end in (1, 3, 15, 16, 17, 100, 300, 899, 900):
+        a, total = at, 0.0
+        while a < at + end:
+            n = 1
+            while a % (16 * n) == 0 and a + 16 * n <= at + end:
+                n *= 16
+            total += x[a - at] if n == 1 else node(a, n)
+            a += n
+        assert pl.tree_sums(x, at)[end - 1] == total

@@ -22,6 +22,45 @@ def cumulative(points: DataFrame, keys: list[str]) -> DataFrame:
     return points.withColumn("__step", step).withColumn("cum", F.sum("__step").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("__step")
 
 
+#: Values under a node of the tree in which ``tree_sums`` adds.
+FAN = 16
+
+
+def tree_sums(values: np.ndarray, at: int = 0, before: float = 0.0) -> np.ndarray:
+    """``before`` and the values up to each, added as a segment tree does in which the first value is leaf ``at``.
+
+    From left to right: single values up to a node's border, whole nodes (by their nodes in
+    turn), single values again.  A node is the sum of its values, one after the other.
+    """
+    head = min(-at % FAN, len(values))
+    first = np.cumsum(np.concatenate(([before], values[:head])))
+    rest = values[head:]
+    whole = len(rest) // FAN
+    rows = np.concatenate([rest, np.zeros(-len(rest) % FAN)]).reshape(-1, FAN)
+    start = first[-1:]
+    if whole:
+        start = np.concatenate([start, tree_sums(np.cumsum(rows[:whole], axis=1)[:, -1], (at + head) // FAN, first[-1])])
+    rows[:, 0] += start[: len(rows)]
+    sums = np.cumsum(rows, axis=1)
+    sums[:whole, -1] = start[1:]
+    return np.concatenate([first[1:], sums.ravel()[: len(rest)]])
+
+
+def cumulative_in_tree(points: DataFrame, keys: list[str], together: str) -> DataFrame:
+    """``cum`` as of ``cumulative``, but for the order of addition: that of a tree over all lines of a ``together``, end to end by key."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([*keys, "i"], kind="stable").reset_index(drop=True)
+        head = np.flatnonzero((pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy())
+        step = np.nan_to_num(np.sqrt((pdf[["x", "y"]].diff().to_numpy() ** 2).sum(axis=1)))
+        step[head] = 0.0
+        cum = [tree_sums(step[a:z], a) for a, z in zip(head, np.append(head[1:], len(pdf)), strict=True)]
+        return pdf.drop(columns=together).assign(cum=np.concatenate(cum))
+
+    schema = ", ".join(f"{c} {t}" for c, t in [*points.drop(together).dtypes, ("cum", "double")])
+    return points.groupBy(together).applyInPandas(run, schema)
+
+
 def segments(points: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, i, ax, ay, bx, by, cum) of vertex pairs; expects ``cum``."""
     w = W.partitionBy(*keys).orderBy("i")

@@ -147,8 +147,10 @@ def ride_options(queries: DataFrame, segs: DataFrame, stop_dist: DataFrame, valu
     """All routes from A to B of each query, with seconds, metres, stops to board and alight at, holes, observations.
 
     stop_dist: route_id, direction, k, dist_m; values: route_id, direction, leg, med, avg, n.
+    Queries of the same A and B are answered once.
     """
-    line = ["route_id", "direction"]
+    line, trip = ["route_id", "direction"], ["a_x", "a_y", "b_x", "b_y", "direct"]
+    asked, queries = queries, queries.groupBy(*trip).agg(F.min("q").alias("q"))
     w = W.partitionBy(*line).orderBy("k")
     spans = stop_dist.select(*line, F.col("k").alias("leg"), F.col("dist_m").alias("start_m"), F.lead("dist_m").over(w).alias("end_m")).where("end_m is not null")
     spans = spans.join(values, [*line, "leg"], "left")
@@ -158,6 +160,6 @@ def ride_options(queries: DataFrame, segs: DataFrame, stop_dist: DataFrame, valu
         F.coalesce(F.max(F.when(F.col("dist_m") <= F.col("from_m"), F.col("k"))), F.lit(0)).alias("board"),
         F.coalesce(F.max(F.when(F.col("dist_m") <= F.col("to_m"), F.col("k"))), F.max("k")).alias("alight"),
     )
-    out = timed.join(ways, ["q", *line]).join(at, ["q", *line])
+    out = timed.join(ways, ["q", *line]).join(at, ["q", *line]).join(queries, "q").drop("q").join(asked.select("q", *trip), trip)
     return out.select("q", *line, "seconds", (F.col("to_m") - F.col("from_m")).alias("metres"), F.greatest(F.lit(0), F.col("alight") - F.col("board")).alias("stops"), "board", "alight", "holes", "legs", "observations", "off", "from_m", "to_m")
 
