@@ -210,3 +210,13 @@ def test_tree_sums(at):
             total += x[a - at] if n == 1 else node(a, n)
             a += n
         assert pl.tree_sums(x, at)[end - 1] == total
+
+
+def test_candidates_look_at_shared_places_once(spark, frame):
+    """Many queries at few places, and a line of many rounds: 2 * 10**8 pairs; a place without x has no candidates."""
+    ring, rounds, n = [(0, 0), (100, 0), (100, 100), (0, 100)], 1_000, 50_000
+    q = spark.range(n).select(F.col("id").alias("q"), F.when(F.col("id") % 5 < 4, (10 + F.col("id") % 5 * 10).cast("double")).alias("x"), F.lit(-3.0).alias("y"))
+    begin = time.monotonic()
+    got = pl.candidates(q, pl.segments(frame(ring * rounds), ["r"]), [], ["r"], 20, decimals=6).groupBy("rank", "along", "off").count().collect()
+    assert time.monotonic() - begin < 60
+    assert {(r.rank, r.along, r.off): r["count"] for r in got} == {(k + 1, 400.0 * k + 10.0 * j, 3.0): n // 5 for k in range(6) for j in (1, 2, 3, 4)}

@@ -6,6 +6,8 @@ by nature and run as grouped Arrow functions, a line at a time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -131,16 +133,27 @@ def _beside(step: int, w) -> Column:
     return F.when(shift("i").over(w) == F.col("i") + step, shift("near").over(w))
 
 
+def _place_by_place(queries: DataFrame, on: list[str], find: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Queries with what ``find`` finds at their places (on, x, y): a place that several share is looked at once."""
+    place = [*on, "x", "y"]
+    return queries.select("q", *place).join(find(queries.select(*place).distinct()), place)
+
+
 def candidates(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str], max_off: float, limit: int = 6, decimals: int | None = None) -> DataFrame:
     """Local minima of the offset within ``max_off``, the nearest ``limit``: (q, keys, rank, along, off).
 
     ``decimals`` are those in which offsets count as equal; of equal ones the first segment comes first.
     """
-    o = offsets_within(queries, segs, on, max_off).withColumn("near", _equal_in(F.col("off"), decimals))
-    w = W.partitionBy("q", *keys).orderBy("i")
-    low = F.coalesce(_beside(-1, w) >= F.col("near"), F.lit(True)) & F.coalesce(_beside(1, w) >= F.col("near"), F.lit(True))
-    rank = F.row_number().over(W.partitionBy("q", *keys).orderBy("near", "i"))
-    return o.withColumn("low", low).where("low").withColumn("rank", rank).where(F.col("rank") <= limit).select("q", *keys, "rank", "along", "off")
+    line = W.partitionBy("x", "y", *keys)
+
+    def find(places: DataFrame) -> DataFrame:
+        o = offsets_within(places, segs, on, max_off).withColumn("near", _equal_in(F.col("off"), decimals))
+        w = line.orderBy("i")
+        low = F.coalesce(_beside(-1, w) >= F.col("near"), F.lit(True)) & F.coalesce(_beside(1, w) >= F.col("near"), F.lit(True))
+        rank = F.row_number().over(line.orderBy("near", "i"))
+        return o.withColumn("low", low).where("low").withColumn("rank", rank).where(F.col("rank") <= limit)
+
+    return _place_by_place(queries, on, find).select("q", *keys, "rank", "along", "off")
 
 
 def passes(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str], max_off: float, decimals: int | None = None) -> DataFrame:
@@ -150,11 +163,15 @@ def passes(queries: DataFrame, segs: DataFrame, on: list[str], keys: list[str],
     after.  ``decimals`` are those in which offsets are compared, with ``max_off`` too.
     """
     slack = 0.0 if decimals is None else 10.0**-decimals
-    o = offsets_within(queries, segs, on, max_off + slack).withColumn("near", _equal_in(F.col("off"), decimals))
-    w = W.partitionBy("q", *keys).orderBy("i")
-    falls = F.coalesce(F.col("near") <= _beside(-1, w), F.lit(True))
-    rises = F.coalesce(_beside(1, w) > F.col("near"), F.lit(True))
-    return o.withColumn("low", falls & rises).where(F.col("low") & (F.col("near") <= max_off)).select("q", *keys, "along", "off")
+    w = W.partitionBy("x", "y", *keys).orderBy("i")
+
+    def find(places: DataFrame) -> DataFrame:
+        o = offsets_within(places, segs, on, max_off + slack).withColumn("near", _equal_in(F.col("off"), decimals))
+        falls = F.coalesce(F.col("near") <= _beside(-1, w), F.lit(True))
+        rises = F.coalesce(_beside(1, w) > F.col("near"), F.lit(True))
+        return o.withColumn("low", falls & rises).where(F.col("low") & (F.col("near") <= max_off))
+
+    return _place_by_place(queries, on, find).select("q", *keys, "along", "off")
 
 
 def to_chords(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
